@@ -28,8 +28,7 @@ def joined_lists(df: DataFrame, keys: Sequence[str], lists: dict[str, Column], o
     spread = F.pmod(F.xxhash64("_item"), F.col("_parts")).cast("int")
     grouped = (rows.join(sizes, keys).withColumn("part", F.when(F.col("_parts") > 1, spread).otherwise(F.lit(0)))
                .groupBy(*keys, "part").agg(F.array_sort(F.collect_list("_item")).alias("_items")))
-    joined = [F.array_join(F.transform("_items", lambda x, i=i: x[f"v{i}"]), sep).alias(name)
-              for i, name in enumerate(lists)]
+    joined = [F.array_join(F.col(f"_items.v{i}"), sep).alias(name) for i, name in enumerate(lists)]
     return grouped.select(*keys, "part", F.size("_items").cast("long").alias(count_name), *joined)
 
 

@@ -109,7 +109,7 @@ class Inputs:
         li, o, c = self.table("lineitem"), self.table("orders"), self.overview()
         rows = li.join(o, li["l_orderkey"] == o["o_orderkey"]).select(
             F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("casename"), F.col("l_suppkey").alias("regionid"),
-            F.col("l_discount").alias("percentage"))
+            (to_int(F.col("l_discount") * 100).cast("double") / 128).alias("percentage"))
         return rows.join(c.select("casename", "mapruleid", "geo", "aslist"), "casename")
 
     # -- machines and traffic -------------------------------------------------------------------
@@ -157,13 +157,15 @@ class Inputs:
         return rows.withColumn("day", F.explode(days)).where((F.col("day") == REGION_DAYS[1]) | (F.col("region") % 3 != 0))
 
     def region_sample(self) -> DataFrame:
+        # Binary fractions, so that sums and means do not depend on the order of addition.
         u, v, t = F.col("user_id"), F.col("value"), epoch("ts")
+        w = (v * 100).cast("long").cast("double")
         return self.table("events").select(
             to_int(u % 5).alias("maprule"), F.col("event_type").alias("geoname"),
             F.when(u % 2 == 0, F.lit("ANY")).otherwise(F.lit("N1")).alias("netname"), (u % 100 + 1).alias("region"),
-            v.alias("score"), to_int(v).alias("nsd_demand"), to_int(v * 2).alias("eu_demand"), (v * 100).cast("long").alias("ra_load"),
-            (v / 10).alias("case_percent_pre_norm_load"), (v / 5).alias("case_percent_load"),
-            (v / 20).alias("recorded_load_percentage"), F.date_format("ts", "yyyyMMdd").alias("datestamp"),
+            (w / 128).alias("score"), to_int(v).alias("nsd_demand"), to_int(v * 2).alias("eu_demand"), (v * 100).cast("long").alias("ra_load"),
+            (w / 1024).alias("case_percent_pre_norm_load"), (w / 512).alias("case_percent_load"),
+            (w / 2048).alias("recorded_load_percentage"), F.date_format("ts", "yyyyMMdd").alias("datestamp"),
             F.date_format("ts", "HH").alias("hour"), (t - t % 600).alias("ts"))
 
     def score_targets(self) -> DataFrame:

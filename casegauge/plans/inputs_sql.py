@@ -55,7 +55,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                ([0.99,0.95,0.90,0.75])[o_orderkey % 4 + 1] config_percentile, {_int('o_totalprice/1000')} metric_value
         from orders"""),
     "view_by_region": (("overview",), """
-        select casename, l_suppkey regionid, l_discount percentage, mapruleid, geo, aslist
+        select casename, l_suppkey regionid, cast(cast(trunc(l_discount*100) as int) as double)/128 percentage, mapruleid, geo, aslist
         from lineitem join orders on l_orderkey = o_orderkey join overview on casename = 'C' || o_custkey"""),
     "traffic": ((), f"""
         select 'm' || l_suppkey ghostip, cast(year(l_shipdate) as int) ts, cast(l_partkey % 6 as int) maprule_id, l_linenumber georegion,
@@ -86,8 +86,9 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "newest": (("regions",), "select * from regions where \"day\" = (select max(\"day\") from regions)"),
     "region_sample": ((), f"""
         select cast(user_id % 5 as int) maprule, event_type geoname, case when user_id % 2 = 0 then 'ANY' else 'N1' end netname,
-               user_id % 100 + 1 region, \"value\" score, {_int('"value"')} nsd_demand, {_int('"value"*2')} eu_demand, {_big('"value"*100')} ra_load,
-               \"value\"/10 case_percent_pre_norm_load, \"value\"/5 case_percent_load, \"value\"/20 recorded_load_percentage,
+               user_id % 100 + 1 region, cast({_big('"value"*100')} as double)/128 score, {_int('"value"')} nsd_demand, {_int('"value"*2')} eu_demand, {_big('"value"*100')} ra_load,
+               cast({_big('"value"*100')} as double)/1024 case_percent_pre_norm_load, cast({_big('"value"*100')} as double)/512 case_percent_load,
+               cast({_big('"value"*100')} as double)/2048 recorded_load_percentage,
                strftime(ts, '%Y%m%d') datestamp, strftime(ts, '%H') as \"hour\",
                {EPOCH.format('ts')} - {EPOCH.format('ts')} % 600 ts
         from events"""),
