@@ -60,10 +60,12 @@ def assignment_stats(summary: DataFrame, clients: DataFrame, uuid="mpd_uuid", no
     else:
         rows = rows.withColumn("_p", F.col("_share"))
 
-    total = F.sum(d)
+    # Durations and weighted sums have 4 places: added as decimals, they do not depend on row order.
+    exact = lambda c: F.sum(c.cast("decimal(18,4)")).cast("double")
+    total = exact(d)
 
-    def mean(c, digits, scale=1.0) -> Column:
-        value = F.round(F.lit(scale) * F.try_divide(F.sum(c), total), digits)
+    def mean(c, digits, scale=1.0, add=exact) -> Column:
+        value = F.round(F.lit(scale) * F.try_divide(add(c), total), digits)
         return F.when(total > 0, value).otherwise(F.lit(-1.0))
 
     same = lambda a, b: F.when(F.col(a) == F.col(b), d).otherwise(F.lit(0.0))
@@ -73,7 +75,7 @@ def assignment_stats(summary: DataFrame, clients: DataFrame, uuid="mpd_uuid", no
         *[mean(F.col(c), 2, 100.0).alias(f"{c}_ratio") for c in ("ping", "local", "cont_fb")],
         mean(same("continent", "ns_continent"), 2, 100.0).alias("in_cont_ratio"),
         mean(same("country", "ns_country"), 2, 100.0).alias("in_country_ratio"),
-        mean(F.col("prp"), 2, 100.0).alias("private_ratio"), mean(away, 2).alias("avg_distance"),
+        mean(F.col("prp"), 2, 100.0).alias("private_ratio"), mean(away, 2, add=F.sum).alias("avg_distance"),
         F.count(F.lit(1)).alias("num_region_mapped"), F.round(entropy("_p"), 6).alias("mapping_entropy"),
         F.round(total, 3).alias("sum_dftime"))
 

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from casegauge.plans import joins, regions, summaries, traffic  # noqa: F401
+from casegauge.plans import assignments, geography, joins, regions, summaries, traffic  # noqa: F401
 from casegauge.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
