@@ -109,7 +109,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                  round(sum(min_s*dd), 4) min_s, round(sum(max_s*dd), 4) max_s, round(sum(min_r*dd), 4) min_r, round(sum(max_r*dd), 4) max_r,
                  round(sum(case when min_s % 2 = 0 then dd else 0 end), 4) ping, round(sum(case when min_s % 4 >= 2 then dd else 0 end), 4) local,
                  round(sum(case when max_s > 65533 and max_r > 253 then dd else 0 end), 4) cont_fb, round(sum(dd), 4) mpd_dftime
-          from (select *, cast(round(cast(cast(cast(cnt as double)/sum(cnt) over (partition by mpgid, mrid, mpd_uuid, ts) as varchar) as decimal(38,15)), 5) as double)*dftime dd
+          from (select *, cast(round(cast(cast(cast(cnt as double)/sum(cnt) over (partition by mpgid, mrid, mpd_uuid, ts) as varchar) as decimal(38,20)), 5) as double)*dftime dd
                 from assignment_log)
           group by all) a join newest using (region)"""),
     "clients": (("customers",), f"""
@@ -117,7 +117,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                r_name ns_continent, {_lat('c_custkey')} ns_lat, {_lon('c_custkey')} ns_lon, abs(c_acctbal) mpg_load
         from customers join region on n_regionkey = r_regionkey"""),
     "client_rows": (("assignment_sum", "clients"), """
-        select *, cast(round(cast(cast(mpd_dftime/max(mpd_dftime) over (partition by mpd_uuid) as varchar) as decimal(38,15)), 3) as double) share_
+        select *, cast(round(cast(cast(mpd_dftime/max(mpd_dftime) over (partition by mpd_uuid) as varchar) as decimal(38,20)), 3) as double) share_
         from assignment_sum join clients using (mpgid)"""),
     "networks": ((), "select distinct cast(c_custkey % 20 as int) asnum, c_mktsegment netname from customer"),
     "client_groups": (("customers",), f"""
@@ -148,7 +148,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
 
 def rounded(x: str, digits: int) -> str:
     """Half-up rounding of the shortest decimal form of a double, as in Spark."""
-    return f"cast(round(cast(cast(cast({x} as double) as varchar) as decimal(38,15)), {digits}) as double)"
+    return f"cast(round(cast(cast(cast({x} as double) as varchar) as decimal(38,20)), {digits}) as double)"
 
 
 def percentile(x: str, p: float) -> str:

@@ -1 +1 @@
-"""Structured Streaming pipelines."""
+"""Structured Streaming pipelines over dropped sample files."""
