@@ -68,9 +68,10 @@ def wildcard_join(targets: DataFrame, cases: DataFrame, rule=("maprule", "maprul
 
     The OR condition would leave only the rule as join key (few values, hence skew); spelled out,
     all three columns are hash keys."""
-    t = expand_wildcards(targets, {geo[0]: GLOBAL, net[0]: ANY})
-    cond = ((t[rule[0]] == cases[rule[1]]) & (t[f"_{geo[0]}"] == cases[geo[1]]) & (t[f"_{net[0]}"] == cases[net[1]]))
-    return t.join(cases, cond, how).drop(f"_{geo[0]}", f"_{net[0]}")
+    t = expand_wildcards(targets, {geo[0]: GLOBAL, net[0]: ANY}).withColumn("_rule", F.col(rule[0]))
+    names = ["_rule", f"_{geo[0]}", f"_{net[0]}"]
+    c = cases.select("*", *[F.col(k).alias(n) for k, n in zip((rule[1], geo[1], net[1]), names)])
+    return t.join(c, names, how).drop(*names)
 
 
 def target_per_key(df: DataFrame, keys: Sequence[str], target="targetvalue", agg: str = "max",
@@ -153,28 +154,27 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: s
 
 
 def distance_join(left: DataFrame, right: DataFrame, miles: float, left_pos=("lat", "lon"),
-                  right_pos=("rg_lat", "rg_lon"), how: str = "inner", out: str = "distance",
-                  condition: Column | None = None) -> DataFrame:
+                  right_pos=("rg_lat", "rg_lon"), how: str = "inner", out: str = "distance") -> DataFrame:
     """Pairs at most `miles` apart (strictly less), by cells of a grid over the unit sphere.
 
     The right side is copied to its 27 touching cells; equal cells join by hash; the exact distance
     decides. Cells are three-dimensional, so poles and the date line need no special case. Pass
-    distinct sites (see `sites`), not raw rows: co-located rows would form pairs only to be summed."""
+    distinct sites (as `clusters.region_sites`), not raw rows: co-located rows would form pairs only
+    to be summed."""
     edge = grid_edge(miles)
-    l = left.withColumn("_cell", grid_cell(*left_pos, edge))
-    r = right.withColumn("_cell", F.explode(neighbour_cells(grid_cell(*right_pos, edge))))
-    d = haversine_miles(left[left_pos[0]], left[left_pos[1]], right[right_pos[0]], right[right_pos[1]])
-    cond = (l["_cell"] == r["_cell"]) & (d < miles)
-    if condition is not None:
-        cond = cond & condition
-    joined = l.join(r, cond, how)
-    return joined.select(*[l[c] for c in left.columns], *[r[c] for c in right.columns], d.alias(out))
+    l = left.select(*[F.col(c).alias(f"_l_{c}") for c in left.columns], grid_cell(*left_pos, edge).alias("_lcell"))
+    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in right.columns],
+                     F.explode(neighbour_cells(grid_cell(*right_pos, edge))).alias("_rcell"))
+    d = haversine_miles(*[f"_l_{c}" for c in left_pos], *[f"_r_{c}" for c in right_pos])
+    joined = l.join(r, (F.col("_lcell") == F.col("_rcell")) & (d < miles), how)
+    return joined.select(*[F.col(f"_l_{c}").alias(c) for c in left.columns],
+                         *[F.col(f"_r_{c}").alias(c) for c in right.columns], d.alias(out))
 
 
 def explode_join(df: DataFrame, ids: str, dim: DataFrame, dim_key: str, how: str = "inner") -> DataFrame:
     """Id list exploded and joined to its dimension; repeated ids of one row count once."""
     one = df.withColumn("_id", F.explode(F.array_distinct(ids))).drop(ids)
-    return one.join(dim, one["_id"] == dim[dim_key], how).drop("_id")
+    return one.join(dim.withColumnRenamed(dim_key, "_id"), "_id", how).withColumnRenamed("_id", dim_key)
 
 
 def share_of_total(detail: DataFrame, keys: Sequence[str], value: str, share: str, total: str,

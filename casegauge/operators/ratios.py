@@ -43,8 +43,8 @@ def coverage_pct(view: DataFrame, by: Sequence[str] = ("casename",)) -> DataFram
 
 def _case_traffic(targets: DataFrame, view: DataFrame, traffic: DataFrame) -> DataFrame:
     cases = wildcard_join(targets, region_share_view(view))
-    cond = (cases["maprule"] == traffic["maprule_id"]) & (cases["regionid"] == traffic["region"])
-    return cases.join(traffic, cond)
+    keyed = traffic.withColumnsRenamed({"maprule_id": "maprule", "region": "regionid"})
+    return cases.join(keyed, ["maprule", "regionid"])
 
 
 def pooled_io_ratio(targets: DataFrame, view: DataFrame, traffic: DataFrame) -> DataFrame:
@@ -105,8 +105,7 @@ def io_case_rollup(samples: DataFrame, traffic: DataFrame, keys: Sequence[str])
     counters = ("bytes", "bytes_in", "hits", "connections", "flytes", "cpu", "disk")
     per_region = samples.groupBy(*keys, "region").agg(
         *[F.sum(c).alias(c) for c in ("nsd_demand", "eu_demand", "ra_load")], F.count(F.lit(1)).alias("_n"))
-    cond = (per_region["maprule"] == traffic["maprule_id"]) & (per_region["region"] == traffic["region"])
-    rows = per_region.join(traffic.drop("ts"), cond)
+    rows = per_region.join(traffic.drop("ts").withColumnRenamed("maprule_id", "maprule"), ["maprule", "region"])
     s = {c: F.sum(F.col(c) * F.col("_n")) for c in counters}
     return rows.groupBy(*keys).agg(
         F.sum("nsd_demand").alias("nsd_demand"), F.sum("eu_demand").alias("eu_demand"), F.sum("ra_load").alias("ra_load"),

@@ -8,6 +8,7 @@ from casegauge.functions.metrics import is_continent_fallback, is_even, is_local
 from casegauge.operators import assignment as A
 from casegauge.plans.inputs_sql import miles, rounded, with_inputs
 from casegauge.plans.registry import query
+from casegauge.sources.tables import stored
 
 
 @query("bit_flags", with_inputs("assignment_log", """select mpgid, mrid, region, link, ts, min_s, case when min_s % 2 = 0 then 1 else 0 end ping,
@@ -21,6 +22,11 @@ def summed(x):
     return A.duration_share(x.assignment_log(), x.regions())
 
 
+def summed_table(x):
+    """The duration summary as a stored table, the input of the statistics."""
+    return stored(summed(x), "assignment-sum")
+
+
 @query("duration_share", with_inputs("assignment_sum", "select * from assignment_sum"))
 def _(x):
     return summed(x)
@@ -53,18 +59,18 @@ def stats_sql():
 
 @query("assignment_stats", with_inputs("client_rows", stats_sql()))
 def _(x):
-    return A.assignment_stats(summed(x), x.clients())
+    return A.assignment_stats(summed_table(x), x.clients())
 
 
 @query("mapping_entropy", with_inputs("client_rows", f"select mpd_uuid, nsip, mrid, {rounded(ENTROPY, 6)} mapping_entropy from client_rows group by 1, 2, 3"))
 def _(x):
-    return A.client_entropy(summed(x), x.clients())
+    return A.client_entropy(summed_table(x), x.clients())
 
 
 @query("mapping_entropy_normalised", with_inputs("client_rows", f"""select mpd_uuid, nsip, mrid, {rounded('-sum(p*ln(p))', 6)} mapping_entropy
     from (select *, mpd_dftime/sum(mpd_dftime) over (partition by mpd_uuid, nsip, mrid) p from client_rows) where p > 0 group by 1, 2, 3"""))
 def _(x):
-    return A.client_entropy(summed(x), x.clients(), normalise=True)
+    return A.client_entropy(summed_table(x), x.clients(), normalise=True)
 
 
 POOR = """(mapping_entropy > 0.9 or ping_ratio < 10 or cont_fb_ratio > 20 or in_country_ratio < 20 or in_cont_ratio < 5 or avg_distance > 2000)"""
@@ -74,13 +80,13 @@ SHOWN = ["mrid", "ns_country", "netname", "nsip", "ns_demand", "ns_asnum", "regi
 @query("assignment_filtering", with_inputs("client_rows networks", f"select {', '.join(SHOWN)} from stats join networks on ns_asnum = asnum where {POOR}",
                                            {"stats": stats_sql()}))
 def _(x):
-    return A.poorly_mapped(A.assignment_stats(summed(x), x.clients()), x.networks()).select(*SHOWN)
+    return A.poorly_mapped(A.assignment_stats(summed_table(x), x.clients()), x.networks()).select(*SHOWN)
 
 
 @query("assignment_worst_100", with_inputs("client_rows networks", f"""select {', '.join(SHOWN)} from stats join networks on ns_asnum = asnum
     where {POOR} order by mrid, ns_country, netname, ns_demand desc, nsip limit 100""", {"stats": stats_sql()}))
 def _(x):
-    rows = A.poorly_mapped(A.assignment_stats(summed(x), x.clients()), x.networks()).select(*SHOWN)
+    rows = A.poorly_mapped(A.assignment_stats(summed_table(x), x.clients()), x.networks()).select(*SHOWN)
     return A.top_k(rows, ["mrid", "ns_country", "netname", F.col("ns_demand").desc(), "nsip"], 100)
 
 

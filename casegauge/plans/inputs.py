@@ -61,8 +61,9 @@ class Inputs:
             F.when(io, F.col("dx") * 10).otherwise(-1).alias("ioratio"),
             F.when(io, F.lit(40)).otherwise(-1).alias("ioratio_tar"))
 
-    def metric_feed(self, kind: str) -> DataFrame:
-        s, case = self.case_sample(), ["maprule", "geoname", "netname", "ts"]
+    def metric_feed(self, kind: str, sample: DataFrame) -> DataFrame:
+        """One metric's feed from the stored case samples."""
+        s, case = sample, ["maprule", "geoname", "netname", "ts"]
         if kind in ("score", "distance"):
             a, t = ("sp", "star") if kind == "score" else ("dp", "dtar")
             return s.select(*case, *[F.col(f"{a}{x}").alias(f"p{x}") for x in ("99", "95", "90", "75")],

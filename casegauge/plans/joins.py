@@ -15,6 +15,7 @@ from casegauge.plans.inputs_sql import miles, rounded, with_inputs
 from casegauge.plans.registry import query
 from casegauge.plans.summaries import KEYS
 from casegauge.sources.snapshots import enrich_latest
+from casegauge.sources.tables import stored
 
 LEVELS = ("99", "95", "90", "75")
 WIDE = f"""{KEYS}, ts, {', '.join(f'sp{v}' for v in LEVELS)}, star, {', '.join(f'greatest(sp{v} - star, 0) sp{v}d' for v in LEVELS)},
@@ -23,20 +24,21 @@ WIDE = f"""{KEYS}, ts, {', '.join(f'sp{v}' for v in LEVELS)}, star, {', '.join(f
     total_bps, ping_bps, p2t_bps_pct"""
 
 
-def wide(x):
-    return J.sample_join(*[x.metric_feed(k) for k in ("score", "distance", "in_country", "in_continent", "load")])
+FEEDS = ("score", "distance", "in_country", "in_continent", "load")
 
 
 @query("sample_join", with_inputs("case_sample", f"select {WIDE} from case_sample"))
 def _(x):
-    return wide(x)
+    s = stored(x.case_sample(), "samples")
+    return J.sample_join(*[x.metric_feed(k, s) for k in FEEDS])
 
 
 @query("sample_join_left", with_inputs("case_sample", f"""select {WIDE}, case when maprule <> 3 then ioratio else -1 end ioratio,
     case when maprule <> 3 then ioratio_tar else -1 end ioratio_tar, case when maprule <> 3 then 100 else -1 end load_coverage,
     case when maprule <> 3 then greatest(ioratio - ioratio_tar, 0) else -1 end iod from case_sample"""))
 def _(x):
-    return J.with_io_ratio(wide(x), x.metric_feed("io"))
+    s = stored(x.case_sample(), "samples")
+    return J.with_io_ratio(J.sample_join(*[x.metric_feed(k, s) for k in FEEDS]), x.metric_feed("io", s))
 
 
 OR_JOIN = """a.maprule = b.mapruleid and (a.geoname = b.geo or a.geoname = 'GLOBAL' and b.geo = '')

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from casegauge.functions.text import default_network
+from casegauge.session import scratch_dir
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | str, sep: str = ",") -> DataFrame:
@@ -76,13 +77,20 @@ def split_fields(df: DataFrame, text: str, names: Sequence[str], network: str, h
 def overwrite_partition(df: DataFrame, path: str, parts: Sequence[str], format: str = "parquet", **options) -> None:
     """Replace exactly the partitions present in `df`; a rerun gives the same table.
 
-    Rows are first brought together by partition value plus a small salt, so each partition gets
-    few files and a hot one is still written by several tasks."""
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(8))
-    (df.repartition(*[F.col(p) for p in parts], salt).write.format(format).options(**options).mode("overwrite")
+    Rows are rebalanced by partition value: small partitions get one file each, and adaptive
+    execution splits a large one into tasks of the advisory size."""
+    (df.hint("rebalance", *parts).write.format(format).options(**options).mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).save(path))
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to the scratch folder and read back: for a result that several aggregations
+    use, computed once and kept through the loss of executors."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def append_partition(df: DataFrame, path: str, parts: Sequence[str], format: str = "parquet", **options) -> None:
     """Add rows as new files; the commit protocol removes the output of failed attempts."""
     df.write.format(format).options(**options).mode("append").partitionBy(*parts).save(path)

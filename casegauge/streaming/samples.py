@@ -66,19 +66,21 @@ def store_then_recompute(store: str, ts: str, compute: Callable[[DataFrame], Dat
                          reach: int, step: int) -> Callable[[DataFrame, int], None]:
     """Batch sink for results without an incremental form, such as exact percentiles over days.
 
-    The batch is added to the sample store (partitioned by its batch id, so a repeat replaces it).
-    Then only the windows the batch can touch are recomputed, from store rows within `reach` of it,
-    and replace their partitions of the target. `step` is the distance between windows."""
+    The batch is added to the sample store, partitioned by time step and batch id, so a repeated
+    batch replaces its own rows. Then only the windows the batch can touch are recomputed, from the
+    store partitions within `reach` of it, and replace their partitions of the target. `step` is the
+    distance between windows."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        overwrite_partition(batch.withColumn("_batch", F.lit(batch_id)), store, ["_batch"])
+        stepped = batch.withColumns({"_step": F.floor(F.col(ts) / step).cast("long"), "_batch": F.lit(batch_id)})
+        overwrite_partition(stepped, store, ["_step", "_batch"])
         rows = spark.read.parquet(store)
-        span = rows.where(F.col("_batch") == batch_id).agg(F.min(ts), F.max(ts)).first()
+        span = rows.where(F.col("_batch") == batch_id).agg(F.min("_step"), F.max("_step")).first()
         if span[0] is None:
             return
-        first, last = span[0] // step * step, span[1] // step * step
-        near = rows.where((F.col(ts) >= first - reach) & (F.col(ts) < last + step + reach)).drop("_batch")
+        first, last = span[0] * step, span[1] * step
+        near = rows.where(F.col("_step").between(span[0] - reach // step, span[1] + reach // step)).drop("_batch", "_step")
         done = compute(near).where((F.col(part) > first) & (F.col(part) <= last + reach))
         overwrite_partition(done, target, [part])
 
