@@ -102,8 +102,10 @@ def client_entropy(summary: DataFrame, clients: DataFrame, uuid="mpd_uuid", norm
 
 
 def poorly_mapped(stats: DataFrame, networks: DataFrame, rule=None, geo=None, limits: dict | None = None) -> DataFrame:
-    """Clients whose assignment breaks any of the limits, with the networks of their AS number."""
-    lim = {"entropy": 0.9, "ping": 10.0, "fallback": 20.0, "country": 20.0, "continent": 5.0, "miles": 2000.0,
+    """Clients whose assignment breaks any of the limits, with the networks of their AS number.
+
+    The ratio columns are percentages; the default limits are compared with them as they are."""
+    lim = {"entropy": 0.9, "ping": 0.1, "fallback": 0.2, "country": 0.2, "continent": 0.05, "miles": 2000.0,
            **(limits or {})}
     rows = stats
     if rule is not None:

@@ -145,7 +145,7 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: s
     # Right rows sort before left rows of the same time unless the match must be strictly older.
     side = F.lit(1 if strict else -1)
     both = (l.withColumn("_side", F.lit(0)).unionByName(r.withColumn("_side", side), allowMissingColumns=True)
-            .withColumn("_slice", cut(F.col("_at"))))
+            .withColumn("_slice", cut(F.col("_at"))).repartition(*keys, "_slice"))
     upto = W.partitionBy(*keys, "_slice").orderBy("_at", "_side").rowsBetween(W.unboundedPreceding, 0)
     seen = both.withColumn("_seen", F.last("_row", ignorenulls=True).over(upto)).where(F.col("_side") == 0)
     hit = F.coalesce(F.col("_seen"), F.col("_carried"))

@@ -23,10 +23,12 @@ def joined_lists(df: DataFrame, keys: Sequence[str], lists: dict[str, Column], o
     sort_cols = [c.alias(f"o{i}") for i, c in enumerate(order)]
     item_cols = [c.cast("string").alias(f"v{i}") for i, c in enumerate(lists.values())]
     rows = df.select(*keys, F.struct(*sort_cols, *item_cols).alias("_item"))
-    sizes = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / part_rows).alias("_parts"))
-    # A struct of the ordering values identifies the item, hence spreads a group over its parts.
+    # Only groups above part_rows need splitting; there are few of them whatever the data size.
+    large = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / part_rows).alias("_parts")).where(F.col("_parts") > 1)
     spread = F.pmod(F.xxhash64("_item"), F.col("_parts")).cast("int")
-    grouped = (rows.join(sizes, keys).withColumn("part", F.when(F.col("_parts") > 1, spread).otherwise(F.lit(0)))
+    # The explicit exchange keeps the parts of one group apart: the join leaves them in one partition.
+    grouped = (rows.join(large, keys, "left").withColumn("part", F.coalesce(spread, F.lit(0)))
+               .repartition(*keys, "part")
                .groupBy(*keys, "part").agg(F.array_sort(F.collect_list("_item")).alias("_items")))
     joined = [F.array_join(F.col(f"_items.v{i}"), sep).alias(name) for i, name in enumerate(lists)]
     return grouped.select(*keys, "part", F.size("_items").cast("long").alias(count_name), *joined)

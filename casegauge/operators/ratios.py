@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from casegauge.functions.metrics import guarded_ratio, severity_index, target_ratio
-from casegauge.operators.joins import target_per_key, wildcard_join
+from casegauge.operators.joins import wildcard_join
 
 
 def pivot_percentiles(df: DataFrame, keys: Sequence[str], levels: dict[str, str], level="config_percentile",

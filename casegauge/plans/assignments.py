@@ -73,7 +73,7 @@ def _(x):
     return A.client_entropy(summed_table(x), x.clients(), normalise=True)
 
 
-POOR = """(mapping_entropy > 0.9 or ping_ratio < 10 or cont_fb_ratio > 20 or in_country_ratio < 20 or in_cont_ratio < 5 or avg_distance > 2000)"""
+POOR = """(mapping_entropy > 0.9 or ping_ratio < 0.1 or cont_fb_ratio > 0.2 or in_country_ratio < 0.2 or in_cont_ratio < 0.05 or avg_distance > 2000)"""
 SHOWN = ["mrid", "ns_country", "netname", "nsip", "ns_demand", "ns_asnum", "regions", "mapping_entropy", "ping_ratio", "avg_distance"]
 
 

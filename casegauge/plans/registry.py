@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from casegauge.plans.inputs import Inputs
+from casegauge.session import apply_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,8 +18,7 @@ def query(name: str, sql: str | None = None):
 
     def register(fn: Callable[[Inputs], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return fn(Inputs(spark, folder))
+            return fn(Inputs(apply_settings(spark), folder))
 
         QUERIES[name] = run
         if sql is not None:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from casegauge import CASE, schemas
 from casegauge.operators.joins import asof_join
@@ -170,11 +170,10 @@ def _(x):
     return P.thin_snapshots(event_days(x).distinct(), "d", "2024-01-30", 7, ["event_type"])
 
 
-@query("last_good_snapshot", """with c as (select event_type, cast(ts as date) d, count(*) n from events group by 1, 2),
-    b as (select event_type, max(d) d from c join (select event_type, avg(n) a from c group by 1) using (event_type) where n > (select avg(n) from c) group by 1)
+@query("last_good_snapshot", """with b as (select event_type, max(d) d from (select event_type, cast(ts as date) d from events
+    group by 1, 2 having count(*) > 66) group by 1)
     select e.event_id, e.event_type, b.d from events e join b on e.event_type = b.event_type and cast(e.ts as date) = b.d""")
 def _(x):
-    """Newest day of each type with more rows than an average day."""
+    """Newest day of each type with enough rows."""
     e = x.table("events").select("event_id", "event_type", F.col("ts").cast("date").alias("d"))
-    mean = e.groupBy("event_type", "d").count().agg(F.avg("count")).first()[0]
-    return P.last_good_snapshot(e, "d", mean, ["event_type"])
+    return P.last_good_snapshot(e, "d", 66, ["event_type"])

@@ -9,20 +9,30 @@ from pyspark.sql import SparkSession
 
 _LOCAL: dict[str, str] = {}
 
+# What the operators rely on. The last entry makes an aggregation or window shuffle by all of its
+# keys instead of reusing a coarser partitioning (say, that of a join on one of them): partial sums
+# leave a hot key's task before they meet, and adaptive execution may split the join below.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
+}
+
+
+def apply_settings(spark: SparkSession) -> SparkSession:
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
 
 def build_session(app: str = "casegauge", master: str | None = None, **conf) -> SparkSession:
-    """A session with adaptive execution, skew-join splitting and UTC time."""
+    """A session with the library's settings; `conf` adds to them or replaces them."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = {
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
-        **{k.replace("__", "."): v for k, v in conf.items()},
-    }
+    settings = {**SETTINGS, **conf}
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
 def latest_partition(df: DataFrame, column: str) -> DataFrame:
@@ -70,9 +70,3 @@ def last_good_snapshot(df: DataFrame, column: str, min_rows: int, keys: Sequence
     counts = df.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > min_rows)
     best = counts.groupBy(*keys).agg(F.max(column).alias(column))
     return df.join(best, [*keys, column], "left_semi")
-
-
-def first_of_each(df: DataFrame, keys: Sequence[str], order) -> DataFrame:
-    """One row per key by order; the per-task limit is applied before the shuffle."""
-    w = W.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
