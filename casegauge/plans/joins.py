@@ -241,13 +241,13 @@ def _(x):
     return J.override_dimension(auto, manual, "rule_id", ["description"])
 
 
-@query("membership_filter", """select l_orderkey, l_linenumber, l_suppkey, l_partkey from lineitem where l_suppkey % 4 in (0, 2)
+@query("membership_filter", """select l_orderkey, l_linenumber, l_suppkey, l_partkey from lineitem where l_returnflag in ('A', 'N')
     and l_suppkey in (select s_suppkey from supplier where s_acctbal > 0) and l_partkey not in (select p_partkey from part where p_size > 40)""")
 def _(x):
-    li = x.table("lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
-    short = J.members_of(li, "l_suppkey", x.table("supplier").where("s_acctbal > 0"), "s_suppkey")
-    ruled = J.members_of(short.withColumn("rule", F.col("l_suppkey") % 4), "rule", [0, 2]).drop("rule")
-    return J.members_of(ruled, "l_partkey", x.table("part").where("p_size > 40"), "p_partkey", negate=True).select(
+    flagged = J.members_of(x.table("lineitem"), "l_returnflag", ["A", "N"])
+    li = flagged.select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
+    known = J.members_of(li, "l_suppkey", x.table("supplier").where("s_acctbal > 0"), "s_suppkey")
+    return J.members_of(known, "l_partkey", x.table("part").where("p_size > 40"), "p_partkey", negate=True).select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
 
 
