@@ -117,7 +117,8 @@ def _(x):
 
 @query("tag_from_filename", "select event_id, event_type, 'events' feed from events")
 def _(x):
-    return T.tag_from_filename(x.table("events").select("event_id", "event_type", "_metadata"), r"^(\w+)\.parquet$", ["feed"]).drop("_metadata")
+    return T.tag_from_filename(x.table("events").select("event_id", "event_type", "_metadata"), r"/(\w+)\.parquet(?:/|$)", ["feed"],
+                               full_path=True).drop("_metadata")
 
 
 @query("latest_partition", with_inputs("regions", "select * from regions where \"day\" = (select max(\"day\") from regions)"))

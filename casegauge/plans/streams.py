@@ -14,9 +14,8 @@ from casegauge.streaming import samples as ST
 
 
 def streamed_events(x):
-    """The events file as a stream."""
-    schema = x.table("events").schema
-    return ST.stream_samples(x.spark, x.folder, schema, format="parquet", glob="events.parquet")
+    """The events table as a stream; as a pattern, the path may be one file or a folder of files."""
+    return ST.stream_samples(x.spark, f"{x.folder}/event[s].parquet", x.table("events").schema, format="parquet")
 
 
 def samples(df):

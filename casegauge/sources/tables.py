@@ -50,9 +50,9 @@ def read_strict(spark: SparkSession, path: str, schema: StructType | str, sep: s
     return strict_rows(spark.read.schema(schema).option("sep", sep).option("mode", "FAILFAST").csv(path))
 
 
-def tag_from_filename(df: DataFrame, pattern: str, names: Sequence[str]) -> DataFrame:
-    """Columns from the groups of a pattern over the name of the file a row came from."""
-    file = F.col("_metadata.file_name")
+def tag_from_filename(df: DataFrame, pattern: str, names: Sequence[str], full_path: bool = False) -> DataFrame:
+    """Columns from the groups of a pattern over the name (or path) of the file a row came from."""
+    file = F.col("_metadata.file_path" if full_path else "_metadata.file_name")
     return df.select("*", *[F.regexp_extract(file, pattern, i + 1).alias(n) for i, n in enumerate(names)])
 
 
