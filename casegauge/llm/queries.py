@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casegauge.llm import decontaminate, exact_dedup, pieces, sharding, token_counts
+from casegauge.llm import decontaminate, exact_dedup, near_dedup, pieces, sharding, token_counts
 from casegauge.sources.tables import read_parquet as table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,8 @@ def op2_pieces(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), carry=["doc_id"])
+
+
+@query
+def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, folder, "documents"), carry=["doc_id"])
