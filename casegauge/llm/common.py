@@ -9,12 +9,28 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from casegauge.sources.tables import stored  # noqa: F401  (operators import it from here)
+from casegauge.session import scratch_dir
 
 WORD_CACHE = 300_000  # entries of a worker's word cache; it is emptied when full
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to the shared scratch folder and read back: computed once, and safe from the loss of
+    executors. The shuffle files of the writing query are given back at its end."""
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, label)
+    before = spark.conf.get(_TIDY, "false")
+    spark.conf.set(_TIDY, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_TIDY, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def packed(docs: DataFrame, carry: Sequence[str] | None, **parts: Column) -> DataFrame:
     """The columns that an operator needs under its own names, and those it passes on inside one
     struct `row`, so that no name of the input can clash with an internal one. `carry` names the

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casegauge.llm import decontaminate, exact_dedup, near_dedup, pieces, sharding, token_counts
+from casegauge.llm import decontaminate, exact_dedup, near_dedup, pieces, sharding, substring_dedup, token_counts
 from casegauge.sources.tables import read_parquet as table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,22 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, folder, "documents"), carry=["doc_id"])
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    out = substring_dedup.repeats_removed(table(spark, folder, "documents"), carry=["doc_id"])
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLES["op8_substring_dedup"] = r"""
+with d as (select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') w from documents),
+win as (select doc_id, i, array_to_string(w[i:i + 49], ' ') g from
+    (select doc_id, w, unnest(generate_series(1, len(w) - 49)) i from d where len(w) >= 50)),
+low as (select g, min(doc_id) m from win group by 1),
+gone as (select distinct doc_id, unnest(generate_series(i, i + 49)) p from win join low using (g) where m < doc_id),
+cut as (select doc_id, list(p) p from gone group by 1),
+kept as (select d.doc_id, len(w) n, coalesce(len(p), 0) r,
+    array_to_string(case when p is null then w else list_filter(list_transform(w, lambda x, i: case when list_contains(p, i) then null else x end),
+        lambda x: x is not null) end, ' ') t from d left join cut using (doc_id))
+select doc_id, cast(n as bigint) n_words, cast(r as bigint) n_removed, sha256(t) kept_sha256 from kept"""
