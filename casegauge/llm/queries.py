@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casegauge.llm import decontaminate, exact_dedup, near_dedup, pieces, sharding, substring_dedup, token_counts
+from casegauge.llm import decontaminate, exact_dedup, main_text, near_dedup, pieces, sharding, substring_dedup, token_counts
 from casegauge.sources.tables import read_parquet as table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,8 @@ kept as (select d.doc_id, len(w) n, coalesce(len(p), 0) r,
     array_to_string(case when p is null then w else list_filter(list_transform(w, lambda x, i: case when list_contains(p, i) then null else x end),
         lambda x: x is not null) end, ' ') t from d left join cut using (doc_id))
 select doc_id, cast(n as bigint) n_words, cast(r as bigint) n_removed, sha256(t) kept_sha256 from kept"""
+
+
+@query
+def op7_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text.main_texts(table(spark, folder, "pages"), carry=["page_id", "url"])
