@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +33,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def workers_find_package(spark) -> None:
+    """Put the folder of this package on the Python path of workers that are started from here on (in local
+    mode they otherwise look into the working directory; a cluster has the package installed)."""
+    root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in known.get("PYTHONPATH", "").split(os.pathsep):
+        known["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known.get("PYTHONPATH")]))
+
+
 def packed(docs: DataFrame, carry: Sequence[str] | None, **parts: Column) -> DataFrame:
     """The columns that an operator needs under its own names, and those it passes on inside one
     struct `row`, so that no name of the input can clash with an internal one. `carry` names the
     columns to pass on (None: all)."""
+    workers_find_package(docs.sparkSession)
     names = docs.columns if carry is None else list(carry)
     row = F.struct(*[docs[c] for c in names]) if names else F.struct(F.lit(0).alias("none"))
     return docs.select(row.alias("row"), *[c.alias(n) for n, c in parts.items()])

@@ -20,8 +20,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from casegauge.llm.common import WordHashes, Spans, as_signed, mixed, packed, stored, text_bytes, texts_of, unpacked, with_columns
-from casegauge.llm.components import components
+from casegauge.llm.buckets import linked, shared_buckets
+from casegauge.llm.common import Spans, WordHashes, as_signed, mixed, packed, stored, text_bytes, texts_of, unpacked, with_columns
 
 SHINGLE = 5
 ROWS, BANDS = 5, 50
@@ -103,15 +103,20 @@ def _similar(size: int, percent: int) -> Callable:
     return run
 
 
-def _alike(left: str, right: str, percent: int) -> Column:
+def _alike(percent: int) -> Callable[[Column, Column], Column]:
     """Sizes and bits allow the wanted similarity. Of m bits a share of (1 + s) / 2 agrees; 5.5 deviations below
     that for a pair at the threshold is the bound."""
     share = (1 + percent / 100) / 2
     m = ROWS * BANDS
     bound = int(m * (1 - share) + 5.5 * (m * share * (1 - share)) ** 0.5) + 1
-    differing = sum((F.bit_count(F.get(f"{left}.bits", F.lit(i)).bitwiseXOR(F.get(f"{right}.bits", F.lit(i)))) for i in range(BITS)), F.lit(0))
-    return ((F.col(f"{left}.n") * 100 >= F.col(f"{right}.n") * percent) & (F.col(f"{right}.n") * 100 >= F.col(f"{left}.n") * percent)
-            & (differing <= bound))
+
+    def check(l: Column, r: Column) -> Column:
+        bit = lambda t, i: F.get(t.getField("bits"), F.lit(i))
+        differing = sum((F.bit_count(bit(l, i).bitwiseXOR(bit(r, i))) for i in range(BITS)), F.lit(0))
+        n_l, n_r = l.getField("n"), r.getField("n")
+        return (n_l * 100 >= n_r * percent) & (n_r * 100 >= n_l * percent) & (differing <= bound)
+
+    return check
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT,
@@ -135,15 +140,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                                             F.first("buckets").alias("buckets"))
                    .withColumn("node", F.monotonically_increasing_id()), "classes")
 
-    placed = nodes.select("node", F.explode("buckets").alias("bucket"))
-    shared = placed.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("members")).where("members > 1")
-    members = stored(placed.join(shared.select("bucket", "hub"), "bucket"), "buckets")
-    traits = nodes.select("node", "n", "bits")
+    members = shared_buckets(nodes.select("node", F.explode("buckets").alias("bucket")))
     sources = docs.select(docs[id_col].alias("id"), F.xxhash64(text).alias("content"), text.alias("text"))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """Links among candidate pairs whose sizes and bits have passed: their texts are fetched and compared."""
-        pairs = stored(pairs, "pairs")
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
         at = wanted.join(nodes, "node").select("node", F.col("first.id").alias("id"), F.col("first.content").alias("content"))
         texts = stored(at.alias("w").join(sources.alias("s"), (F.col("w.content") == F.col("s.content")) & F.col("w.id").eqNullSafe(F.col("s.id")))
@@ -152,30 +153,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 .join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b"))
         return full.select("a", "b", "left", "right").mapInArrow(_similar(size, percent), "a long, b long")
 
-    stars = members.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    t = lambda name: traits.select(F.col("node").alias("n_" + name), F.struct("n", "bits").alias(name))
-    tried = (stars.join(t("l"), F.col("a") == F.col("n_l")).join(t("r"), F.col("b") == F.col("n_r"))
-             .where(_alike("l", "r", percent)).select("a", "b"))
-    links = stored(confirmed(tried), "links")
-    roots = stored(components(links), "roots")
-
-    # buckets that still hold several components: compare members of different ones
-    labelled = members.join(roots, "node", "left").select("bucket", "node", "hub", F.coalesce("root", "node").alias("root"))
-    mixed_up = labelled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
-    rest = stored(labelled.join(mixed_up, "bucket").join(traits, "node")
-                  .select("bucket", "node", "hub", "root", F.struct("n", "bits").alias("t")), "rest")
-    l, r = rest.select("bucket", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("t").alias("l")), rest.select(
-        "bucket", F.col("node").alias("b"), F.col("hub"), F.col("root").alias("root_b"), F.col("t").alias("r"))
-    open_pairs = (l.join(r, (l.bucket == r.bucket) & (F.col("a") > F.col("b")) & (F.col("b") != F.col("hub")) & (F.col("root_a") != F.col("root_b"))
-                         & _alike("l", "r", percent)).select("a", "b").distinct())
-    more = confirmed(open_pairs)
-    name = lambda side: roots.select(F.col("node").alias(side), F.col("root").alias("root_" + side))
-    bridges = more.join(name("a"), "a", "left").join(name("b"), "b", "left").select(
-        F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
-    upper = components(bridges).select(F.col("node").alias("root"), F.col("root").alias("top"))
-
-    classes = (nodes.select("node", "key", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-               .join(upper, "root", "left").select("key", "first", F.coalesce("top", "root").alias("top")))
+    roots = linked(members, nodes.select("node", F.struct("n", "bits").alias("t")), _alike(percent), confirmed)
+    classes = nodes.select("node", "key", "first").join(roots, "node", "left").select("key", "first", F.coalesce("root", "node").alias("top"))
     heads = classes.groupBy("top").agg(F.min("first").alias("head"))
     named = classes.join(heads, "top").select("key", F.col("head.id").alias("low"), F.col("head.at").alias("head_at"))
     out = signed.select("row", "id", "at", "n", "key").join(named, "key", "left")

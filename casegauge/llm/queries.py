@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casegauge.llm import decontaminate, exact_dedup, main_text, near_dedup, pieces, sharding, substring_dedup, token_counts
+from casegauge.llm import (decontaminate, exact_dedup, line_dedup, main_text, near_dedup, pieces, quality, sharding, substring_dedup,
+                           token_counts)
 from casegauge.sources.tables import read_parquet as table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +100,16 @@ select doc_id, cast(n as bigint) n_words, cast(r as bigint) n_removed, sha256(t)
 @query
 def op7_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return main_text.main_texts(table(spark, folder, "pages"), carry=["page_id", "url"])
+
+
+@query
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    out = quality.judged(table(spark, folder, "documents"), table(spark, folder, "labels"), carry=["doc_id"])
+    return out.select("doc_id", "host", "path", *[F.round(c, 6).alias(c) for c in ("p_quality", "p_toxic", "site_quality", "site_toxic")],
+                      "rejected")
+
+
+@query
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    out = line_dedup.lines_removed(table(spark, folder, "documents"), carry=["doc_id"])
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))

@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from casegauge.llm.common import packed, text_bytes, texts_of, unpacked, with_columns
+from casegauge.llm.common import packed, text_bytes, texts_of, unpacked, with_columns, workers_find_package
 
 SAMPLE_ROWS = 5_000  # documents from which the frequent pre-tokens are taken
 TABLE_SIZE = 20_000
@@ -86,6 +86,7 @@ def _frequent(path: str) -> Callable:
 def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", sample_rows: int = SAMPLE_ROWS,
                      table_size: int = TABLE_SIZE) -> dict[str, int]:
     """The tier that is broadcast: at most `table_size` pre-tokens with their lengths."""
+    workers_find_package(docs.sparkSession)
     rows = docs.select(text_bytes(docs[text_col]).alias("text"))
     total = docs.count()
     if not total:
