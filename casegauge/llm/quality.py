@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from casegauge.llm.common import packed, stored, text_bytes, texts_of, unpacked, with_columns, workers_find_package
 
 FEATURES = 1 << 16
+PENALTY = 0.03  # of the absolute weights; divided by the root of the number of labels, as chance finds fall with it
 MAX_LABELS = 20_000  # labelled rows that fit the model: those with the smallest hashes of their identifier
 HEADS = ("quality", "toxic")
 WORD_CACHE = 200_000
@@ -100,7 +101,7 @@ def _vector(slots):
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_labels: int = MAX_LABELS,
-        regularisation: float = 5e-4) -> dict[str, tuple[np.ndarray, float]]:
+        penalty: float = PENALTY) -> dict[str, tuple[np.ndarray, float]]:
     """Weights and bias of each head. At most `max_labels` labelled rows are used; a head without both
     outcomes among its labels is a constant."""
     workers_find_package(docs.sparkSession)
@@ -116,7 +117,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         counts = {r.label: r.n for r in own.groupBy("label").agg(F.count("*").alias("n")).collect()}
         yes, no = counts.get(1.0, 0), counts.get(0.0, 0)
         if yes and no:
-            model = LogisticRegression(maxIter=60, regParam=regularisation, elasticNetParam=1.0, standardization=False).fit(own)
+            model = LogisticRegression(maxIter=60, regParam=penalty / math.sqrt(yes + no), elasticNetParam=1.0, standardization=False).fit(own)
             weights[h] = (model.coefficients.toArray(), float(model.intercept))
         else:
             weights[h] = (np.zeros(FEATURES), math.log((yes + 1) / (no + 1)))
