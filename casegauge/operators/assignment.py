@@ -36,8 +36,8 @@ def duration_share(log: DataFrame, regions: DataFrame, uuid="mpd_uuid", snapshot
 
 
 def _client_rows(summary: DataFrame, clients: DataFrame, uuid: str) -> DataFrame:
-    longest = summary.groupBy(uuid).agg(F.max("mpd_dftime").alias("_max"))
     rows = summary.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+    longest = rows.groupBy(uuid).agg(F.max("mpd_dftime").alias("_max"))
     joined = rows.join(clients, "mpgid").join(longest, uuid)
     return joined.withColumn("_share", F.round(F.try_divide(F.col("mpd_dftime"), F.col("_max")), 3))
 

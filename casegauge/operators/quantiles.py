@@ -12,6 +12,7 @@ Two forms with the same result:
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -32,6 +33,13 @@ def _cell(v: Column) -> Column:
     return F.when(v >= 0, size).otherwise(-size - 1).cast("int")
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on keys that may be null: null meets null, as in a grouping. The keys come from the left side."""
+    other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = functools.reduce(lambda a, b: a & b, [left[k].eqNullSafe(other[f"_right_{k}"]) for k in keys])
+    return left.join(other, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def ranked_percentiles(df: DataFrame, keys: Sequence[str], value, probs: Sequence[float],
                        names: Sequence[str]) -> DataFrame:
     """keys + one double column per probability; null values are ignored as in `percentile`."""
@@ -55,7 +63,7 @@ def ranked_percentiles(df: DataFrame, keys: Sequence[str], value, probs: Sequenc
              .where(F.size("_want") > 0).select(*keys, "_cell", "_total", "_want"))
 
     inside = W.partitionBy(*keys, "_cell").orderBy("_v").rowsBetween(W.unboundedPreceding, -1)
-    picked = (counts.join(cells, [*keys, "_cell"])
+    picked = (null_safe_join(counts, cells, [*keys, "_cell"])
               .withColumn("_first", F.coalesce(F.sum("_c").over(inside), F.lit(0)))
               .withColumn("_hit", F.filter("_want", lambda w: (w["at"] >= F.col("_first"))
                                            & (w["at"] < F.col("_first") + F.col("_c"))))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from casegauge import CASE
 from casegauge.functions.metrics import excess_over, shortfall
-from casegauge.operators.quantiles import percentile_array, ranked_percentiles
+from casegauge.operators.quantiles import null_safe_join, percentile_array, ranked_percentiles
 
 # Time-percentile labels and their probabilities.
 HIGH_IS_BAD = {"t95": 0.9584, "t90": 0.9167, "t85": 0.8572, "t75": 0.75, "t50": 0.5}
@@ -172,7 +172,7 @@ def load_stats(df: DataFrame, keys: Sequence[str] = CASE, load="total_bps", ping
     peak = ranked_percentiles(df, keys, load, [0.95], ["_p"])
     rest = df.groupBy(*keys).agg(F.round(F.sum(F.col(ping)).cast("double") / 1024 / 1024, 4).alias("ping_mbps"),
                                  F.min(p2t).alias("p2t_bps_pct_min"))
-    return rest.join(peak, keys).select(*keys, F.round("_p", 4).alias("peak95_kbps"), "ping_mbps", "p2t_bps_pct_min")
+    return null_safe_join(rest, peak, keys, "left").select(*keys, F.round("_p", 4).alias("peak95_kbps"), "ping_mbps", "p2t_bps_pct_min")
 
 
 def rolling_summary(df: DataFrame, ts: str, days: int, metrics: Sequence[Metric], step_days: int = 1,
@@ -214,4 +214,5 @@ def io_rollup_summary(df: DataFrame, keys: Sequence[str] = CASE,
     mean = df.groupBy(*keys).agg(*[F.avg(c).cast("long").alias(f"{c}_t50") for c in (*counters, *mixed)],
                                  *[F.round(F.avg(c), 3).alias(f"{c}_t50") for c in ratios],
                                  F.count(F.lit(1)).alias("case_count"))
-    return top.join(mean, keys)
+    return null_safe_join(mean, top, keys, "left").select(*keys, *[c for c in top.columns if c not in keys],
+                                                          *[c for c in mean.columns if c not in keys])

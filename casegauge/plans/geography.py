@@ -195,9 +195,19 @@ def _(x):
     return distance_latency_stats(x.probes(), ["ppip"], attributes=["pp_state"])
 
 
-@query("distance_latency_p_value")
+# Two-sided p of a correlation r over n points: with sin(a) = |r|, the share of cos(t)^(n-3) beyond a on 0..pi/2 (Simpson's rule).
+P_VALUE = with_inputs("probes", f"""select ppip, n_valid, {rounded('case when n_valid > 10 then r else 0 end', 6)} r, {rounded('case when n_valid > 10 then p else 1 end', 6)} rpv from
+    (select ppip, any_value(n_valid) n_valid, any_value(r) r,
+        sum((case when i in (0, 40000) then 1 else 2 + 2*(i % 2) end)*pow(abs(cos(a + (pi()/2 - a)*i/40000.0::double)), n_valid - 3))*(pi()/2 - any_value(a))/120000
+            *2*exp(lgamma((any_value(n_valid) - 1)/2.0::double) - lgamma((any_value(n_valid) - 2)/2.0::double))/sqrt(pi()) p
+     from (select *, asin(least(abs(r), 1.0::double)) a from (select ppip, count(*) filter (latency < 10000) n_valid,
+        corr(latency, distance) filter (latency < 10000) r from probes group by ppip)), range(40001) t(i) group by ppip)""")
+
+
+@query("distance_latency_p_value", P_VALUE)
 def _(x):
-    return distance_latency_stats(x.probes(), ["ppip"], p_value=True).select("ppip", "n_valid", "r", "rpv")
+    out = distance_latency_stats(x.probes(), ["ppip"], p_value=True)
+    return out.select("ppip", "n_valid", "r", F.round("rpv", 6).alias("rpv"))
 
 
 @query("probe_points", with_inputs("probes", f"""select ppip, cast(0 as int) part, count(*) points, string_agg({rounded('distance', 3)}, ':' order by distance, latency) dist,

@@ -126,10 +126,12 @@ class Inputs:
             big(F.col("l_tax") * 1000000).alias("disk"))
 
     def machines(self) -> DataFrame:
-        k = F.col("s_suppkey")
+        """Every machine in every year that has traffic; the years are bounded by the calendar."""
+        k, year = F.col("s_suppkey"), F.year("l_shipdate")
+        first, last = self.table("lineitem").agg(F.min(year), F.max(year)).first()
         return self.table("supplier").select(
             F.concat(F.lit("m"), k.cast("string")).alias("ghostip"), k.alias("region"), F.col("s_name").alias("regionname"),
-            F.explode(F.sequence(F.lit(1995), F.lit(2001))).alias("ts"))
+            F.explode(F.sequence(F.lit(first), F.lit(last))).alias("ts"))
 
     def locations(self) -> DataFrame:
         return self.table("supplier").select(F.col("s_suppkey").alias("region"), F.col("s_nationkey").alias("location"))
@@ -163,7 +165,7 @@ class Inputs:
         w = (v * 100).cast("long").cast("double")
         return self.table("events").select(
             to_int(u % 5).alias("maprule"), F.col("event_type").alias("geoname"),
-            F.when(u % 2 == 0, F.lit("ANY")).otherwise(F.lit("N1")).alias("netname"), (u % 100 + 1).alias("region"),
+            F.when(u % 2 == 0, F.lit("ANY")).otherwise(F.lit("N1")).alias("netname"), (u + 1).alias("region"),
             (w / 128).alias("score"), to_int(v).alias("nsd_demand"), to_int(v * 2).alias("eu_demand"), (v * 100).cast("long").alias("ra_load"),
             (w / 1024).alias("case_percent_pre_norm_load"), (w / 512).alias("case_percent_load"),
             (w / 2048).alias("recorded_load_percentage"), F.date_format("ts", "yyyyMMdd").alias("datestamp"),
@@ -239,8 +241,8 @@ class Inputs:
             frac(13).alias("in_provider_pct"))
 
     def members(self) -> DataFrame:
-        """Distinct (network, AS number) pairs; AS numbers are 16-bit, so a list is bounded."""
-        return self.table("events").select(F.col("event_type").alias("name"), to_int(F.col("user_id") % 65536).alias("asnum")).distinct()
+        """Distinct (network, AS number) pairs."""
+        return self.table("events").select(F.col("event_type").alias("name"), to_int("user_id").alias("asnum")).distinct()
 
     def plan(self) -> DataFrame:
         """Planned load and score per case and month."""

@@ -65,7 +65,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         from lineitem"""),
     "machines": ((), """
         select 'm' || s_suppkey ghostip, s_suppkey region, s_name regionname, cast(y as int) ts
-        from supplier, unnest(range(1995, 2002)) t(y)"""),
+        from supplier, (select unnest(range(min(year(l_shipdate)), max(year(l_shipdate)) + 1)) y from lineitem)"""),
     "machine_traffic": (("traffic", "machines"), """
         select maprule_id, region, cast(sum(bytes) as bigint) bytes, cast(sum(bytes_in) as bigint) bytes_in, cast(sum(hits) as bigint) hits,
                cast(sum(connections) as bigint) connections, cast(sum(flytes) as bigint) flytes, cast(sum(cpu) as bigint) cpu,
@@ -86,7 +86,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "newest": (("regions",), "select * from regions where \"day\" = (select max(\"day\") from regions)"),
     "region_sample": ((), f"""
         select cast(user_id % 5 as int) maprule, event_type geoname, case when user_id % 2 = 0 then 'ANY' else 'N1' end netname,
-               user_id % 100 + 1 region, cast({_big('"value"*100')} as double)/128 score, {_int('"value"')} nsd_demand, {_int('"value"*2')} eu_demand, {_big('"value"*100')} ra_load,
+               user_id + 1 region, cast({_big('"value"*100')} as double)/128 score, {_int('"value"')} nsd_demand, {_int('"value"*2')} eu_demand, {_big('"value"*100')} ra_load,
                cast({_big('"value"*100')} as double)/1024 case_percent_pre_norm_load, cast({_big('"value"*100')} as double)/512 case_percent_load,
                cast({_big('"value"*100')} as double)/2048 recorded_load_percentage,
                strftime(ts, '%Y%m%d') datestamp, strftime(ts, '%H') as \"hour\",
@@ -138,7 +138,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                case when n_name = 'NATION_3' then 0.0::double else avg(cast(c_custkey % 11 as double)/11) end has_pp_pct,
                avg(cast(c_custkey % 13 as double)/13) in_provider_pct
         from orders join customers on o_custkey = c_custkey group by 1, 2, 3"""),
-    "members": ((), "select distinct event_type as \"name\", cast(user_id % 65536 as int) asnum from events"),
+    "members": ((), "select distinct event_type as \"name\", cast(user_id as int) asnum from events"),
     "plan": (("line_cases",), """
         select maprule, geoname, netname, cast(strftime(to_timestamp(ts) at time zone 'UTC', '%Y%m') as int) \"month\", cast(sum(q) as double) load,
                cast(max(q + maprule) as double) score, case when max(d) > 9 then 10000 else 30 end score_target

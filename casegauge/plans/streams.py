@@ -33,30 +33,33 @@ SAMPLES = """select event_id, ts, cast(user_id % 5 as int) maprule, event_type g
     cast(sum(ra_load) as bigint) ra_load, cast(sum(nsd_demand) as bigint) nsd_demand, {rounded('avg(score)', 4)} avg_score, count(*) samples
     from s where date_trunc('hour', ts) + interval 1 hour <= date_trunc('milliseconds', (select max(ts) from s)) - interval 6 hour group by 1, 2, 3, 4, 5""")
 def _(x):
-    """Hours that are closed at the end of the stream, six hours of lateness allowed."""
-    out, state = scratch_dir(x.spark, "hourly"), scratch_dir(x.spark, "hourly-state")
-    ST.run_available(ST.hourly_rollup(samples(streamed_events(x)), "ts"), out, state)
-    return x.spark.read.parquet(out).withColumns({"hour_start": F.unix_timestamp("hour_start"), "avg_score": F.round("avg_score", 4)})
+    """Hours that are closed at the end of the stream, six hours of lateness allowed; late rows are counted in."""
+    store, out, ledger = (scratch_dir(x.spark, n) for n in ("hourly-store", "hourly", "hourly-ledger"))
+    ST.run_batches(samples(streamed_events(x)), scratch_dir(x.spark, "hourly-state"), ST.rebuild_hours(store, out, ledger, "ts"))
+    newest = x.spark.read.parquet(ledger).agg(F.max("newest")).first()[0]
+    rows = x.spark.read.parquet(out).withColumn("_end", F.timestamp_seconds(F.col("_hour") + 3600))
+    closed = rows.where(F.col("_end") <= F.date_trunc("millisecond", F.lit(newest)) - F.make_interval(hours=F.lit(6)))
+    return closed.select(F.col("_hour").cast("long").alias("hour_start"), *CASE, "region", "ra_load", "nsd_demand",
+                         F.round("avg_score", 4).alias("avg_score"), "samples")
 
 
 @query("stream_dedup", f"select event_id, maprule, geoname, region, ra_load from ({SAMPLES})")
 def _(x):
     """Each sample delivered twice, kept once."""
     twice = samples(streamed_events(x)).withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
-    out, state = scratch_dir(x.spark, "dedup"), scratch_dir(x.spark, "dedup-state")
-    ST.run_available(ST.dedup_samples(twice, "ts", ["event_id"]), out, state)
-    return x.spark.read.parquet(out).select("event_id", "maprule", "geoname", "region", "ra_load")
+    out = scratch_dir(x.spark, "dedup")
+    ST.run_batches(twice, scratch_dir(x.spark, "dedup-state"), ST.keep_first(out, "ts", ["event_id"]))
+    return ST.batch_rows(x.spark, out, "event_id bigint, maprule int, geoname string, region bigint, ra_load bigint")
 
 
 @query("stream_partitioned_sink", f"select event_id, maprule, geoname, strftime(ts, '%Y%m%d') datestamp from ({SAMPLES})")
 def _(x):
-    """Batches replace their day partitions; the stream is run twice and the result stays."""
+    """Batches lie by day and batch; the stream is run twice and the result stays."""
     out = scratch_dir(x.spark, "replace")
     rows = samples(streamed_events(x)).select("event_id", "maprule", "geoname", F.date_format("ts", "yyyyMMdd").alias("datestamp"))
     for run in (1, 2):
         ST.run_batches(rows, scratch_dir(x.spark, f"replace-state{run}"), ST.replace_partitions(out, ["datestamp"]))
-    schema = "event_id bigint, maprule int, geoname string, datestamp string"
-    return x.spark.read.schema(schema).parquet(out)
+    return ST.batch_rows(x.spark, out, "event_id bigint, maprule int, geoname string, datestamp string")
 
 
 DEMAND = Metric("dem", "nsd_demand", "target", "target")

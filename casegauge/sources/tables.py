@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -25,17 +26,19 @@ def ingest_feed(spark: SparkSession, path: str, schema: StructType, key: str, se
                 leading: str = "_stamp") -> DataFrame:
     """Query output with banner lines above the data and a timestamp in front of every row.
 
-    Files are split across tasks, so banner lines are told by content, not by position: their key
-    does not parse. A record with too many or too few fields is an error, as is a data field that
-    does not parse."""
+    Files are split across tasks, so banner lines are told by their own text, not by position: empty lines, the
+    header (the names of the columns after a first field) and rules of dashes. Everything else is data: a record with
+    too many or too few fields or without a key is an error, as is a field that does not parse."""
     names = [leading, *schema.fieldNames()]
     n = len(names)
-    fields = F.split("value", sep, -1)
-    raw = spark.read.text(path).select(fields.alias("f"))
-    key_at = names.index(key)
-    data = raw.where(F.get("f", F.lit(key_at)).try_cast(schema[key].dataType.simpleString()).isNotNull())
-    checked = data.withColumn("f", F.when(F.size("f") == n, F.col("f")).otherwise(
-        F.raise_error(F.concat(F.lit("ragged row: "), F.array_join("f", sep)))))
+    line = F.trim("value")
+    rule = F.regexp_replace(line, r"[-=+|\s]", "") == F.lit("")
+    rule = rule | (F.regexp_replace(line, f"[-=+|\\s{re.escape(sep)}]", "") == F.lit("")) & line.rlike("[-=]")
+    header = F.lower(F.regexp_replace(line, r"\s", "")).endswith(sep + sep.join(schema.fieldNames()).lower())
+    raw = spark.read.text(path).where(~rule & ~header).select(F.split("value", sep, -1).alias("f"))
+    whole = (F.size("f") == n) & (F.trim(F.get("f", F.lit(names.index(key)))) != F.lit(""))
+    checked = raw.withColumn("f", F.when(whole, F.col("f")).otherwise(
+        F.raise_error(F.concat(F.lit("ragged row or no key: "), F.array_join("f", sep)))))
     empty_as_null = lambda i: F.nullif(F.get("f", F.lit(i)), F.lit(""))
     return checked.select(*[empty_as_null(i + 1).cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])
 
@@ -92,8 +95,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def append_partition(df: DataFrame, path: str, parts: Sequence[str], format: str = "parquet", **options) -> None:
-    """Add rows as new files; the commit protocol removes the output of failed attempts."""
-    df.write.format(format).options(**options).mode("append").partitionBy(*parts).save(path)
+    """Add rows as new files, rebalanced as in `overwrite_partition`; the commit protocol removes the output of
+    failed attempts."""
+    df.hint("rebalance", *parts).write.format(format).options(**options).mode("append").partitionBy(*parts).save(path)
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = "\t", header: bool = False, parts: Sequence[str] = (),

@@ -4,42 +4,94 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from casegauge import CASE
 from casegauge.sources.tables import overwrite_partition, tag_from_filename
 
-LATE = "6 hours"
+LATE, LATE_SECONDS = "6 hours", 6 * 3600
+BATCH = "_batch"
 
 
 def stream_samples(spark: SparkSession, folder: str, schema: StructType | str, format: str = "csv", glob: str | None = None,
-                   name_pattern: str | None = None, names: Sequence[str] = (), per_trigger: int = 1000, **options) -> DataFrame:
-    """Every file of a folder once; the file names may carry columns such as the sample time."""
-    reader = spark.readStream.format(format).schema(schema).options(**options).option("maxFilesPerTrigger", per_trigger)
+                   name_pattern: str | None = None, names: Sequence[str] = (), per_trigger: int | None = None, **options) -> DataFrame:
+    """Every file of a folder once; the file names may carry columns such as the sample time.
+
+    A batch takes all files that are there, unless `per_trigger` names a number; how files are cut into batches
+    does not change what the sinks below end up with."""
+    reader = spark.readStream.format(format).schema(schema).options(**options)
+    if per_trigger:
+        reader = reader.option("maxFilesPerTrigger", per_trigger)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     df = reader.load(folder)
     return tag_from_filename(df, name_pattern, names) if name_pattern else df
 
 
+def _hour_columns() -> list[Column]:
+    return [F.sum("ra_load").alias("ra_load"), F.sum("nsd_demand").alias("nsd_demand"), F.avg("score").alias("avg_score"),
+            F.count(F.lit(1)).alias("samples")]
+
+
 def hourly_rollup(samples: DataFrame, time: str, keys: Sequence[str] = (*CASE, "region"), late: str = LATE,
                   width: str = "1 hour") -> DataFrame:
-    """Sums, means and counts per tumbling hour and key. Rows later than `late` are dropped; an hour
-    is emitted once, when no row for it can be accepted any more. State: one row per open (hour, key)."""
+    """Sums, means and counts per tumbling hour and key, for streams that arrive in time order. Rows later than
+    `late` are dropped; an hour is emitted once, when no row for it can be accepted any more. State: one row per
+    open (hour, key). Where files may come in any order, use `rebuild_hours`."""
     w = F.window(time, width)
-    return (samples.withWatermark(time, late).groupBy(w.alias("_w"), *keys)
-            .agg(F.sum("ra_load").alias("ra_load"), F.sum("nsd_demand").alias("nsd_demand"), F.avg("score").alias("avg_score"),
-                 F.count(F.lit(1)).alias("samples"))
+    return (samples.withWatermark(time, late).groupBy(w.alias("_w"), *keys).agg(*_hour_columns())
             .select(F.col("_w.start").alias("hour_start"), *keys, "ra_load", "nsd_demand", "avg_score", "samples"))
 
 
+def rebuild_hours(store: str, target: str, ledger: str, time: str, keys: Sequence[str] = (*CASE, "region"),
+                  late_seconds: int = LATE_SECONDS) -> Callable[[DataFrame, int], None]:
+    """Batch sink: hourly sums, means and counts in which every row counts, however late it is.
+
+    A batch is added to the sample store, partitioned by day and batch, and the hours (`_hour`, seconds) of the days
+    it touches are rebuilt from the store and replace their partitions of the target. The ledger gets one row per
+    batch and hour: its rows, how many of them were more than `late_seconds` behind the newest row of the batches before,
+    and the newest time. A repeated batch has one effect."""
+
+    def each(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        second = F.unix_timestamp(time)
+        placed = batch.withColumns({"_hour": second - second % 3600, "_day": second - second % 86400, BATCH: F.lit(number)})
+        overwrite_partition(placed, store, ["_day", BATCH])
+        rows = spark.read.parquet(store)
+        own = rows.where(F.col(BATCH) == number)
+        entries = "_hour long, rows long, late long, newest timestamp, _batch int"
+        before = spark.read.schema(entries).parquet(ledger).where(F.col(BATCH) < number).agg(F.max("newest")).first()[0] if number else None
+        late = F.lit(False) if before is None else F.col(time) < F.lit(before) - F.make_interval(secs=F.lit(late_seconds))
+        seen = own.groupBy("_hour").agg(F.count(F.lit(1)).alias("rows"), F.count_if(late).alias("late"), F.max(time).alias("newest"))
+        overwrite_partition(seen.withColumn(BATCH, F.lit(number)), ledger, [BATCH])
+        touched = rows.join(own.select("_day").distinct(), "_day", "left_semi")
+        overwrite_partition(touched.groupBy("_day", "_hour", *keys).agg(*_hour_columns()), target, ["_day"])
+
+    return each
+
+
 def dedup_samples(samples: DataFrame, time: str, ids: Sequence[str], late: str = LATE) -> DataFrame:
-    """Drops repeats of a sample that arrive within the watermark."""
+    """Drops repeats of a sample that arrive within the watermark, and rows behind it: for streams in time order.
+    Where files may come in any order, use `keep_first`."""
     return samples.withWatermark(time, late).dropDuplicatesWithinWatermark(list(ids))
 
 
+def keep_first(store: str, time: str, ids: Sequence[str]) -> Callable[[DataFrame, int], None]:
+    """Batch sink that keeps one row for each identifier, however late its repeats come. Repeats have the same time, so
+    a batch is compared with the days it touches only. Rows lie by day and batch (`batch_rows` reads them)."""
+
+    def each(batch: DataFrame, number: int) -> None:
+        fresh = batch.dropDuplicates(list(ids)).withColumn("_day", F.date_format(time, "yyyyMMdd"))
+        if number:
+            old = batch.sparkSession.read.parquet(store).where(F.col(BATCH) < number)
+            fresh = fresh.join(old.select(*ids, F.col("_day").cast("string").alias("_day")), [*ids, "_day"], "left_anti")
+        overwrite_partition(fresh.withColumn(BATCH, F.lit(number)), store, ["_day", BATCH])
+
+    return each
+
+
 def run_available(df: DataFrame, path: str, checkpoint: str, parts: Sequence[str] = ()) -> StreamingQuery:
     """Process all files present and stop; results are appended exactly once."""
     writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).option("path", path)
@@ -58,8 +110,15 @@ def run_batches(df: DataFrame, checkpoint: str, each: Callable[[DataFrame, int],
 
 
 def replace_partitions(path: str, parts: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """Batch sink that replaces the partitions it holds: a repeated batch has one effect."""
-    return lambda batch, _id: overwrite_partition(batch, path, parts)
+    """Batch sink: a repeated batch replaces its own rows and leaves those of other batches, also in the partitions
+    that they share. Rows lie below the partition columns and the batch (`batch_rows` reads them)."""
+    return lambda batch, number: overwrite_partition(batch.withColumn(BATCH, F.lit(number)), path, [*parts, BATCH])
+
+
+def batch_rows(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """The rows of a batch sink, without its own columns."""
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return spark.read.schema(fields).parquet(path).select(*fields.fieldNames())
 
 
 def store_then_recompute(store: str, ts: str, compute: Callable[[DataFrame], DataFrame], target: str, part: str,

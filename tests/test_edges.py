@@ -262,3 +262,14 @@ def test_snapshots(spark):
     hours = spark.createDataFrame([(0,), (7200,)], "h long")
     assert [r.h for r in P.missing_partitions(hours.withColumn("k", F.lit(1)), ["k"], "h", 3600).collect()] == [3600]
     assert sorted(r.h for r in P.last_hours(hours, "h", 10900, hours=3).collect()) == [3600]
+
+
+def test_summaries_keep_null_groups_and_null_keys(spark):
+    """A case without loads, and rows without a case, have their row in the result."""
+    df = spark.createDataFrame([(1, "A", "n", None, 5, 7), (2, "A", "n", 100, 5, 7), (None, "A", "n", 50, 5, 7), (None, "A", "n", 150, 5, 9)],
+                               "maprule int, geoname string, netname string, total_bps long, ping_bps long, p2t_bps_pct int")
+    got = {r.maprule: (r.peak95_kbps, r.p2t_bps_pct_min) for r in S.load_stats(df).collect()}
+    assert got == {1: (None, 7), 2: (100.0, 7), None: (145.0, 7)}
+    io = df.selectExpr("maprule", "geoname", "netname", "total_bps ra_load", "cast(total_bps as double) io", "cast(ping_bps as double) cpu")
+    rows = {r.maprule: (r.ra_load_t95, r.case_count) for r in S.io_rollup_summary(io, counters=["ra_load"], ratios=["io"], mixed=["cpu"]).collect()}
+    assert rows == {1: (None, 1), 2: (100, 1), None: (145, 2)}

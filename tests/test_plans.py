@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from casegauge.operators import joins as J, summary as S
 from casegauge.operators.topn import top_n_per_key
+from casegauge.plans import catalog
 from casegauge.plans.inputs import Inputs
 
 FOLDER = "/root/testdata/sf0.001"
@@ -15,7 +16,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-READS_ONLY = [n for n in entry.queries() if not n.startswith("stream_")]
+READS_ONLY = [n for n in catalog.QUERIES if not n.startswith("stream_")]
 
 
 @pytest.mark.parametrize("name", READS_ONLY)

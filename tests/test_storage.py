@@ -22,7 +22,7 @@ def test_banner_lines_and_leading_stamp(spark, tmp_path):
     assert [tuple(r) for r in T.strict_rows(df).collect()] == [("C1", 5, 30)]
 
 
-@pytest.mark.parametrize("bad", ["2024-01-01,C1,5,30,9", "2024-01-01,C1,5", "2024-01-01,C1,5,x"])
+@pytest.mark.parametrize("bad", ["2024-01-01,C1,5,30,9", "2024-01-01,C1,5", "2024-01-01,C1,5,x", "2024-01-01,C1,5x,1", "2024-01-01,C1,,1", "noise"])
 def test_ragged_or_unparsable_rows_fail(spark, tmp_path, bad):
     path = write(tmp_path, "2024-01-01,C2,6,1", bad)
     with pytest.raises(Exception):

@@ -1,5 +1,7 @@
 """Streams: late rows, repeated rows and files, idempotent sinks."""
 
+import random
+
 from pyspark.sql import functions as F
 from pyspark.testing import assertDataFrameEqual
 
@@ -64,13 +66,62 @@ def test_repeated_rows_count_once(spark, tmp_path):
 
 
 def test_batch_sink_is_idempotent(spark, tmp_path):
+    """A repeated batch has one effect; a later batch of the same partition adds to it."""
     out = str(tmp_path / "out")
     sink = ST.replace_partitions(out, ["day"])
     batch = spark.createDataFrame([(1, "a"), (2, "b")], "id int, day string")
     for _ in range(2):
         sink(batch, 0)
     sink(spark.createDataFrame([(9, "b")], "id int, day string"), 1)
-    assert sorted((r.id, r.day) for r in spark.read.parquet(out).collect()) == [(1, "a"), (9, "b")]
+    assert sorted((r.id, r.day) for r in ST.batch_rows(spark, out, "id int, day string").collect()) == [(1, "a"), (2, "b"), (9, "b")]
+
+
+def random_files(src, items, files, seed=3):
+    """The rows in many files, in random time order."""
+    rng = random.Random(seed)
+    rng.shuffle(items)
+    for f in range(files):
+        lines = "\n".join(f"{i},{sec},1,A,n,1,2.0,{d},10" for i, sec, d in items[f::files])
+        src.mkdir(exist_ok=True)
+        (src / f"s.{f}.csv").write_text(lines + "\n")
+
+
+def test_rebuilt_hours_do_not_depend_on_files(spark, tmp_path):
+    """One file, and the same rows in seven files and batches in random time order: the same hours; late rows are counted."""
+    items = [(i, i * 397, i % 9) for i in range(1000)]
+    got = []
+    for name, files in (("one", 1), ("many", 7)):
+        src = tmp_path / name
+        random_files(src, list(items), files)
+        store, out, ledger, state = (str(tmp_path / f"{name}-{x}") for x in ("store", "out", "ledger", "state"))
+        ST.run_batches(timed(ST.stream_samples(spark, str(src), SCHEMA, per_trigger=1)), state, ST.rebuild_hours(store, out, ledger, "ts"))
+        got.append(sorted((r["_hour"], r.samples, r.nsd_demand, r.ra_load) for r in spark.read.parquet(out).collect()))
+        seen = spark.read.parquet(ledger).agg(F.sum("rows"), F.sum("late"), F.countDistinct("_batch")).first()
+        assert seen[0] == 1000 and (seen[1] > 0) == (files > 1) and seen[2] == files
+    want = {}
+    for _, sec, d in items:
+        h = sec - sec % H
+        want[h] = (want.get(h, (0, 0))[0] + 1, want.get(h, (0, 0))[1] + d)
+    assert got[0] == got[1] == sorted((h, n, d, 10 * n) for h, (n, d) in want.items())
+
+
+def test_first_rows_are_kept_whatever_the_order(spark, tmp_path):
+    items = [(i % 300, (i % 300) * 997, 1) for i in range(900)]
+    for name, files in (("one", 1), ("many", 6)):
+        src = tmp_path / name
+        random_files(src, list(items), files)
+        out, state = str(tmp_path / f"{name}-out"), str(tmp_path / f"{name}-state")
+        ST.run_batches(timed(ST.stream_samples(spark, str(src), SCHEMA, per_trigger=1)), state, ST.keep_first(out, "ts", ["id"]))
+        assert sorted(r.id for r in ST.batch_rows(spark, out, "id long").collect()) == list(range(300))
+
+
+def test_partitioned_sink_keeps_the_rows_of_all_batches(spark, tmp_path):
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    random_files(src, [(i, (i * 7919) % (5 * 86400), 1) for i in range(400)], 6)
+    stream = ST.stream_samples(spark, str(src), SCHEMA, per_trigger=1).select("id", F.date_format(F.timestamp_seconds("sec"), "yyyyMMdd").alias("day"))
+    for run in (1, 2):
+        ST.run_batches(stream, str(tmp_path / f"state{run}"), ST.replace_partitions(out, ["day"]))
+    assert sorted(r.id for r in ST.batch_rows(spark, out, "id long, day string").collect()) == list(range(400))
 
 
 def test_rolling_summary_of_a_stream_equals_the_batch(spark, tmp_path):
