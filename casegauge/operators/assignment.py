@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from casegauge.functions.geo import haversine_miles
 from casegauge.functions.metrics import entropy, is_continent_fallback, is_even, is_local
 from casegauge.operators.joins import members_of
-from casegauge.operators.lists import PART_ROWS, joined_lists
+from casegauge.operators.lists import list_item, list_texts
 from casegauge.sources.snapshots import latest_partition
 
 
@@ -42,14 +42,13 @@ def _client_rows(summary: DataFrame, clients: DataFrame, uuid: str) -> DataFrame
     return joined.withColumn("_share", F.round(F.try_divide(F.col("mpd_dftime"), F.col("_max")), 3))
 
 
-def assignment_stats(summary: DataFrame, clients: DataFrame, uuid="mpd_uuid", normalise_entropy: bool = False,
-                     part_rows: int = PART_ROWS) -> DataFrame:
+def assignment_stats(summary: DataFrame, clients: DataFrame, uuid="mpd_uuid", normalise_entropy: bool = False) -> DataFrame:
     """Per (client, rule): duration-weighted means, ratios in percent, mean distance, number of
     regions, entropy, total duration, and lists of regions by falling share.
 
     Shares are relative to the longest duration of the run, so the entropy is that of unnormalised
-    shares unless `normalise_entropy`. Scalars and lists are two aggregations: the first combines on
-    the map side, the second is built in bounded parts."""
+    shares unless `normalise_entropy`. Scalars and lists come from one aggregation: a client's lists are bounded by the
+    region dimension and its links."""
     rows = _client_rows(summary, clients, uuid)
     keys = [uuid, "nsip", "mrid", "mpgid"]
     attributes = ["mpg_type", "ns_demand", "ns_asnum", "ns_country", "ns_continent", "ns_lat", "ns_lon", "mpg_load"]
@@ -70,14 +69,14 @@ def assignment_stats(summary: DataFrame, clients: DataFrame, uuid="mpd_uuid", no
 
     same = lambda a, b: F.when(F.col(a) == F.col(b), d).otherwise(F.lit(0.0))
     away = haversine_miles("ns_lat", "ns_lon", "latitude", "longitude") * d
-    scalars = rows.groupBy(*keys, *attributes).agg(
+    aggregates = [
         *[mean(F.col(c), 3).alias(f"avg_{c}") for c in ("min_s", "max_s", "min_r", "max_r")],
         *[mean(F.col(c), 2, 100.0).alias(f"{c}_ratio") for c in ("ping", "local", "cont_fb")],
         mean(same("continent", "ns_continent"), 2, 100.0).alias("in_cont_ratio"),
         mean(same("country", "ns_country"), 2, 100.0).alias("in_country_ratio"),
         mean(F.col("prp"), 2, 100.0).alias("private_ratio"), mean(away, 2, add=F.sum).alias("avg_distance"),
         F.count(F.lit(1)).alias("num_region_mapped"), F.round(entropy("_p"), 6).alias("mapping_entropy"),
-        F.round(total, 3).alias("sum_dftime"))
+        F.round(total, 3).alias("sum_dftime")]
 
     each = lambda c: F.round(F.try_divide(F.col(c), d), 2)
     lists = {
@@ -87,7 +86,9 @@ def assignment_stats(summary: DataFrame, clients: DataFrame, uuid="mpd_uuid", no
         "list_min_s": each("min_s"), "list_max_s": each("max_s"), "list_min_r": each("min_r"), "list_max_r": each("max_r"),
         "region_lats": F.round("latitude", 3), "region_lons": F.round("longitude", 3)}
     order = [-F.col("_share"), F.col("region"), F.col("link")]
-    return scalars.join(joined_lists(rows, keys, lists, order, part_rows=part_rows, count_name="listed"), keys)
+    grouped = rows.withColumn("_item", list_item(lists, order)).groupBy(*keys, *attributes).agg(
+        *aggregates, F.array_sort(F.collect_list("_item")).alias("_items"))
+    return grouped.select("*", F.size("_items").cast("long").alias("listed"), *list_texts(F.col("_items"), list(lists))).drop("_items")
 
 
 def client_entropy(summary: DataFrame, clients: DataFrame, uuid="mpd_uuid", normalise: bool = False) -> DataFrame:

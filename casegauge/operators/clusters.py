@@ -10,7 +10,7 @@ from casegauge.functions.geo import centroid_aggs, centroid_columns, haversine_m
 from casegauge.functions.metrics import class_map, split_by_class
 from casegauge.functions.text import EMPTY_LIST
 from casegauge.operators.joins import distance_join, explode_join
-from casegauge.operators.lists import PART_ROWS, joined_lists
+from casegauge.operators.lists import items_with_totals, joined_lists
 
 NEAR_MILES, SAME_COUNTRY_MILES = 500.0, 1000.0
 MIN_LOAD = 0.0001
@@ -62,11 +62,13 @@ def cluster_by_set(grouped: DataFrame) -> DataFrame:
                          "nvips", "nreg", F.round("_load", 6).alias("load"), "nmpg")
 
 
-def cluster_members(grouped: DataFrame, member: str, part_rows: int = PART_ROWS, name: str = "members") -> DataFrame:
-    """The sorted distinct members (groups, networks, addresses) of every cluster, in parts."""
-    rows = grouped.select("region_list", member).where(F.col(member).isNotNull()).distinct()
-    return joined_lists(rows, ["region_list"], {name: F.col(member)}, [F.col(member)], part_rows=part_rows,
-                        count_name=f"n_{name}")
+def distinct_members(grouped: DataFrame, member: str) -> DataFrame:
+    return grouped.select("region_list", member).where(F.col(member).isNotNull()).distinct()
+
+
+def cluster_members(grouped: DataFrame, member: str, count_name: str = "n_members") -> DataFrame:
+    """The distinct members (groups, networks, addresses) of every cluster, one row each, with their number."""
+    return items_with_totals(distinct_members(grouped, member), ["region_list"], count_name)
 
 
 def weighted_centroid(df: DataFrame, keys: Sequence[str], lat="lat", lon="lon", weight="load") -> DataFrame:
@@ -98,17 +100,16 @@ def attach_public(clusters: DataFrame, regions: DataFrame, miles: float = NEAR_M
         zero("_n", "long").alias("pub_nreg"))
 
 
-def public_lists(clusters: DataFrame, regions: DataFrame, miles: float = NEAR_MILES,
-                 part_rows: int = PART_ROWS) -> DataFrame:
+def public_lists(clusters: DataFrame, regions: DataFrame, miles: float = NEAR_MILES) -> DataFrame:
     """The sorted public regions near each centroid; the marker word where there are none."""
     public = regions.where(F.col("private") == 0)
     pos = clusters.select("region_list", F.col("cl_lat").alias("lat"), F.col("cl_lon").alias("lon"))
     near = distance_join(pos, region_sites(public), miles).select("region_list", "rg_lat", "rg_lon")
     rows = near.join(public.select("rg_lat", "rg_lon", "region"), ["rg_lat", "rg_lon"])
     lists = joined_lists(rows, ["region_list"], {"pub_list": F.col("region")}, [F.col("region")],
-                         part_rows=part_rows, count_name="pub_nreg")
+                         count_name="pub_nreg")
     return clusters.select("region_list").join(lists, "region_list", "left").select(
-        "region_list", F.coalesce("part", F.lit(0)).alias("part"), F.coalesce("pub_nreg", F.lit(0).cast("long")).alias("pub_nreg"),
+        "region_list", F.coalesce("pub_nreg", F.lit(0).cast("long")).alias("pub_nreg"),
         F.coalesce("pub_list", F.lit(EMPTY_LIST)).alias("pub_list"))
 
 

@@ -10,8 +10,8 @@ from casegauge import CASE
 from casegauge.functions.metrics import guarded_ratio
 from casegauge.functions.text import case_label
 from casegauge.operators.joins import attach_target, share_of_total
-from casegauge.operators.lists import PART_ROWS, joined_lists
-from casegauge.sources.snapshots import enrich_latest, latest_partition
+from casegauge.operators.lists import joined_lists
+from casegauge.sources.snapshots import latest_partition
 
 MIN_SHARE = 0.00005
 
@@ -79,20 +79,19 @@ def share_info() -> Column:
                     F.col("region_load").cast("string"), F.lit(":"), F.col("case_load").cast("string"), F.lit(")"))
 
 
-def region_view(samples: DataFrame, regions: DataFrame, keys: Sequence[str] = (), snapshot="day",
-                part_rows: int = PART_ROWS) -> DataFrame:
+def region_view(samples: DataFrame, regions: DataFrame, keys: Sequence[str] = (), snapshot="day") -> DataFrame:
     """Per region: its attributes and the sorted set of `case(share:load:total)` descriptions.
 
     `keys` may add partition columns such as the hour."""
     shares = case_region_share(samples, keys=[*keys, *CASE])
     shares = shares.select(*keys, "region", share_info().alias("info"))
     view = joined_lists(shares, [*keys, "region"], {"distribution": F.col("info")}, [F.col("info")], sep=",",
-                        part_rows=part_rows, count_name="cases")
+                        count_name="cases")
     dim = latest_partition(regions, snapshot).select("region", *_info(regions))
     return view.join(dim, "region")
 
 
-def case_view(summary: DataFrame, keys: Sequence[str], part_rows: int = PART_ROWS) -> DataFrame:
+def case_view(summary: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per case: totals and the sorted set of region descriptions, from `region_summary`."""
     def part(tag, value, total):
         pct = F.round(F.try_divide(F.lit(100.0) * F.col(value).cast("double"), F.col(total).cast("double")), 2)
@@ -105,8 +104,7 @@ def case_view(summary: DataFrame, keys: Sequence[str], part_rows: int = PART_ROW
               *part("LOAD", "region_ra_load", "case_ra_load"), *attributes, F.lit(")")]
     rows = summary.withColumn("info", F.concat(*[p.cast("string") for p in pieces]))
     group = [*keys, "score_target", "case_ra_load", "case_nsd_demand", "case_eu_demand", "case_uniq_region"]
-    return joined_lists(rows, group, {"distribution": F.col("info")}, [F.col("info")], sep=",", part_rows=part_rows,
-                        count_name="regions")
+    return joined_lists(rows, group, {"distribution": F.col("info")}, [F.col("info")], sep=",", count_name="regions")
 
 
 def provider_rollup(regions: DataFrame, group: str, first_of: Sequence[str], sets: Sequence[str],
@@ -121,7 +119,7 @@ def provider_rollup(regions: DataFrame, group: str, first_of: Sequence[str], set
 
 
 def provider_distribution(samples: DataFrame, regions: DataFrame, group: str, keys: Sequence[str] = CASE,
-                          snapshot="day", part_rows: int = PART_ROWS) -> DataFrame:
+                          snapshot="day") -> DataFrame:
     """Per coarser key: cases with positive load as `case(share%:load:total)`.
 
     Loads are aggregated per (case, region) before the dimension join and again per (case, group)."""
@@ -133,9 +131,4 @@ def provider_distribution(samples: DataFrame, regions: DataFrame, group: str, ke
                     F.lit(":"), F.col("case_load").cast("string"), F.lit(")"))
     rows = by_group.where(F.col("load") > 0).withColumn("info", info)
     return joined_lists(rows, [group], {"distribution": F.col("info")}, [F.col("info")], sep=",",
-                        part_rows=part_rows, count_name="cases")
-
-
-def dim_enriched(samples: DataFrame, regions: DataFrame, snapshot="day") -> DataFrame:
-    """Samples with the attributes of the newest region snapshot."""
-    return enrich_latest(samples, regions.select("region", snapshot, *_info(regions)), "region", snapshot)
+                        count_name="cases")

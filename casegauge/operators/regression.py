@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from casegauge.functions.metrics import UNREACHABLE
 from casegauge.functions.stats import correlation_p_value
-from casegauge.operators.lists import PART_ROWS, joined_lists
+from casegauge.operators.lists import items_with_totals
 from casegauge.operators.quantiles import percentile_array
 
 MIN_POINTS = 10
@@ -51,11 +51,10 @@ def distance_latency_stats(df: DataFrame, keys: Sequence[str], x="distance", y="
           for i, p in enumerate(("p95", "p50")) for n in ("dist", "lat", "loss")])
 
 
-def valid_points(df: DataFrame, keys: Sequence[str], x="distance", y="latency", part_rows: int = PART_ROWS) -> DataFrame:
-    """The valid distances and latencies of each probe as parallel lists, in parts."""
-    rows = df.where(F.col(y) < UNREACHABLE)
-    return joined_lists(rows, keys, {"dist": F.round(x, 3), "latency": F.round(y, 3)}, [F.col(x), F.col(y)],
-                        part_rows=part_rows, count_name="points")
+def valid_points(df: DataFrame, keys: Sequence[str], x="distance", y="latency") -> DataFrame:
+    """The valid distances and latencies of each probe, one row per measurement, with their number."""
+    rows = df.where(F.col(y) < UNREACHABLE).select(*keys, F.round(x, 3).alias("dist"), F.round(y, 3).alias("latency"))
+    return items_with_totals(rows, keys, "points")
 
 
 def linear_fit_cv(df: DataFrame, key: str, x: str, targets: Sequence[str], load: str, in_test, reps: int = 10,

@@ -50,7 +50,7 @@ def stats_sql():
         {mean(same('continent', 'ns_continent'), 2, '100.0::double')} in_cont_ratio, {mean(same('country', 'ns_country'), 2, '100.0::double')} in_country_ratio,
         {mean('prp', 2, '100.0::double')} private_ratio, {mean(miles('ns_lat', 'ns_lon', 'latitude', 'longitude') + '*mpd_dftime', 2, add='sum({})'.format)} avg_distance,
         count(*) num_region_mapped, {rounded(ENTROPY, 6)} mapping_entropy, {rounded(exact('mpd_dftime'), 3)} sum_dftime,
-        cast(0 as int) part, count(*) listed, string_agg(region, ':' {order}) regions, string_agg(region || '_' || link, ':' {order}) region_links,
+        count(*) listed, string_agg(region, ':' {order}) regions, string_agg(region || '_' || link, ':' {order}) region_links,
         string_agg({rounded('share_*100', 2)}, ':' {order}) dftime_ratio, string_agg(ecor, ':' {order}) ecors,
         {', '.join(each(c) for c in ('min_s', 'max_s', 'min_r', 'max_r'))},
         string_agg({rounded('latitude', 3)}, ':' {order}) region_lats, string_agg({rounded('longitude', 3)}, ':' {order}) region_lons

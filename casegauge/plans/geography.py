@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from casegauge import CASE
 from casegauge.functions.metrics import class_map, split_by_class
-from casegauge.functions.text import truncate_list
 from casegauge.operators import clusters as C
-from casegauge.operators.lists import explode_list
+from casegauge.operators.lists import explode_list, first_items
 from casegauge.operators.regression import distance_latency_stats, linear_fit_cv, valid_points
 from casegauge.operators.summary import case_summary, score_metric
 from casegauge.plans.inputs import REGION_DAYS, SERVICE_CLASSES
@@ -82,17 +81,16 @@ def _(x):
     return clusters(x)
 
 
-@query("cluster_members", with_inputs(NEAR, """select region_list, cast(0 as int) part, count(*) n_members, string_agg(mpgid, ':' order by mpgid) members
-    from grouped group by 1""", GROUPED))
+@query("cluster_members", with_inputs(NEAR, """select region_list, mpgid, count(*) over (partition by region_list) n_members
+    from (select distinct region_list, mpgid from grouped)""", GROUPED))
 def _(x):
     return C.cluster_members(grouped(x), "mpgid")
 
 
-@query("cluster_networks", with_inputs(NEAR, """select region_list, cast(0 as int) part, count(*) n_networks, string_agg(asnum, ':' order by asnum) networks,
+@query("cluster_networks", with_inputs(NEAR, """select region_list, count(*) n_networks,
     array_to_string(list(asnum order by asnum)[1:5], ':') first_networks from (select distinct region_list, asnum from grouped) group by 1""", GROUPED))
 def _(x):
-    m = C.cluster_members(grouped(x), "asnum", name="networks")
-    return m.withColumn("first_networks", truncate_list("networks", 5))
+    return first_items(C.distinct_members(grouped(x), "asnum"), ["region_list"], "asnum", 5, "first_networks", count_name="n_networks")
 
 
 @query("geo_centroid", with_inputs("client_groups", f"""select country, asnum, {centroid_sql()} from client_groups group by 1, 2 having sum(load) > 0.0001"""))
@@ -116,7 +114,7 @@ def _(x):
     return attached(x)
 
 
-@query("public_region_lists", with_inputs(NEAR, """select c.region_list, cast(0 as int) part, coalesce(n, 0) pub_nreg, coalesce(l, 'NULL') pub_list from clusters c
+@query("public_region_lists", with_inputs(NEAR, """select c.region_list, coalesce(n, 0) pub_nreg, coalesce(l, 'NULL') pub_list from clusters c
     left join (select region_list, count(*) n, string_agg(region, ':' order by region) l from near_public group by 1) using (region_list)""", PUBLIC))
 def _(x):
     return C.public_lists(clusters(x), serving(x))
@@ -210,8 +208,8 @@ def _(x):
     return out.select("ppip", "n_valid", "r", F.round("rpv", 6).alias("rpv"))
 
 
-@query("probe_points", with_inputs("probes", f"""select ppip, cast(0 as int) part, count(*) points, string_agg({rounded('distance', 3)}, ':' order by distance, latency) dist,
-    string_agg({rounded('latency', 3)}, ':' order by distance, latency) latency from probes where latency < 10000 group by ppip"""))
+@query("probe_points", with_inputs("probes", f"""select ppip, count(*) over (partition by ppip) points, {rounded('distance', 3)} dist, {rounded('latency', 3)} latency
+    from probes where latency < 10000"""))
 def _(x):
     return valid_points(x.probes(), ["ppip"])
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from casegauge import CASE
 from casegauge.operators import region as R
 from casegauge.operators.assignment import top_k
-from casegauge.operators.lists import explode_list, joined_lists
+from casegauge.operators.lists import explode_list, items_with_totals, joined_lists
 from casegauge.operators.topn import top_n_shares
 from casegauge.plans.inputs_sql import rounded, with_inputs
 from casegauge.plans.joins import INFO_SQL
@@ -68,7 +68,7 @@ LABEL = "'MR_' || maprule || ':GEO_' || geoname || ':' || netname"
 
 
 @query("region_view", with_inputs("region_sample newest", f"""select v.*, {INFO_SQL} from
-    (select region, cast(0 as int) part, count(*) cases, string_agg(info, ',' order by info) distribution from
+    (select region, count(*) cases, string_agg(info, ',' order by info) distribution from
       (select region, {LABEL} || '(' || share || ':' || region_load || ':' || case_load || ')' info from shares) group by region) v
     join newest using (region)""", {"shares": SHARES}))
 def _(x):
@@ -79,7 +79,7 @@ def region_figures(tag, value, total):
     return f"':{tag}_' || {value} || '_' || case when {total} > 0 then {rounded(f'100.0::double*{value}/{total}', 2)} else 0.0::double end || '_'"
 
 
-@query("case_view", with_inputs(TABLES, f"""select {KEYS}, {HOURLY}, cast(0 as int) part, count(*) regions, string_agg(info, ',' order by info) distribution,
+@query("case_view", with_inputs(TABLES, f"""select {KEYS}, {HOURLY}, count(*) regions, string_agg(info, ',' order by info) distribution,
     score_target, case_ra_load, case_nsd_demand, case_eu_demand, case_uniq_region from
     (select *, region || '(' || avg_region_score || {region_figures('NSD', 'region_nsd_demand', 'case_nsd_demand')} ||
       {region_figures('EU', 'region_eu_demand', 'case_eu_demand')} || {region_figures('LOAD', 'region_ra_load', 'case_ra_load')} || ':' || "name" || ':' ||
@@ -98,7 +98,7 @@ def _(x):
     return R.provider_rollup(x.regions(), "ecor", ["continent", "country", "asnum", "prp"], ["provider", "ecor_capacity"])
 
 
-@query("provider_distribution", with_inputs("region_sample newest", f"""select ecor, cast(0 as int) part, count(*) cases,
+@query("provider_distribution", with_inputs("region_sample newest", f"""select ecor, count(*) cases,
     string_agg(info, ',' order by info) distribution from (
       select ecor, {LABEL} || '(' || {rounded('100.0::double*load/case_load', 2)} || '%:' || load || ':' || case_load || ')' info from
       (select ecor, {KEYS}, case_load, cast(sum(region_load) as bigint) load from shares join newest using (region) group by all)
@@ -140,19 +140,19 @@ def _(x):
     return top_k(li, [F.col("l_extendedprice").desc(), "l_orderkey", "l_linenumber"], 100)
 
 
-@query("member_list", with_inputs("members", """select "name", cast(0 as int) part, count(*) counts, string_agg(asnum, ':' order by asnum) aslist
-    from members group by "name" """))
+@query("member_list", with_inputs("members", """select "name", asnum, count(*) over (partition by "name") counts from members"""))
 def _(x):
-    return joined_lists(x.members(), ["name"], {"aslist": F.col("asnum")}, [F.col("asnum")], count_name="counts")
+    return items_with_totals(x.members(), ["name"], "counts")
 
 
-@query("explode_members", with_inputs("members", "select \"name\", cast(asnum as int) asnum from members"))
+@query("explode_members", with_inputs("allow_list", "select maprule, region from allow_list"))
 def _(x):
-    lists = joined_lists(x.members(), ["name"], {"aslist": F.col("asnum")}, [F.col("asnum")])
-    return explode_list(lists, ["name"], "aslist", "asnum").withColumn("asnum", F.col("asnum").cast("int"))
+    """The lists of a rule's regions taken apart again."""
+    lists = joined_lists(x.allow_list(), ["maprule"], {"regions": F.col("region")}, [F.col("region")])
+    return explode_list(lists, ["maprule"], "regions", "region").withColumn("region", F.col("region").cast("long"))
 
 
-@query("regions_per_rule", with_inputs("allow_list", """select maprule, cast(0 as int) part, count(*) n_regions,
+@query("regions_per_rule", with_inputs("allow_list", """select maprule, count(*) n_regions,
     string_agg(region, ':' order by region) regions from allow_list group by maprule"""))
 def _(x):
     return joined_lists(x.allow_list(), ["maprule"], {"regions": F.col("region")}, [F.col("region")], count_name="n_regions")

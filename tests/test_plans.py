@@ -69,16 +69,6 @@ def test_summary_is_one_shuffle(spark):
     assert p.count("Exchange hashpartitioning") == 1 and p.count("FileScan") == 1
 
 
-def test_parts_of_a_list_do_not_share_a_partition(spark):
-    from casegauge.operators.lists import joined_lists
-
-    li = spark.read.parquet(f"{FOLDER}/lineitem.parquet")
-    p = plan(joined_lists(li, ["l_suppkey"], {"l": F.col("l_orderkey")}, [F.col("l_orderkey")]))
-    assert "hashpartitioning(l_suppkey" in p and "REPARTITION" in p
-    shuffle = [line for line in p.splitlines() if "REPARTITION" in line][0]
-    assert "part#" in shuffle
-
-
 def test_aggregation_does_not_inherit_a_coarser_partitioning(spark):
     """After a join on one column, grouping by more shuffles again, between partial and final sums."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -9,9 +9,8 @@ from pyspark.testing import assertDataFrameEqual
 
 from casegauge.functions.geo import EARTH_RADIUS_MILES
 from casegauge.operators import joins as J
-from casegauge.operators.lists import explode_list, joined_lists
+from casegauge.operators.lists import explode_list, first_items, items_with_totals, joined_lists
 from casegauge.operators.quantiles import percentile_array, ranked_percentiles
-from casegauge.operators.region import region_view
 from casegauge.operators.summary import io_rollup_summary
 from casegauge.operators.topn import top_n_per_key
 
@@ -120,26 +119,18 @@ def test_share_of_total(spark):
     assert got.count() == 3000 and got.where("k = 'hot'").select("total").distinct().first().total == 1000
 
 
-def test_lists_in_parts_are_whole(spark):
+def test_long_and_joined_lists_hold_every_item(spark):
     df = skewed(spark).select("k", "id")
-    out = joined_lists(df, ["k"], {"ids": F.col("id")}, [F.col("id")], part_rows=100)
-    sizes = {}
-    for r in out.collect():
-        ids = [int(x) for x in r.ids.split(":")]
-        assert ids == sorted(ids) and len(ids) == r["items"] <= 200
-        sizes.setdefault(r.k, []).append(r.part)
-    assert len(sizes["hot"]) == 10 and all(len(p) == 1 for k, p in sizes.items() if k != "hot")
-    back = explode_list(out, ["k"], "ids", "id").select("k", F.col("id").cast("long"))
-    assertDataFrameEqual(back, df)
-
-
-def test_region_view_in_parts(spark):
-    s = spark.range(500).select((F.col("id") % 3).cast("int").alias("maprule"), F.concat(F.lit("G"), F.col("id")).alias("geoname"), F.lit("n").alias("netname"),
-                                F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 7 + 2).alias("region"), F.lit(5).alias("ra_load"))
-    dim = spark.range(1, 10).select(F.col("id").alias("region"), F.lit("d").alias("day"), F.lit("X").alias("name"))
-    whole, parts = region_view(s, dim), region_view(s, dim, part_rows=20)
-    items = lambda df: sorted(i for r in df.collect() for i in r.distribution.split("),"))
-    assert len(items(whole)) == len(items(parts)) == 500 and parts.count() > whole.count()
+    want = {}
+    for r in df.collect():
+        want.setdefault(r.k, []).append(r.id)
+    long = items_with_totals(df, ["k"], "n")
+    assert sorted((r.k, r.id, r.n) for r in long.collect()) == sorted((k, i, len(x)) for k, x in want.items() for i in x)
+    out = joined_lists(df, ["k"], {"ids": F.col("id")}, [F.col("id")])
+    assert {r.k: (r["items"], [int(i) for i in r.ids.split(":")]) for r in out.collect()} == {k: (len(x), sorted(x)) for k, x in want.items()}
+    assertDataFrameEqual(explode_list(out, ["k"], "ids", "id").select("k", F.col("id").cast("long")), df)
+    first = first_items(df, ["k"], "id", 5, "first")
+    assert {r.k: (r["items"], r["first"]) for r in first.collect()} == {k: (len(x), ":".join(map(str, sorted(x)[:5]))) for k, x in want.items()}
 
 
 def test_top_n_on_a_hot_key(spark):
