@@ -8,7 +8,7 @@ from casegauge.plans import catalog
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
-EMPTY: set[str] = set()  # queries without rows on the smallest tables
+EMPTY = {"baseline_levels", "last_good_snapshot"}  # queries without rows on the smallest tables
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n in ORACLES])
