@@ -153,7 +153,8 @@ def region_criticality(clusters: DataFrame, members: DataFrame, allow: DataFrame
     Within (cluster, rule) a region's share of bit, flit and vip capacity; averaged over the rules
     that reach the cluster; summed over clusters, plain and load-weighted. A cluster without any
     usable region counts fully for region 0. `members` holds the (cluster, region) pairs."""
-    info = regions.select("region", "bit_gbps", "flit_gfps", "numvips").dropDuplicates(["region"])
+    # A region listed twice counts once, with its largest capacity.
+    info = regions.groupBy("region").agg(*[F.max(c).alias(c) for c in ("bit_gbps", "flit_gfps", "numvips")])
     rows = members.select(key, "region").distinct().join(info, "region").join(allow.select("maprule", "region").distinct(), "region")
     caps = {"bit_gbps": "b", "flit_gfps": "f", "numvips": "v"}
     totals = rows.groupBy(key, "maprule").agg(*[F.sum(c).alias(f"_{n}") for c, n in caps.items()])

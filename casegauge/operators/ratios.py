@@ -180,7 +180,7 @@ def target_profile(df: DataFrame, cap: float = 10.0) -> DataFrame:
         target_ratio("p2t_bps_pct_min", F.lit(9500.0), cap).alias("ping_share"))
 
 
-def severity(df: DataFrame, continent_geos: Sequence[str] | DataFrame, geo="geoname") -> DataFrame:
+def severity(df: DataFrame, continent_geos: Sequence[str], geo="geoname") -> DataFrame:
     """Severity index of score, distance and geography deficits; for the listed geos the continent
     deficit (and target) stands in for the country deficit."""
     swap = F.col(geo).isin(list(continent_geos))

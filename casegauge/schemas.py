@@ -1,39 +1,22 @@
-"""Declared schemas of the delimited tables."""
+"""Declared schemas of the delimited tables that queries read."""
 
 from __future__ import annotations
 
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-
-def _struct(*groups: tuple[object, str]) -> StructType:
-    """Fields from (type, "name name ...") groups, in order."""
-    return StructType([StructField(n, t) for t, names in groups for n in names.split()])
-
-
-I, L, D, S = IntegerType(), LongType(), DoubleType(), StringType()
-_CASE = ((S, "casename"), (I, "maprule"), (S, "geoname netname"))
-
-SCORE = _struct(*_CASE, (I, "p99 p95 p90 p75 targetvalue peak ts"))
-DISTANCE = _struct(*_CASE, (I, "p99 p95 p90 p75 targetvalue ts"))
-IN_COUNTRY = _struct(*_CASE, (I, "in_country_pct targetvalue ts"))
-IN_CONTINENT = _struct(*_CASE, (I, "in_continent_pct targetvalue ts"))
-LOAD = _struct(*_CASE, (I, "total_bps ping_bps p2t_bps_pct ts"))
-IO_RATIO = _struct((S, "casename"), (D, "ioratio"), (I, "iotarget coverage"))
-JOINED = _struct((I, "maprule"), (S, "geoname netname"),
-                 (I, "sp99 sp95 sp90 sp75 star sp99d sp95d sp90d sp75d peak dp99 dp95 dp90 dp75 dtar dp99d dp95d dp90d dp75d "
-                     "icy_pct icy_tar icyd ict_pct ict_tar ictd total_bps ping_bps p2t_bps_pct ts"))
-JOINED_IO = StructType([*JOINED.fields[:-1], *_struct((I, "ioratio ioratio_tar load_coverage iod ts")).fields])
-REGION_SAMPLE = _struct((I, "maprule"), (S, "geoname netname"), (L, "region"), (D, "score"), (I, "nsd_demand eu_demand"), (L, "ra_load"),
-                        (D, "case_percent_pre_norm_load case_percent_load recorded_load_percentage"), (S, "datestamp hour"), (L, "ts"))
-MACHINE_TRAFFIC = _struct((S, "ghostip service"), (I, "maprule_id"), (S, "maprule_name"), (I, "hits connections"),
-                          (L, "flytes bytes bytes_in cpu disk"), (I, "ts"))
-MACHINES = _struct((S, "ghostip"), (I, "region"), (S, "regionname primaryrole hardwaretype network"), (I, "ts"))
-ASSIGNMENT_SUM = _struct((I, "mpgid mrid"), (S, "mpg_type"), (I, "region link"),
-                         (D, "min_s max_s min_r max_r ping local cont_fb mpd_dftime"), (I, "ecor"), (S, "continent country"),
-                         (D, "latitude longitude prp"), (L, "day"), (S, "mpd_uuid"))
-REGION_PREFERENCE = _struct((I, "maprule region preference tier"), (S, "datestamp"))
-PROBE_INFO = _struct((S, "ppip"), (I, "asnum"), (D, "latitude longitude"), (S, "city state country continent datestamp hour"))
-NETWORKS = _struct((I, "asnum"), (S, "netname datestamp"))
-PLAN = _struct((I, "maprule"), (S, "geoname netname"), (D, "load"), (I, "score_target in_country_target"),
-               (D, "score in_country_pct deficit"), (S, "datestamp"))
-UTC_OFFSETS = _struct((S, "geo"), (I, "offset"))
+REGION_SAMPLE = StructType([
+    StructField("maprule", IntegerType()),
+    StructField("geoname", StringType()),
+    StructField("netname", StringType()),
+    StructField("region", LongType()),
+    StructField("score", DoubleType()),
+    StructField("nsd_demand", IntegerType()),
+    StructField("eu_demand", IntegerType()),
+    StructField("ra_load", LongType()),
+    StructField("case_percent_pre_norm_load", DoubleType()),
+    StructField("case_percent_load", DoubleType()),
+    StructField("recorded_load_percentage", DoubleType()),
+    StructField("datestamp", StringType()),
+    StructField("hour", StringType()),
+    StructField("ts", LongType()),
+])

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _LOCAL: dict[str, str] = {}
+_OWN: set[str] = set()
 
 # What the operators rely on. The last entry makes an aggregation or window shuffle by all of its
 # keys instead of reusing a coarser partitioning (say, that of a join on one of them): partial sums
@@ -39,15 +40,28 @@ def build_session(app: str = "casegauge", master: str | None = None, **conf) ->
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder name below the cluster's checkpoint folder.
+    """A fresh folder name below the cluster's checkpoint folder, in a folder of this application that is
+    deleted when the application ends.
 
     Only where the session names no such folder (local tests) a temporary one is made.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    root = root or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         if "root" not in _LOCAL:
             _LOCAL["root"] = tempfile.mkdtemp(prefix="casegauge-")
         root = _LOCAL["root"]
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{_own_folder(spark, root.rstrip('/'))}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def _own_folder(spark: SparkSession, root: str) -> str:
+    own = f"{root}/casegauge-{spark.sparkContext.applicationId}"
+    if own not in _OWN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(own)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _OWN.add(own)
+    return own

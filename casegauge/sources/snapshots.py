@@ -25,10 +25,6 @@ def asof_partition(parts: DataFrame, column: str, target, strict: bool = False)
     return parts.agg(F.max(F.when(ok, F.col(column))).alias(column))
 
 
-def snapshot_dates(df: DataFrame, column: str) -> DataFrame:
-    return df.select(column).distinct()
-
-
 def retain(df: DataFrame, column: str, now: int, ttl: int, inclusive: bool = True) -> DataFrame:
     """Rows not older than ttl. `inclusive` keeps a row exactly at the limit."""
     limit = now - ttl

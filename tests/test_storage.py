@@ -64,5 +64,5 @@ def test_fields_default_network(spark):
 
 
 def test_schemas():
-    assert len(schemas.JOINED.fields) == 32 and len(schemas.JOINED_IO.fields) == 36
-    assert schemas.JOINED_IO.fieldNames()[-1] == "ts" and schemas.REGION_SAMPLE["hour"].dataType == StringType()
+    assert len(schemas.REGION_SAMPLE.fields) == 14
+    assert schemas.REGION_SAMPLE.fieldNames()[-1] == "ts" and schemas.REGION_SAMPLE["hour"].dataType == StringType()
