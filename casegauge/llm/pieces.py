@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 
@@ -25,7 +26,8 @@ from sentencepiece import sentencepiece_model_pb2 as proto
 from casegauge.llm.common import packed, text_bytes, texts_of, unpacked, with_columns
 
 MARK = "▁"
-CACHE = 200_000
+CACHE = 350_000  # words in each half of a worker's memory
+PAIR_CACHE = 300_000
 LONGEST = 64  # characters of the longest word that the cache holds
 BAD = "�"
 
@@ -40,7 +42,10 @@ class Merges:
         shared = Counter(score for p, score, _ in pieces if len(p) > 1)
         longer = sorted((p for p in pieces if len(p[0]) > 1 and shared[p[1]] == 1), key=lambda p: -p[1])
         tied = sorted((p for p, score, _ in pieces if len(p) > 1 and shared[score] > 1), key=len)
-        self.tied = re.compile("|".join(map(re.escape, tied))).search if tied else lambda text: None
+        self.tied: list[str] = []  # those that hold no other
+        for p in tied:
+            if not any(q in p for q in self.tied):
+                self.tied.append(p)
         self.score = {p: score for p, score, _ in pieces if len(p) > 1}
         self.own = {p: i for p, _, i in pieces}
         chars = sorted({c for p, _, _ in pieces for c in p})
@@ -59,6 +64,9 @@ class Merges:
         self.shorter: list[int | None] = []
         for p in self.text:
             self.shorter.append(next((self.number[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in self.number), None))
+        self.ids = [self.own.get(p, p) for p in self.text]
+        self.length = [len(p) for p in self.text]
+        self.fits = _Fits(self)
         self.automaton = ahocorasick.Automaton()
         for p, t in self.number.items():
             self.automaton.add_word(p, t)
@@ -111,37 +119,69 @@ class Merges:
                 offer(left[a], a)
         return [p for p in part if p]
 
-    def encode(self, text: str) -> list[str]:
-        """Pieces of a text of known characters."""
-        if self.tied(text):
-            return self.merged(text)
-        return [self.text[t] for t in self._backtracked(text)]
+    def encode(self, text: str) -> list[int | str]:
+        """Ids of the pieces of a text of known characters; a character that is no piece stands for itself."""
+        for p in self.tied:
+            if p in text:
+                return [self.own.get(piece, piece) for piece in self.merged(text)]
+        return [self.ids[t] for t in self._backtracked(text)]
 
     def _backtracked(self, text: str) -> list[int]:
-        n = len(text)
-        longest: list[int | None] = [None] * (n + 1)
-        size = [0] * (n + 1)
-        for end, t in self.automaton.iter(text):
-            k = len(self.text[t])
-            if k > size[end - k + 1]:
-                longest[end - k + 1], size[end - k + 1] = t, k
+        n, length, shorter, fits = len(text), self.length, self.shorter, self.fits
+        longest = [0] * (n + 1)
+        for end, t in self.automaton.iter(text):  # for a start, later ends are longer
+            longest[end - length[t] + 1] = t
         open_ = bytearray(b"\x01") * (n + 1)  # cleared where no encoding goes on
         out: list[int] = []
-        at, t = 0, longest[0]
+        at, t, last = 0, longest[0], -1
         while at < n:
-            end = at + len(self.text[t])
-            if open_[end] and (not out or self.fit(out[-1], t)):
+            end = at + length[t]
+            if open_[end] and (last < 0 or fits[last, t]):
                 out.append(t)
-                at, t = end, longest[end]
-            elif self.shorter[t] is not None:
-                t = self.shorter[t]
+                at, last, t = end, t, longest[end]
+            elif shorter[t] is not None:
+                t = shorter[t]
             else:
                 open_[at] = 0
                 t = out.pop()
-                at -= len(self.text[t])
+                at -= length[t]
+                last = out[-1] if out else -1
         return out
 
 
+class _Fits(dict):
+    """Answers of `Merges.fit`, remembered up to a bound."""
+
+    def __init__(self, merges: Merges):
+        super().__init__()
+        self.merges = merges
+
+    def __missing__(self, pair: tuple[int, int]) -> bool:
+        if len(self) >= PAIR_CACHE:
+            self.clear()
+        answer = self[pair] = self.merges.fit(*pair)
+        return answer
+
+
+class _Recent(dict):
+    """Ids of words, as bytes. When full, it becomes the older half of the memory, from which words in use come back."""
+
+    def __init__(self, ids: Callable[[str], list[int]]):
+        super().__init__()
+        self.ids, self.older = ids, {}
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.older.get(word)
+        if found is None:
+            found = array("i", self.ids(word)).tobytes()
+        if len(word) <= LONGEST:
+            if len(self) >= CACHE:
+                self.older = self.copy()
+                self.clear()
+            self[word] = found
+        return found
+
+
 class Pieces:
     """A model file: normalisation, encoding and decoding."""
 
@@ -163,6 +203,7 @@ class Pieces:
         self.end, self.unknown = self.library.eos_id(), self.library.unk_id()
         self.byte = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == kind.BYTE}
         self.known = set(self.merges.text) & {c for c in self.merges.text if len(c) == 1}
+        self.bare = any(isinstance(i, str) for i in self.merges.ids)  # characters of pieces that are no pieces
         crossing = any(re.search(f"[^{MARK}]{MARK}", p) for p, _, _ in normal)
         self.words = (lambda s: [s] if s else []) if crossing else re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
         self.raw = [p.piece.replace(MARK, " ").encode() if p.type == kind.NORMAL else b"" for p in model.pieces]
@@ -171,7 +212,7 @@ class Pieces:
         self.raw[self.unknown] = model.trainer_spec.unk_surface.encode()
         self.silent = {i for i, r in enumerate(self.raw) if not r}  # control pieces; they part runs of byte pieces
         self.is_byte = {i for i in self.byte.values()}
-        self.cache: dict[str, bytes] = {}
+        self.cache = _Recent(self._word)
 
     @classmethod
     def of(cls, path: str) -> Pieces:
@@ -190,7 +231,16 @@ class Pieces:
             return [self.byte[b] for b in text.encode()]
         return [self.unknown] if text else []
 
+    def _known(self, word: str) -> list[int]:
+        """Ids of a word of characters that occur in pieces."""
+        ids = self.merges.encode(word)
+        if self.bare and any(isinstance(i, str) for i in ids):
+            ids = [j for i in ids for j in (self._others(i) if isinstance(i, str) else (i,))]
+        return ids
+
     def _word(self, word: str) -> list[int]:
+        if self.known.issuperset(word):
+            return self._known(word)
         ids: list[int] = []
         start = 0
         while start < len(word):
@@ -198,27 +248,12 @@ class Pieces:
             known = word[start] in self.known
             while stop < len(word) and (word[stop] in self.known) == known:
                 stop += 1
-            if known:
-                for piece in self.merges.encode(word[start:stop]):
-                    own = self.merges.own.get(piece)
-                    ids += [own] if own is not None else self._others(piece)
-            else:
-                ids += self._others(word[start:stop])
+            ids += self._known(word[start:stop]) if known else self._others(word[start:stop])
             start = stop
         return ids
 
-    def _cached(self, word: str) -> bytes:
-        found = self.cache.get(word)
-        if found is None:
-            found = np.array(self._word(word), np.int32).tobytes()
-            if len(word) <= LONGEST:
-                if len(self.cache) >= CACHE:
-                    self.cache.clear()
-                self.cache[word] = found
-        return found
-
     def encode(self, text: str, end: bool = True) -> np.ndarray:
-        ids = np.frombuffer(b"".join(map(self._cached, self.words(self.normalised(text)))), np.int32)
+        ids = np.frombuffer(b"".join(map(self.cache.__getitem__, self.words(self.normalised(text)))), np.int32)
         return np.append(ids, np.int32(self.end)) if end else ids
 
     def decode(self, ids: list[int]) -> str:
