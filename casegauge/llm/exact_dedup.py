@@ -1,10 +1,11 @@
 """Exact deduplication by sorting contents.
 
-Rows are range-partitioned by normalised text (Spark samples the splitters) and then by identifier, so
-a group of any size is spread over as many partitions as it fills. Each partition is sorted externally;
-a text is then compared in full with its neighbour. Runs of equal texts get their smallest identifier
-and their size; a run that touches the border of its partition is joined with the runs of the same text
-in the other partitions (at most two runs of a partition touch a border).
+Rows are range-partitioned by the first bytes of their normalised text, a hash of all of it and their
+identifier (Spark samples the splitters; the samples stay small however long the texts are), so a group of any
+size is spread over as many partitions as it fills. Each partition is sorted externally, whole texts included,
+and a text is then compared in full with its neighbour. Runs of equal texts get their smallest identifier and
+their size; a run that touches the border of its partition (by first bytes and hash) is joined with the runs of
+the same text in the other partitions.
 """
 
 from __future__ import annotations
@@ -21,16 +22,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 from casegauge.llm.common import packed, stored, unpacked
 
 
+HEAD = 64  # bytes of a text that take part in the choice of splitters
+
+
 def normalised(text: Column) -> Column:
     """Each run of blanks, tabs and line ends as one space; null as an empty text."""
     return F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Number the runs of equal neighbours; the texts of the first and the last run follow as rows of
-    their own (`edge`)."""
+    """Number the runs of equal neighbours; the texts of the runs at the first and the last key follow as rows
+    of their own (`edge`)."""
     part = TaskContext.get().partitionId()
     run, last, schema = -1, None, None
+    key, at_first, edges, tail = None, True, {}, {}  # tail: the runs of the current key
 
     def border(number: int, text: bytes) -> pa.RecordBatch:
         own = {"part": [part], "run": [number], "first": [False], "digest": [None], "edge": [text]}
@@ -41,24 +46,29 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = batch.num_rows
         if not n:
             continue
-        norm = batch.column("norm")
+        norm, hashes = batch.column("norm"), batch.column("hash").to_pylist()
         starts = np.ones(n, bool)
         if n > 1:
             starts[1:] = pc.not_equal(norm[1:], norm[:-1]).to_numpy(zero_copy_only=False)
-        starts[0] = last is None or norm[0].as_py() != last
-        first_text = norm[0].as_py() if last is None else None
+        texts = norm.to_pylist()
+        starts[0] = last is None or texts[0] != last
         numbers = run + np.cumsum(starts)
-        run, last = int(numbers[-1]), norm[n - 1].as_py()
-        names = [c for c in batch.schema.names if c != "norm"]
+        for i in np.flatnonzero(starts):
+            if key is not None and hashes[i] != key:
+                at_first, tail = False, {}
+            key = hashes[i]
+            tail[int(numbers[i])] = texts[i]
+            if at_first:
+                edges[int(numbers[i])] = texts[i]
+        run, last = int(numbers[-1]), texts[-1]
+        names = [c for c in batch.schema.names if c not in ("norm", "hash")]
         own = {"part": pa.array(np.full(n, part, np.int32)), "run": pa.array(numbers.astype(np.int64)), "first": pa.array(starts),
-               "digest": pa.array([hashlib.sha256(t.as_py()).hexdigest() for t in norm]), "edge": pa.nulls(n, pa.binary())}
+               "digest": pa.array([hashlib.sha256(t).hexdigest() for t in texts]), "edge": pa.nulls(n, pa.binary())}
         out = pa.RecordBatch.from_arrays([batch.column(c) for c in names] + list(own.values()), names + list(own))
         schema = out.schema
         yield out
-        if first_text is not None:
-            yield border(0, first_text)
-    if last is not None and run > 0:
-        yield border(run, last)
+    for number, text in (edges | tail).items():
+        yield border(number, text)
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] | None = None,
@@ -71,13 +81,15 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     gives an empty result. `carry` names the columns passed on (None: all); a result column replaces
     an input column of its name."""
     rows = packed(docs, carry, id=docs[id_col], norm=normalised(docs[text_col]).cast("binary"))
-    order = [F.col("norm").asc(), F.col("id").asc_nulls_last()]
+    rows = rows.withColumn("head", F.substring("norm", 1, HEAD)).withColumn("hash", F.xxhash64("norm"))
+    by_id = F.col("id").asc_nulls_last()
+    order = [F.col("head").asc(), F.col("hash").asc(), by_id]
     dealt = rows.repartitionByRange(partitions, *order) if partitions else rows.repartitionByRange(*order)
     schema = rows.select("row", "id", F.lit(0).alias("part"), F.lit(0).cast("long").alias("run"), F.lit(True).alias("first"),
                          F.lit("").alias("digest"), F.lit(b"").alias("edge")).schema
     for f in schema:
         f.nullable = True
-    marked = stored(dealt.sortWithinPartitions(*order).mapInArrow(_runs, schema), "exact")
+    marked = stored(dealt.sortWithinPartitions("head", "hash", "norm", by_id).drop("head").mapInArrow(_runs, schema), "exact")
 
     data = marked.where(F.col("edge").isNull())
     runs = data.groupBy("part", "run").agg(F.min("id").alias("low"), F.count("*").alias("n"))
