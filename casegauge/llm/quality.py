@@ -26,6 +26,7 @@ from casegauge.llm.common import packed, stored, text_bytes, texts_of, unpacked,
 FEATURES = 1 << 16
 PENALTY = 0.03  # of the absolute weights; divided by the root of the number of labels, as chance finds fall with it
 MAX_LABELS = 20_000  # labelled rows that fit the model: those with the smallest hashes of their identifier
+TRAIN_TASKS = 8  # each iteration sends the weights once per task
 HEADS = ("quality", "toxic")
 WORD_CACHE = 200_000
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -110,14 +111,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = docs.select(docs[id_col].alias("id"), text_bytes(docs[text_col]).alias("text"))
     met = rows.join(F.broadcast(chosen), F.col("id") == F.col("label_id")).select("text", *["y_" + h for h in HEADS])  # bounded by max_labels
     schema = met.select(*["y_" + h for h in HEADS], F.array(F.lit(0)).alias("slots")).schema
-    train = stored(met.mapInArrow(_switches, schema), "training")
+    train = stored(met.mapInArrow(_switches, schema), "training").coalesce(TRAIN_TASKS)  # bounded by max_labels
     weights = {}
     for h in HEADS:
         own = train.where(F.col("y_" + h).isin(0.0, 1.0)).select(F.col("y_" + h).alias("label"), _vector("slots").alias("features"))
         counts = {r.label: r.n for r in own.groupBy("label").agg(F.count("*").alias("n")).collect()}
         yes, no = counts.get(1.0, 0), counts.get(0.0, 0)
         if yes and no:
-            model = LogisticRegression(maxIter=60, regParam=penalty / math.sqrt(yes + no), elasticNetParam=1.0, standardization=False).fit(own)
+            model = LogisticRegression(maxIter=40, tol=1e-4, regParam=penalty / math.sqrt(yes + no), elasticNetParam=1.0, standardization=False).fit(own)
             weights[h] = (model.coefficients.toArray(), float(model.intercept))
         else:
             weights[h] = (np.zeros(FEATURES), math.log((yes + 1) / (no + 1)))
