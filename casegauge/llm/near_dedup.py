@@ -2,8 +2,8 @@
 
 Each text's set of word shingles gets the minima of many universal hash functions. Texts with equal sets are
 one class. Bands of minima name buckets; classes that share a bucket are candidates. The candidates of a
-bucket are not paired with each other: each is first compared with the bucket's smallest class, which joins
-large groups of near copies with one comparison each; only in buckets that then still hold several
+bucket are not paired with each other: in a few rounds each is compared with a hub of the bucket, which joins
+large groups of near copies with few comparisons each; only in buckets that then still hold several
 components are members of different components compared. A comparison first looks at one bit of each
 minimum, then counts the full sets. Components come from alternating large-star and small-star steps.
 
@@ -85,24 +85,25 @@ def _signatures(size: int) -> Callable:
     return run
 
 
-def _similar(size: int, percent: int) -> Callable:
-    """Pairs whose full sets are similar enough."""
+def _sets(size: int) -> Callable:
+    """The full sets of the texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
-        last_text, last = None, None
         for batch in batches:
-            keep = []
-            for left, right in zip(texts_of(batch, "left"), texts_of(batch, "right")):
-                if right != last_text:
-                    last_text, last = right, shingles(right, cache, size)
-                own = shingles(left, cache, size)
-                both = len(np.intersect1d(own, last, assume_unique=True))
-                keep.append(100 * both >= percent * (len(own) + len(last) - both))
-            kept = batch.filter(pa.array(keep, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], ["a", "b"])
+            sets = [as_signed(shingles(t, cache, size)) for t in texts_of(batch, "text")]
+            yield with_columns(batch, ["text"], d=pa.array(sets, pa.list_(pa.int64())))
     return run
 
 
+def _similar(percent: int) -> Callable[[Column, Column], Column]:
+    """Two full sets are similar enough."""
+    def check(l: Column, r: Column) -> Column:
+        both = F.size(F.array_intersect(l, r))
+        return both * 100 >= (F.size(l) + F.size(r) - both) * percent
+
+    return check
+
+
 def _alike(percent: int) -> Callable[[Column, Column], Column]:
     """Sizes and bits allow the wanted similarity. Of m bits a share of (1 + s) / 2 agrees; 5.5 deviations below
     that for a pair at the threshold is the bound."""
@@ -143,17 +144,19 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     members = shared_buckets(nodes.select("node", F.explode("buckets").alias("bucket")))
     sources = docs.select(docs[id_col].alias("id"), F.xxhash64(text).alias("content"), text.alias("text"))
 
+    at = (members.select("node").distinct().join(nodes, "node")
+          .select("node", F.col("first.id").alias("id"), F.col("first.content").alias("content")))
+    texts = (at.alias("w").join(sources.alias("s"), (F.col("w.content") == F.col("s.content")) & F.col("w.id").eqNullSafe(F.col("s.id")))
+             .groupBy("node").agg(F.first("text").alias("text")))
+    sets = stored(texts.mapInArrow(_sets(size), "node long, d array<long>"), "sets")
+    similar = _similar(percent)
+
     def confirmed(pairs: DataFrame) -> DataFrame:
-        """Links among candidate pairs whose sizes and bits have passed: their texts are fetched and compared."""
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        at = wanted.join(nodes, "node").select("node", F.col("first.id").alias("id"), F.col("first.content").alias("content"))
-        texts = stored(at.alias("w").join(sources.alias("s"), (F.col("w.content") == F.col("s.content")) & F.col("w.id").eqNullSafe(F.col("s.id")))
-                       .groupBy("node").agg(F.first("text").alias("text")), "texts")
-        full = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
-                .join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b"))
-        return full.select("a", "b", "left", "right").mapInArrow(_similar(size, percent), "a long, b long")
-
-    roots = linked(members, nodes.select("node", F.struct("n", "bits").alias("t")), _alike(percent), confirmed)
+        """Links among candidate pairs whose sizes and bits have passed: their full sets are compared."""
+        side = lambda one: sets.select(F.col("node").alias(one), F.col("d").alias("d_" + one))
+        return pairs.join(side("a"), "a").join(side("b"), "b").where(similar(F.col("d_a"), F.col("d_b"))).select("a", "b")
+
+    roots = linked(members, nodes.select("node", F.struct("n", "bits").alias("t")), _alike(percent), confirmed, sets, similar)
     classes = nodes.select("node", "key", "first").join(roots, "node", "left").select("key", "first", F.coalesce("root", "node").alias("top"))
     heads = classes.groupBy("top").agg(F.min("first").alias("head"))
     named = classes.join(heads, "top").select("key", F.col("head.id").alias("low"), F.col("head.at").alias("head_at"))
