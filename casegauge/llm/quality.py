@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable, Iterator, Sequence
+from collections import Counter
+from collections.abc import Callable, Container, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -23,18 +24,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from casegauge.llm.common import packed, stored, text_bytes, texts_of, unpacked, with_columns, workers_find_package
 
-FEATURES = 1 << 16
 PENALTY = 0.03  # of the absolute weights; divided by the root of the number of labels, as chance finds fall with it
 MAX_LABELS = 20_000  # labelled rows that fit the model: those with the smallest hashes of their identifier
 TRAIN_TASKS = 8  # each iteration sends the weights once per task
 HEADS = ("quality", "toxic")
+LEVELS = (0.02, 0.1, 0.3)  # shares of the tokens
 WORD_CACHE = 200_000
+PASSAGE = 200  # tokens of a passage of a long text; passages overlap by half
 _LETTERS = re.compile(r"[^\W\d_]+")
 _RUNS = re.compile(r"(.)\1+", re.S)
 
 
-def _slot(name: str) -> int:
-    return xxhash.xxh64_intdigest(name.encode()) % FEATURES
+def _key(name: str) -> int:
+    """A feature's key: 64 bits, so that no two features of a corpus share one."""
+    return xxhash.xxh64_intdigest(name.encode()) - (1 << 63)
 
 
 def shape(token: str) -> str:
@@ -44,84 +47,143 @@ def shape(token: str) -> str:
 
 
 class _Features(dict):
-    """The slots of a token: one for each of its words, and its look."""
+    """The keys of a token: one for each of its words, and its look. With `known`, other keys are left out."""
+
+    def __init__(self, known: Container[int] | None = None):
+        super().__init__()
+        self.known, self.levels = known, {}
+        self.repeats = self._kept(f"r{level}" for level in LEVELS)
+
+    def _kept(self, names: Iterable[str]) -> list[int | None]:
+        keys = map(_key, names)
+        return [k if self.known is None or k in self.known else None for k in keys]
 
     def __missing__(self, token: str) -> tuple[tuple[int, ...], str]:
         if len(self) >= WORD_CACHE:
             self.clear()
-        found = self[token] = (tuple(_slot("w " + w) for w in _LETTERS.findall(token.lower())), shape(token))
+        words = self._kept("w " + w for w in _LETTERS.findall(token.lower()))
+        found = self[token] = (tuple(k for k in words if k is not None), shape(token))
+        return found
+
+    def _look(self, look: str) -> list[int | None]:
+        if len(self.levels) >= WORD_CACHE:
+            self.levels.clear()
+        found = self.levels[look] = self._kept(["s " + look, *(f"s{level} {look}" for level in LEVELS)])
         return found
 
-    def of(self, text: str) -> list[int]:
-        """Slots that a text switches on: its words, the looks of its tokens and how common they are, and how often
+    def of(self, tokens: list[str]) -> set[int]:
+        """Keys that a text switches on: its words, the looks of its tokens and how common they are, and how often
         a token follows itself."""
-        tokens = text.split()
-        slots: set[int] = set()
+        keys: set[int | None] = set()
         looks: dict[str, int] = {}
-        for token in set(tokens):
-            slots.update(self[token][0])
-        for token in tokens:
-            look = self[token][1]
-            looks[look] = looks.get(look, 0) + 1
+        for token, times in Counter(tokens).items():
+            words, look = self[token]
+            if words:
+                keys.update(words)
+            looks[look] = looks.get(look, 0) + times
         n = len(tokens)
         for look, k in looks.items():
-            slots.add(_slot("s " + look))
-            for level in (0.02, 0.1, 0.3):
-                if k >= level * n:
-                    slots.add(_slot(f"s{level} {look}"))
+            own = self.levels.get(look) or self._look(look)
+            keys.add(own[0])
+            keys.update(key for key, level in zip(own[1:], LEVELS) if k >= level * n)
         again = sum(map(str.__eq__, tokens, tokens[1:]))
-        for level in (0.02, 0.1, 0.3):
-            if again and again >= level * n:
-                slots.add(_slot(f"r{level}"))
-        return sorted(slots)
+        if again:
+            keys.update(key for key, level in zip(self.repeats, LEVELS) if again >= level * n)
+        keys.discard(None)
+        return keys
+
+
+def _passages(tokens: list[str]) -> Iterator[list[str]]:
+    """The passages of a long text; a passage of half the length lies whole in one of them."""
+    step = PASSAGE // 2
+    for at in range(0, max(1, len(tokens) - step), step):
+        yield tokens[at:at + PASSAGE]
+
+
+class _Scorer:
+    """The log odds of texts. A long text is as good as its passages on average, and as toxic as its worst passage
+    (or the whole, if the signs are spread over it)."""
+
+    def __init__(self, weights: dict[str, tuple[dict[int, float], float]]):
+        self.bias = [weights[h][1] for h in HEADS]
+        self.weights = {k: tuple(weights[h][0].get(k, 0.0) for h in HEADS) for k in set().union(*(weights[h][0] for h in HEADS))}
+        self.features = _Features(self.weights)
+
+    def _sums(self, tokens: list[str]) -> tuple[float, float]:
+        good, bad = self.bias
+        for k in sorted(self.features.of(tokens)):
+            w = self.weights[k]
+            good, bad = good + w[0], bad + w[1]
+        return good, bad
+
+    def evidence(self, text: str) -> tuple[float, float]:
+        tokens = text.split()
+        good, bad = self._sums(tokens)
+        if len(tokens) <= PASSAGE:
+            return good, bad
+        parts = [self._sums(p) for p in _passages(tokens)]
+        return sum(p[0] for p in parts) / len(parts), max(bad, *(p[1] for p in parts))
 
 
 def _switches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     features = _Features()
     for batch in batches:
-        slots = [features.of(t.decode("utf-8", "replace")) for t in texts_of(batch, "text")]
-        yield with_columns(batch, ["text"], slots=pa.array(slots, pa.list_(pa.int32())))
+        slots = [sorted(features.of(t.decode("utf-8", "replace").split())) for t in texts_of(batch, "text")]
+        yield with_columns(batch, ["text"], slots=pa.array(slots, pa.list_(pa.int64())))
 
 
 def _evidence(shared) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, weights = _Features(), shared.value
+        scorer = _Scorer(shared.value)
         for batch in batches:
-            found = {h: [] for h in weights}
-            for t in texts_of(batch, "text"):
-                slots = features.of(t.decode("utf-8", "replace"))
-                for h, (w, bias) in weights.items():
-                    found[h].append(float(w[slots].sum() + bias) if slots else bias)
-            yield with_columns(batch, ["text"], **{h: pa.array(v, pa.float64()) for h, v in found.items()})
+            found = [scorer.evidence(t.decode("utf-8", "replace")) for t in texts_of(batch, "text")]
+            yield with_columns(batch, ["text"], **{h: pa.array([f[i] for f in found], pa.float64()) for i, h in enumerate(HEADS)})
     return run
 
 
-@F.udf(VectorUDT())
-def _vector(slots):
-    return Vectors.sparse(FEATURES, slots, [1.0] * len(slots))
+def _vectors(shared) -> Callable:
+    """Sparse vectors over the positions of keys in a sorted list."""
+    def vector(slots):
+        known = shared.value
+        keys = np.array(slots, np.int64)
+        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        at = at[known[at] == keys] if len(known) else at[:0]
+        return Vectors.sparse(max(1, len(known)), at.tolist(), [1.0] * len(at))
+    return F.udf(vector, VectorUDT())
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_labels: int = MAX_LABELS,
-        penalty: float = PENALTY) -> dict[str, tuple[np.ndarray, float]]:
-    """Weights and bias of each head. At most `max_labels` labelled rows are used; a head without both
-    outcomes among its labels is a constant."""
-    workers_find_package(docs.sparkSession)
+        penalty: float = PENALTY) -> dict[str, tuple[dict[int, float], float]]:
+    """Weights (other than zero, by key) and bias of each head. At most `max_labels` labelled rows are used; a head without
+    both outcomes among its labels is a constant.
+
+    A feature of k among n rows moves the mean loss by less than k / n, so with k / n up to the penalty its weight is zero
+    in the fit: only the others are numbered and handed to it."""
+    spark = docs.sparkSession
+    workers_find_package(spark)
     chosen = (labels.where(labels[id_col].isNotNull()).select(labels[id_col].alias("label_id"), *[labels[h].cast("double").alias("y_" + h) for h in HEADS])
               .orderBy(F.xxhash64("label_id"), "label_id").limit(max_labels))
     rows = docs.select(docs[id_col].alias("id"), text_bytes(docs[text_col]).alias("text"))
     met = rows.join(F.broadcast(chosen), F.col("id") == F.col("label_id")).select("text", *["y_" + h for h in HEADS])  # bounded by max_labels
-    schema = met.select(*["y_" + h for h in HEADS], F.array(F.lit(0)).alias("slots")).schema
-    train = stored(met.mapInArrow(_switches, schema), "training").coalesce(TRAIN_TASKS)  # bounded by max_labels
+    schema = met.select(*["y_" + h for h in HEADS], F.array(F.lit(0).cast("long")).alias("slots")).schema
+    switched = stored(met.mapInArrow(_switches, schema), "training")
+    train = switched.coalesce(TRAIN_TASKS)  # bounded by max_labels
+    met_by = stored(switched.select("y_quality", "y_toxic", F.explode("slots").alias("key")).groupBy("key").agg(
+        *[F.count(F.when(F.col("y_" + h).isin(0.0, 1.0), 1)).alias(h) for h in HEADS]), "features")
     weights = {}
     for h in HEADS:
-        own = train.where(F.col("y_" + h).isin(0.0, 1.0)).select(F.col("y_" + h).alias("label"), _vector("slots").alias("features"))
-        counts = {r.label: r.n for r in own.groupBy("label").agg(F.count("*").alias("n")).collect()}
+        labelled = train.where(F.col("y_" + h).isin(0.0, 1.0))
+        counts = {r.label: r.n for r in labelled.groupBy(F.col("y_" + h).alias("label")).agg(F.count("*").alias("n")).collect()}
         yes, no = counts.get(1.0, 0), counts.get(0.0, 0)
         if yes and no:
-            model = LogisticRegression(maxIter=40, tol=1e-4, regParam=penalty / math.sqrt(yes + no), elasticNetParam=1.0, standardization=False).fit(own)
-            weights[h] = (model.coefficients.toArray(), float(model.intercept))
+            strength = penalty / math.sqrt(yes + no)
+            keys = np.sort(met_by.where(F.col(h) > strength * (yes + no)).select("key").toPandas()["key"].to_numpy(np.int64))
+            own = labelled.select(F.col("y_" + h).alias("label"), _vectors(spark.sparkContext.broadcast(keys))("slots").alias("features"))
+            model = LogisticRegression(maxIter=40, tol=1e-4, regParam=strength, elasticNetParam=1.0, standardization=False).fit(own)
+            fitted = model.coefficients.toArray()
+            weights[h] = ({int(keys[k]): float(fitted[k]) for k in np.flatnonzero(fitted[:len(keys)])}, float(model.intercept))
         else:
-            weights[h] = (np.zeros(FEATURES), math.log((yes + 1) / (no + 1)))
+            weights[h] = ({}, math.log((yes + 1) / (no + 1)))
     return weights
 
 
@@ -187,9 +249,9 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         site[h] = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), site[h]))
         posterior[h] = _sigmoid(F.col(h) - math.log(base[h] / (1 - base[h])) + _logit(site[h]))
     rejected = F.lit(False)
-    if np.any(weights["quality"][0]):
+    if weights["quality"][0]:
         rejected = rejected | (posterior["quality"] < 0.5)
-    if np.any(weights["toxic"][0]):
+    if weights["toxic"][0]:
         rejected = rejected | (posterior["toxic"] >= 0.5)
     return unpacked(out, carry, docs.columns, host=F.col("host"), path=F.col("path"),
                     **{f"p_{h}": posterior[h] for h in HEADS}, **{f"site_{h}": site[h] for h in HEADS},

@@ -1,3 +1,4 @@
+import random
 import re
 import zlib
 from collections import Counter
@@ -139,3 +140,19 @@ def test_quality_without_labels_and_empty_tables(spark, documents, labels):
     assert quality.judged(documents.limit(0), labels).count() == 0
     extra = documents.limit(20).withColumn("host", F.lit("own")).withColumn("rejected", F.lit(None).cast("string"))
     assert quality.accepted(extra, labels.limit(0)).columns == extra.columns
+
+
+def test_long_texts_are_judged_by_passage(spark):
+    """A long clean text meets no toxic word by collision, and a toxic passage is not outvoted by what stands around it."""
+    rng = random.Random(3)
+    mild, vile = [f"mild{chr(97 + k)}" for k in range(26)], [f"vile{chr(97 + k)}" for k in range(20)]
+    name = lambda k: "".join(chr(97 + int(c)) for c in str(k))
+    plain = lambda own, n=60: " ".join([name(rng.randrange(100_000)) for _ in range(n)] + rng.sample(own, 4))
+    texts = [(plain(vile), 1) if i % 4 == 0 else (plain(mild), 0) for i in range(400)]
+    clean = " ".join(name(k) for k in range(100_000, 300_000))
+    part = " ".join([plain(mild) for _ in range(15)] + [plain(vile)] + [plain(mild) for _ in range(15)])
+    rows = [(i, t, "a", "b") for i, (t, _) in enumerate(texts)] + [(1000, clean, "c", "d"), (1001, part, "e", "f"), (1002, " ".join(plain(mild) for _ in range(31)), "g", "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame([(i, 1, toxic) for i, (_, toxic) in enumerate(texts)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.evidence_toxic for r in quality.judged(docs, labels).where("doc_id >= 1000").collect()}
+    assert got[1000] < 0 and got[1001] > 0 and got[1002] < 0
