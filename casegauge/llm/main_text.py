@@ -3,8 +3,8 @@
 A page becomes a sequence of text nodes, each with its root-to-leaf tag path. Per path, text length and
 punctuation are aggregated; both ratios are smoothed along the page, fused into one score and compared with
 its spread. The nodes above it show which element holds the article (an article or main element around them,
-if there is one); from that element every block is kept, but for the parts that by their tag or class are
-menus, adverts, forms, comments and the like. Each page is small and is handled in one piece by a worker; pages
+if there is one); from that element every block is kept, but for the parts that by their tag, or by a class
+that the scores do not gainsay, are menus, adverts, forms, comments and the like. Each page is small and is handled in one piece by a worker; pages
 are spread over the cluster as they are read.
 """
 
@@ -33,6 +33,10 @@ CLASSES = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "ad
            "nav", "navbar", "navigation", "newsletter", "notice", "notices", "notification", "pagination", "pager", "popup", "promo", "promotion",
            "recommended", "related", "replies", "reply", "respond", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor",
            "sponsored", "subscribe", "toolbar", "topbar", "widget"}
+SAYS_OF_PAGE = {"no", "has", "with", "without"}  # first parts of names that say what stands beside an element
+OWN_HEADER = {"article", "entry", "post", "story"}  # first parts of the names of an article's own header
+ADVERT = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "sponsor", "sponsored"}
+BESIDE = ADVERT | {"comment", "comments", "disqus", "replies", "reply", "respond"}  # may be longer than the article
 ARTICLE = {"article", "main"}
 CLOSED_BY_BLOCK = {"p"}
 SAME_KIND = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -40,35 +44,55 @@ SCOPE = {"table", "ul", "ol", "dl", "select", "article", "section", "div", "body
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)",
                     re.S)
-_NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _WORDS = re.compile(r"[a-z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？¿¡]")
 
 
-def _furniture(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element holds page furniture, by tag, role or class."""
+def _hint(value: str, in_article: bool) -> str | None:
+    """The word for furniture that one of the names in a class or id is, or ends with."""
+    for name in value.split():
+        parts = _WORDS.findall(name)
+        if not parts or parts[-1] not in CLASSES or (len(parts) > 1 and parts[0] in SAYS_OF_PAGE):
+            continue
+        if parts[-1] == "header" and (in_article or (len(parts) > 1 and parts[0] in OWN_HEADER)):
+            continue
+        return parts[-1]
+    return None
+
+
+def _furniture(tag: str, attributes: str, in_article: bool) -> tuple[bool, str | None]:
+    """Whether an element holds page furniture by tag or role, and the word by which its class or id hints at it."""
     if tag in FURNITURE or (tag == "header" and not in_article):
-        return True
+        return True, None
+    hint = None
     if not attributes or tag in ("html", "body"):
-        return False
-    for m in _NAMED.finditer(attributes):
+        return False, None
+    for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in ROLES):
-            return True
-        if name in ("class", "id") and tag not in ARTICLE and not CLASSES.isdisjoint(_WORDS.findall(value)):
-            return True
-    return False
+            return True, None
+        if name in ("class", "id") and tag not in ARTICLE and hint is None:
+            hint = _hint(value, in_article)
+    return False, hint
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "dropped", "in_article", "path")
+    __slots__ = ("tag", "parent", "dropped", "hint", "in_article", "path")
 
     def __init__(self, tag: str, parent: _Node | None, attributes: str):
         self.tag, self.parent = tag, parent
         self.in_article = parent is not None and (parent.in_article or parent.tag in ARTICLE)
-        self.dropped = parent is not None and (parent.dropped or _furniture(tag, attributes, self.in_article))
+        self.dropped, self.hint = (False, None) if parent is None else (True, None) if parent.dropped else _furniture(tag, attributes, self.in_article)
         self.path = tag if parent is None else f"{parent.path}/{tag}"
 
+    def chain(self) -> Iterator[_Node]:
+        """The element and those around it."""
+        node = self
+        while node is not None:
+            yield node
+            node = node.parent
+
 
 def _text_nodes(page: str) -> list[tuple[_Node, int, str]]:
     """Text nodes in page order with their element and the number of their block."""
@@ -138,9 +162,31 @@ def _scores(nodes: list[tuple[_Node, int, str]]) -> np.ndarray:
     return _smooth(length) * _smooth(1.0 + points)
 
 
+def _confirmed(nodes: list[tuple[_Node, int, str]]) -> list[tuple[_Node, int, str]]:
+    """The text nodes outside elements that are furniture by their class. Such a hint does not hold for an element
+    around the article element, nor (but for adverts and discussions) for one with most of the text that the scores choose."""
+    full = [x for x in nodes if x[2].strip()]
+    around = {id(x[0]): [e for e in x[0].chain() if e.hint] for x in nodes}
+    if not full or not any(around.values()):
+        return nodes
+    score = _scores(full)
+    inside: dict[_Node, int] = Counter()
+    total = 0
+    for (node, _, t), picked in zip(full, score >= min(score.std(), score.max())):
+        if picked:
+            total += len(t)
+            for e in node.chain():
+                if e.hint or e.tag in ARTICLE:
+                    inside[e] += len(t)
+    articles = [e for e in inside if e.tag in ARTICLE]
+    spared = set(max(articles, key=inside.get).chain()) if articles else set()
+    spared.update(e for e, n in inside.items() if e.hint and e.hint not in BESIDE and 2 * n > total)
+    return [x for x in nodes if spared.issuperset(around[id(x[0])])]
+
+
 def main_text(page: str) -> str:
     """The article's blocks, joined by a line end; empty if there are none."""
-    nodes = [(e, b, t) for e, b, t in _text_nodes(page)]
+    nodes = _confirmed(_text_nodes(page))
     full = [x for x in nodes if x[2].strip()]
     if not full:
         return ""

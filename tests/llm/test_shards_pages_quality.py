@@ -88,6 +88,31 @@ def test_broken_markup_is_read_as_far_as_it_goes():
     assert main_text("<article>" + "<div>" * 3000 + "deep text." + "</div>" * 3000) == "deep text."
 
 
+@pytest.mark.parametrize("open_, close", [("<div class='content no-sidebar'>", "</div>"), ("<div class='layout has-sidebar'><article>", "</article></div>"),
+                                          ("<div id='header'><article>", "</article></div>")])
+def test_a_class_does_not_empty_the_page(open_, close):
+    assert main_text(PAGE % (open_ + BODY + close)) == WANT
+
+
+def test_a_class_on_most_of_the_text_does_not_count():
+    lines = [f"Paragraph {k}, of a page whose wrapper is named like a part of it, goes on for a while." for k in range(8)]
+    page = "<div class='page widget'>" + "".join(f"<p>{x}</p>" for x in lines) + "<div class='widget'>More, here.</div></div>"
+    assert main_text(PAGE % page) == "\n".join(lines)
+
+
+def test_only_whole_names_hint_at_furniture():
+    parts = ["<div class='entry-header'><h1>A title, here.</h1></div>", "<div class='elementor-widget-container'><p>One text, first.</p></div>",
+             "<div id='market-share-analysis'><p>Shares, in short.</p></div>", "<div class='notice-of-meeting'><p>We meet, at ten.</p></div>",
+             "<p title='a hidden gem'>A gem, found.</p>", "<p data-x='class=ad'>No advert, this.</p>"]
+    gone = ["<div class='cookie-notice'>Cookies, here.</div>", "<div class=ad>Buy, now!</div>", "<p hidden>Not, seen.</p>", "<div class='box widget-2'>More, here.</div>"]
+    want = "A title, here.\nOne text, first.\nShares, in short.\nWe meet, at ten.\nA gem, found.\nNo advert, this."
+    for around in ("<article>%s</article>", "<div class='content'>%s</div>"):
+        assert main_text("<body>" + around % "".join(parts[:3] + gone + parts[3:]) + "</body>") == want
+    assert main_text("<body><article><h1>Short, this.</h1><div class='ad'><p>A long advert, which goes on, and on, and on.</p></div></article></body>") == "Short, this."
+    talk = "<div id='comments'>" + "<p>A long comment, which goes on, and on, and on.</p>" * 20 + "</div>"
+    assert main_text("<body><article>" + "".join(parts) + "</article>" + talk + "</body>") == want
+
+
 def test_pages_of_the_table(spark):
     """The tables' pages hold one article element of headings and paragraphs."""
     import html
