@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casegauge.llm import (decontaminate, exact_dedup, line_dedup, main_text, near_dedup, pieces, quality, sharding, substring_dedup,
-                           token_counts)
+from casegauge.llm import (decontaminate, exact_dedup, line_dedup, main_text, merge_bpe, middles, near_dedup, pieces, quality, sharding,
+                           substring_dedup, token_counts, vector_codes)
 from casegauge.sources.tables import read_parquet as table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,64 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     out = line_dedup.lines_removed(table(spark, folder, "documents"), carry=["doc_id"])
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op11_merge_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    out = merge_bpe.encoded(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), carry=["doc_id"])
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), pieces.ids_digest("ids").alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    out = middles.restored(middles.fill_in_middle(table(spark, folder, "documents"), carry=["doc_id"]))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2("restored", 256).alias("restored_sha256"))
+
+
+ORACLES["op12_fill_in_middle"] = r"""
+with d as (select doc_id, coalesce(text, '') t, cast(length(coalesce(text, '')) as bigint) n, sha256('1:' || doc_id) h from documents),
+k as (select *, cast('0x' || substr(h, 1, 8) as bigint) % (n + 1) a, cast('0x' || substr(h, 9, 8) as bigint) % (n + 1) b,
+    cast('0x' || substr(h, 17, 8) as bigint) % 100 h3, cast('0x' || substr(h, 25, 8) as bigint) % 100 h4 from d),
+f as (select *, least(a, b) p, greatest(a, b) - least(a, b) m, case when n = 0 or contains(t, '<P>') or contains(t, '<S>')
+    or contains(t, '<M>') or h3 >= 90 then 'plain' when h4 < 20 then 'spm' else 'psm' end form from k),
+c as (select *, substring(t, 1, p) x, substring(t, p + 1, m) y, substring(t, p + m + 1, n) z from f)
+select doc_id, n, form, case when form <> 'plain' then p end prefix_chars, case when form <> 'plain' then m end middle_chars,
+    sha256(case form when 'plain' then t when 'psm' then '<P>' || x || '<S>' || z || '<M>' || y
+        else '<S>' || z || '<P>' || x || '<M>' || y end) output_sha256, sha256(t) restored_sha256
+from c"""
+
+
+@query
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, folder, "embeddings"), carry=["vec_id"])
+
+
+def _codes_sql(rounds: int = 2) -> str:
+    """Two rounds and the last assignment, each a comparison of all parts with all entries of their position."""
+    near = """select q.r, q.p, q.v, min_by(e.i, [sum_sq(q.v, e.v), e.i]) i, min(sum_sq(q.v, e.v)) d
+        from q join {book} e using (p) group by q.r, q.p, q.v"""
+    near = near.replace("sum_sq(q.v, e.v)", "list_sum(list_transform(list_zip(q.v, e.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))")
+    steps, book = [], "b0"
+    for turn in range(rounds):
+        steps.append(f"""n{turn} as ({near.format(book=book)}),
+s{turn} as (select p, i, list(cast(floor_div(t, c) as bigint) order by j) v from
+    (select p, i, j, sum(v[j]) t, count(*) c from (select p, i, v, unnest(generate_series(1, len(v))) j from n{turn}) group by p, i, j) group by p, i),
+b{turn + 1} as (select b.p, b.i, coalesce(s.v, b.v) v from {book} b left join s{turn} s on s.p = b.p and s.i = b.i)"""
+                     .replace("floor_div(t, c)", "(t - ((t % c) + c) % c) // c"))
+        book = f"b{turn + 1}"
+    return f"""
+with kept as (select row_number() over (order by vec_id) r, vec_id, label, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) w
+    from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+q as (select r, p, w[p * (len(w) // 16) + 1:(p + 1) * (len(w) // 16)] v from (select r, w, unnest(generate_series(0, 15)) p from kept)),
+b0 as (select p, r - 1 i, v from q where r <= 64),
+{', '.join(steps)},
+last as ({near.format(book=book)}),
+codes as (select r, string_agg(printf('%02x', i), '' order by p) code, cast(sum(d) as bigint) error from last group by r),
+book as (select sha256(string_agg(array_to_string(v, ','), ',' order by p, i)) h from {book})
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) label_error, h codebooks_sha256
+from kept join codes using (r) cross join book"""
+
+
+ORACLES["op13_vector_codes"] = _codes_sql()
