@@ -9,6 +9,7 @@ from casegauge.functions.metrics import class_map, split_by_class
 from casegauge.operators import clusters as C
 from casegauge.operators.lists import explode_list, first_items
 from casegauge.operators.regression import distance_latency_stats, linear_fit_cv, valid_points
+from casegauge.operators.set_pairs import set_differences
 from casegauge.operators.summary import case_summary, score_metric
 from casegauge.plans.inputs import REGION_DAYS, SERVICE_CLASSES
 from casegauge.plans.inputs_sql import miles, percentile, rounded, with_inputs
@@ -127,6 +128,20 @@ def _(x):
     return C.capacity_totals(x.regions().where(F.col("day") == REGION_DAYS[1]), list(SERVICE_CLASSES))
 
 
+@query("pair_difference", with_inputs(NEAR, f"""select region_list, count(q) partners, {rounded('coalesce(sum(w), 0)', 3)} differing_gbps from
+    (select distinct region_list from member) left join (select a.region_list, b.region_list q, any_value(s.w) + any_value(t.w) - 2*sum(a.bit_gbps) w
+     from member a join member b using (region) join total s on s.region_list = a.region_list join total t on t.region_list = b.region_list
+     where a.region_list <> b.region_list group by 1, 2 having any_value(s.n) + any_value(t.n) - 2*count(*) < 10) using (region_list) group by region_list""",
+    {**CLUSTERS, "member": """select region_list, region, cast(bit_gbps as decimal(18,3)) bit_gbps from
+        (select region_list, cast(unnest(string_split(region_list, ':')) as bigint) region from clusters) join serving using (region)""",
+     "total": "select region_list, count(*) n, sum(bit_gbps) w from member group by 1"}))
+def _(x):
+    members = explode_list(clusters(x), ["region_list"], "region_list", "region").withColumn("region", F.col("region").cast("long"))
+    rows = members.join(serving(x).select("region", "bit_gbps"), "region")
+    out = set_differences(rows, "region_list", "region", "bit_gbps", differing="differing_gbps")
+    return out.withColumn("differing_gbps", F.round("differing_gbps", 3))
+
+
 # The load thresholds of the coverage curve, in units of the scaled load.
 THRESHOLDS = [i / 100 for i in range(1, 200, 2)]
 

@@ -159,13 +159,18 @@ class Inputs:
         days = F.array(*[F.lit(d) for d in REGION_DAYS])
         return rows.withColumn("day", F.explode(days)).where((F.col("day") == REGION_DAYS[1]) | (F.col("region") % 3 != 0))
 
+    def region_of(self, user: Column) -> Column:
+        """Users dealt out over all suppliers."""
+        low, high = self.table("supplier").agg(F.min("s_suppkey"), F.max("s_suppkey")).first()
+        return user % F.lit(high - low + 1) + F.lit(low)
+
     def region_sample(self) -> DataFrame:
         # Binary fractions, so that sums and means do not depend on the order of addition.
         u, v, t = F.col("user_id"), F.col("value"), epoch("ts")
         w = (v * 100).cast("long").cast("double")
         return self.table("events").select(
             to_int(u % 5).alias("maprule"), F.col("event_type").alias("geoname"),
-            F.when(u % 2 == 0, F.lit("ANY")).otherwise(F.lit("N1")).alias("netname"), (u + 1).alias("region"),
+            F.when(u % 2 == 0, F.lit("ANY")).otherwise(F.lit("N1")).alias("netname"), self.region_of(u).alias("region"),
             (w / 128).alias("score"), to_int(v).alias("nsd_demand"), to_int(v * 2).alias("eu_demand"), (v * 100).cast("long").alias("ra_load"),
             (w / 1024).alias("case_percent_pre_norm_load"), (w / 512).alias("case_percent_load"),
             (w / 2048).alias("recorded_load_percentage"), F.date_format("ts", "yyyyMMdd").alias("datestamp"),
@@ -205,16 +210,21 @@ class Inputs:
     # -- client groups and probes ---------------------------------------------------------------
     def client_groups(self) -> DataFrame:
         k = F.col("c_custkey")
-        allowed = F.transform(F.sequence(F.lit(0), F.lit(4)), lambda j: k % 13 + 13 * j + 1)
         return self.customers().select(
             k.alias("mpgid"), (((k * 37) % 1200).cast("double") / 10 - 60).alias("lat"),
             (((k * 91) % 3600).cast("double") / 10 - 180).alias("lon"), F.col("n_name").alias("country"),
-            F.abs("c_acctbal").alias("load"), allowed.alias("allowed"), to_int(k % 20).alias("asnum"))
+            F.abs("c_acctbal").alias("load"), to_int(k % 20).alias("asnum"))
+
+    def allowed_regions(self) -> DataFrame:
+        """Regions that a group may use: the suppliers of its own orders, a list bounded by the supplier dimension."""
+        li, o = self.table("lineitem"), self.table("orders")
+        return li.join(o, li["l_orderkey"] == o["o_orderkey"]).groupBy(F.col("o_custkey").alias("mpgid")).agg(
+            F.array_sort(F.collect_set("l_suppkey")).alias("allowed"))
 
     def near_groups(self) -> DataFrame:
         """Client groups placed a short way from one of the regions they may use."""
-        g, k = self.client_groups().drop("lat", "lon"), F.col("mpgid")
-        anchor = k % 13 + 13 * (F.floor(k / 13) % 5) + 1
+        g, k = self.client_groups().drop("lat", "lon").join(self.allowed_regions(), "mpgid"), F.col("mpgid")
+        anchor = F.get("allowed", (k % F.size("allowed")).cast("int"))
         return g.withColumns({
             "lat": ((anchor * 37) % 1200).cast("double") / 10 - 60 + (k % 7).cast("double") / 10,
             "lon": ((anchor * 91) % 3600).cast("double") / 10 - 180 + (k % 11).cast("double") / 10})

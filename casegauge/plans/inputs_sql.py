@@ -24,6 +24,9 @@ def _lon(k):
     return POSITION[1].format(k)
 
 
+# Users dealt out over all suppliers.
+REGION_OF = "user_id % (select max(s_suppkey) - min(s_suppkey) + 1 from supplier) + (select min(s_suppkey) from supplier)"
+
 # name -> (needed expressions, query)
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "line_cases": ((), f"""
@@ -86,7 +89,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "newest": (("regions",), "select * from regions where \"day\" = (select max(\"day\") from regions)"),
     "region_sample": ((), f"""
         select cast(user_id % 5 as int) maprule, event_type geoname, case when user_id % 2 = 0 then 'ANY' else 'N1' end netname,
-               user_id + 1 region, cast({_big('"value"*100')} as double)/128 score, {_int('"value"')} nsd_demand, {_int('"value"*2')} eu_demand, {_big('"value"*100')} ra_load,
+               {REGION_OF} region, cast({_big('"value"*100')} as double)/128 score, {_int('"value"')} nsd_demand, {_int('"value"*2')} eu_demand, {_big('"value"*100')} ra_load,
                cast({_big('"value"*100')} as double)/1024 case_percent_pre_norm_load, cast({_big('"value"*100')} as double)/512 case_percent_load,
                cast({_big('"value"*100')} as double)/2048 recorded_load_percentage,
                strftime(ts, '%Y%m%d') datestamp, strftime(ts, '%H') as \"hour\",
@@ -121,12 +124,13 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         from assignment_sum join clients using (mpgid)"""),
     "networks": ((), "select distinct cast(c_custkey % 20 as int) asnum, c_mktsegment netname from customer"),
     "client_groups": (("customers",), f"""
-        select c_custkey mpgid, {_lat('c_custkey')} lat, {_lon('c_custkey')} lon, n_name country, abs(c_acctbal) load,
-               [c_custkey % 13 + 13*j + 1 for j in range(0, 5)] allowed, cast(c_custkey % 20 as int) asnum
+        select c_custkey mpgid, {_lat('c_custkey')} lat, {_lon('c_custkey')} lon, n_name country, abs(c_acctbal) load, cast(c_custkey % 20 as int) asnum
         from customers"""),
-    "near_groups": (("client_groups",), f"""
+    "allowed_regions": ((), """
+        select o_custkey mpgid, list_sort(list(distinct l_suppkey)) allowed from lineitem join orders on l_orderkey = o_orderkey group by 1"""),
+    "near_groups": (("client_groups", "allowed_regions"), f"""
         select * exclude (anchor), {_lat('anchor')} + cast(mpgid % 7 as double)/10 lat, {_lon('anchor')} + cast(mpgid % 11 as double)/10 lon
-        from (select * exclude (lat, lon), mpgid % 13 + 13*(cast(floor(mpgid/13.0) as bigint) % 5) + 1 anchor from client_groups)"""),
+        from (select * exclude (lat, lon), allowed[mpgid % len(allowed) + 1] anchor from client_groups join allowed_regions using (mpgid))"""),
     "allow_list": ((), "select distinct cast(l_partkey % 6 as int) maprule, l_suppkey region from lineitem"),
     "probes": ((), """
         select cast(l_partkey % 50 as int) ppip, l_suppkey region, l_quantity*10 distance, l_extendedprice/10 latency, l_discount*100 loss,

@@ -167,11 +167,11 @@ def _(x):
     return x.clients().select("mpgid", F.round(haversine_miles("ns_lat", "ns_lon", F.lit(40.0), F.lit(-75.0)), 4).alias("miles"))
 
 
-@query("explode_join", with_inputs("client_groups newest", """select mpgid, g.country, load, region, n."name" from
-    (select *, unnest(allowed) rid from client_groups) g join newest n on rid = region"""))
+@query("explode_join", with_inputs("near_groups newest", """select mpgid, g.country, load, region, n."name" from
+    (select *, unnest(allowed) rid from near_groups) g join newest n on rid = region"""))
 def _(x):
     dim = x.regions().where(F.col("day") == "20240130").select("region", "name")
-    return J.explode_join(x.client_groups().select("mpgid", "country", "load", "allowed"), "allowed", dim, "region")
+    return J.explode_join(x.near_groups().select("mpgid", "country", "load", "allowed"), "allowed", dim, "region")
 
 
 @query("lookup_join", """select e.event_id, e.user_id, coalesce(n.n_name, 'unknown') geo from events e left join nation n

@@ -105,20 +105,16 @@ def _(x):
     return T.load_share(x.overview(), x.objectives())
 
 
-def rollup_samples(x):
-    return x.region_sample().withColumn("region", F.col("region") % 100)
-
-
 ROLLUP = f"""select maprule, geoname, netname, datestamp, "hour", cast(sum(nsd_demand) as bigint) nsd_demand, cast(sum(eu_demand) as bigint) eu_demand,
     cast(sum(ra_load) as bigint) ra_load, case when sum(bytes) > 0 then {rounded('100.0::double*cast(sum(bytes_in) as bigint)/cast(sum(bytes) as bigint)', 3)} else 0 end in_out_ratio,
     cast(sum(hits) as bigint) hits, cast(sum(connections) as bigint) connections,
     case when sum(flytes) > 0 then {rounded('100.0::double*cast(sum(bytes) as bigint)/cast(sum(flytes) as bigint)', 3)} else 0 end b2f_ratio,
     {rounded('cast(sum(cpu) as double)/1000000', 3)} m_cpu, cast(sum(disk) as bigint) disk
-    from region_sample a join machine_traffic c on a.maprule = c.maprule_id and a.region % 100 = c.region group by 1, 2, 3, 4, 5"""
+    from region_sample a join machine_traffic c on a.maprule = c.maprule_id and a.region = c.region group by 1, 2, 3, 4, 5"""
 
 
 def rollup(x):
-    return T.io_case_rollup(rollup_samples(x), machine_traffic(x), [*CASE, "datestamp", "hour"])
+    return T.io_case_rollup(x.region_sample(), machine_traffic(x), [*CASE, "datestamp", "hour"])
 
 
 @query("io_case_rollup", with_inputs("region_sample machine_traffic", ROLLUP))
