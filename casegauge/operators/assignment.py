@@ -10,6 +10,7 @@ from casegauge.functions.geo import haversine_miles
 from casegauge.functions.metrics import entropy, is_continent_fallback, is_even, is_local
 from casegauge.operators.joins import members_of
 from casegauge.operators.lists import list_item, list_texts
+from casegauge.operators.spread import split_join, with_totals
 from casegauge.sources.snapshots import latest_partition
 
 
@@ -17,12 +18,11 @@ def duration_share(log: DataFrame, regions: DataFrame, uuid="mpd_uuid", snapshot
     """Per (client group, rule, region, link): duration and duration-weighted sums.
 
     The share is the count over all counts of the same group, rule, run and time, rounded to 5
-    places, times the duration of the time step. Totals are grouped and joined back, so a hot group
-    is summed on the map side and its join partition can be split."""
+    places, times the duration of the time step. Totals are grouped and joined back: a hot group
+    is summed on the map side, and its rows stay spread over tasks."""
     at = ["mpgid", "mrid", uuid, "ts"]
-    totals = log.groupBy(*at).agg(F.sum("cnt").alias("_total"))
     share = F.round(F.try_divide(F.col("cnt").cast("double"), F.col("_total").cast("double")), 5)
-    rows = log.join(totals, at).select(
+    rows = with_totals(log, at, _total=F.sum("cnt")).select(
         "mpgid", "mrid", "mpg_type", "region", "link", uuid, "min_s", "max_s", "min_r", "max_r",
         (share * F.col("dftime")).alias("_d"), is_even("min_s").alias("ping"), is_local("min_s").alias("local"),
         is_continent_fallback("max_s", "max_r").alias("cont_fb"))
@@ -38,7 +38,7 @@ def duration_share(log: DataFrame, regions: DataFrame, uuid="mpd_uuid", snapshot
 def _client_rows(summary: DataFrame, clients: DataFrame, uuid: str) -> DataFrame:
     rows = summary.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     longest = rows.groupBy(uuid).agg(F.max("mpd_dftime").alias("_max"))
-    joined = rows.join(clients, "mpgid").join(longest, uuid)
+    joined = split_join(rows.join(clients, "mpgid"), longest, [uuid])
     return joined.withColumn("_share", F.round(F.try_divide(F.col("mpd_dftime"), F.col("_max")), 3))
 
 
@@ -54,8 +54,7 @@ def assignment_stats(summary: DataFrame, clients: DataFrame, uuid="mpd_uuid", no
     attributes = ["mpg_type", "ns_demand", "ns_asnum", "ns_country", "ns_continent", "ns_lat", "ns_lon", "mpg_load"]
     d = F.col("mpd_dftime")
     if normalise_entropy:
-        totals = rows.groupBy(*keys).agg(F.sum("mpd_dftime").alias("_all"))
-        rows = rows.join(totals, keys).withColumn("_p", F.try_divide(d, F.col("_all")))
+        rows = with_totals(rows, keys, _all=F.sum("mpd_dftime")).withColumn("_p", F.try_divide(d, F.col("_all")))
     else:
         rows = rows.withColumn("_p", F.col("_share"))
 
@@ -97,9 +96,8 @@ def client_entropy(summary: DataFrame, clients: DataFrame, uuid="mpd_uuid", norm
     keys = [uuid, "nsip", "mrid"]
     if not normalise:
         return rows.groupBy(*keys).agg(F.round(entropy("_share"), 6).alias("mapping_entropy"))
-    totals = rows.groupBy(*keys).agg(F.sum("mpd_dftime").alias("_all"))
     p = F.try_divide(F.col("mpd_dftime"), F.col("_all"))
-    return rows.join(totals, keys).groupBy(*keys).agg(F.round(entropy(p), 6).alias("mapping_entropy"))
+    return with_totals(rows, keys, _all=F.sum("mpd_dftime")).groupBy(*keys).agg(F.round(entropy(p), 6).alias("mapping_entropy"))
 
 
 def poorly_mapped(stats: DataFrame, networks: DataFrame, rule=None, geo=None, limits: dict | None = None) -> DataFrame:

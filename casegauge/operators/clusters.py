@@ -11,6 +11,7 @@ from casegauge.functions.metrics import class_map, split_by_class
 from casegauge.functions.text import EMPTY_LIST
 from casegauge.operators.joins import distance_join, explode_join
 from casegauge.operators.lists import items_with_totals, joined_lists
+from casegauge.operators.spread import split_join
 
 NEAR_MILES, SAME_COUNTRY_MILES = 500.0, 1000.0
 MIN_LOAD = 0.0001
@@ -160,9 +161,9 @@ def region_criticality(clusters: DataFrame, members: DataFrame, allow: DataFrame
     totals = rows.groupBy(key, "maprule").agg(*[F.sum(c).alias(f"_{n}") for c, n in caps.items()])
     rules = totals.groupBy(key).agg(F.count(F.lit(1)).alias("_rules"))
     part = lambda c, n: F.when(F.col(f"_{n}") > 0, F.try_divide(F.col(c).cast("double"), F.col(f"_{n}").cast("double"))).otherwise(F.lit(0.0))
-    per_region = rows.join(totals, [key, "maprule"]).groupBy(key, "region").agg(
+    per_region = split_join(rows, totals, [key, "maprule"]).groupBy(key, "region").agg(
         *[F.sum(part(c, n)).alias(n) for c, n in caps.items()])
-    mean = per_region.join(rules, key).select(key, "region", *[(F.col(n) / F.col("_rules")).alias(n) for n in caps.values()])
+    mean = split_join(per_region, rules, [key]).select(key, "region", *[(F.col(n) / F.col("_rules")).alias(n) for n in caps.values()])
     base = clusters.select(key, "geoname", "load", "nmpg")
     full = base.join(mean, key, "left").select(
         "geoname", "load", "nmpg", F.coalesce("region", F.lit(0).cast("long")).alias("region"),

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from casegauge import CASE
 from casegauge.functions.geo import grid_cell, grid_edge, haversine_miles, neighbour_cells
 from casegauge.functions.metrics import as_col, excess_over, shortfall
+from casegauge.operators.spread import split_join, with_totals
 
 GLOBAL, ANY = "GLOBAL", "ANY"
 
@@ -83,8 +84,8 @@ def target_per_key(df: DataFrame, keys: Sequence[str], target="targetvalue", agg
 
 def attach_target(df: DataFrame, targets: DataFrame, keys: Sequence[str] = CASE, target="targetvalue",
                   name="score_target") -> DataFrame:
-    """Inner join of the highest target per case."""
-    return df.join(target_per_key(targets, keys, target, "max", name), list(keys))
+    """Inner join of the highest target per case. The rows of a hot case stay spread over tasks."""
+    return split_join(df, target_per_key(targets, keys, target, "max", name), keys)
 
 
 def period_compare(now: DataFrame, before: DataFrame, keys: Sequence[str], values: Sequence[str],
@@ -179,13 +180,12 @@ def explode_join(df: DataFrame, ids: str, dim: DataFrame, dim_key: str, how: str
 
 def share_of_total(detail: DataFrame, keys: Sequence[str], value: str, share: str, total: str,
                    scale: float = 100.0, digits: int = 4) -> DataFrame:
-    """Total per key joined back to the detail rows, and each row's share.
+    """Total per key (null is a key too) joined back to the detail rows, and each row's share.
 
-    A grouped total, not a window: partial sums keep a hot key from meeting in one task."""
-    keys = list(keys)
-    totals = detail.groupBy(*keys).agg(F.sum(value).alias(total))
+    A grouped total, not a window: partial sums are added on the map side, and the join back leaves the rows of a hot key
+    spread over tasks."""
     pct = F.round(F.try_divide(F.lit(scale) * F.col(value).cast("double"), F.col(total).cast("double")), digits)
-    return detail.join(totals, keys).withColumn(share, F.when(F.col(total) > 0, pct).otherwise(F.lit(0.0)))
+    return with_totals(detail, keys, **{total: F.sum(value)}).withColumn(share, F.when(F.col(total) > 0, pct).otherwise(F.lit(0.0)))
 
 
 def override_dimension(auto: DataFrame, manual: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from casegauge.operators.spread import with_totals
+
 
 def list_item(lists: dict[str, Column], order: Sequence[Column]) -> Column:
     """One item of parallel lists, with what it is ordered by in front."""
@@ -33,8 +35,9 @@ def joined_lists(df: DataFrame, keys: Sequence[str], lists: dict[str, Column], o
 
 
 def items_with_totals(df: DataFrame, keys: Sequence[str], count_name: str = "items") -> DataFrame:
-    """The rows with the number of rows of their key, as a grouped total: a hot key is counted on the map side."""
-    return df.join(df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name)), list(keys))
+    """The rows with the number of rows of their key (null is a key too). A hot key is counted on the map side, and its rows
+    stay spread over tasks."""
+    return with_totals(df, keys, **{count_name: F.count(F.lit(1))})
 
 
 def first_items(df: DataFrame, keys: Sequence[str], item: str, n: int, name: str, sep: str = ":", count_name: str = "items") -> DataFrame:

@@ -11,6 +11,7 @@ from casegauge.functions.metrics import guarded_ratio
 from casegauge.functions.text import case_label
 from casegauge.operators.joins import attach_target, share_of_total
 from casegauge.operators.lists import joined_lists
+from casegauge.operators.spread import with_totals
 from casegauge.sources.snapshots import latest_partition
 
 MIN_SHARE = 0.00005
@@ -49,12 +50,10 @@ def region_summary(samples: DataFrame, regions: DataFrame, targets: DataFrame |
     the samples; `keys` may hold the hour, so many hours are summarised at once."""
     keys = list(keys)
     detail = case_region_detail(samples, keys)
-    totals = detail.groupBy(*keys).agg(
-        F.sum("region_ra_load").alias("case_ra_load"), F.sum("region_nsd_demand").alias("case_nsd_demand"),
-        F.sum("region_eu_demand").alias("case_eu_demand"),
-        F.round(F.sum("_max_share"), 4).alias("case_sum_max_region_percent_load"),
-        F.count(F.lit(1)).alias("case_uniq_region"))
-    out = detail.drop("_max_share").join(totals, keys)
+    out = with_totals(
+        detail, keys, case_ra_load=F.sum("region_ra_load"), case_nsd_demand=F.sum("region_nsd_demand"),
+        case_eu_demand=F.sum("region_eu_demand"), case_sum_max_region_percent_load=F.round(F.sum("_max_share"), 4),
+        case_uniq_region=F.count(F.lit(1))).drop("_max_share")
     out = out.withColumns({
         "case_percent_load": guarded_ratio("region_ra_load", "case_ra_load", 100, 4),
         "case_percent_nsd_demand": guarded_ratio("region_nsd_demand", "case_nsd_demand", 100, 4),

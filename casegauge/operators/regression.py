@@ -10,6 +10,7 @@ from casegauge.functions.metrics import UNREACHABLE
 from casegauge.functions.stats import correlation_p_value
 from casegauge.operators.lists import items_with_totals
 from casegauge.operators.quantiles import percentile_array
+from casegauge.operators.spread import split_join
 
 MIN_POINTS = 10
 
@@ -20,7 +21,8 @@ def distance_latency_stats(df: DataFrame, keys: Sequence[str], x="distance", y="
 
     Latencies of 10000 and more are unreachable. With at most 10 valid points the fit is constant
     (0, or -1 for the location figures). Percentiles are over whole miles, milliseconds and percents,
-    a small domain. The largest residual needs the fitted line, hence a second pass over the data."""
+    a small domain. The largest residual needs the fitted line, hence a second pass over the data, in which the
+    points of a hot probe stay spread over tasks."""
     keys = list(keys)
     ok = F.col(y) < UNREACHABLE
     vx, vy, vz = (F.when(ok, F.col(c).cast("double")) for c in (x, y, z))
@@ -34,7 +36,7 @@ def distance_latency_stats(df: DataFrame, keys: Sequence[str], x="distance", y="
         *[F.min(a).alias(a) for a in attributes])
     line = first.select(*keys, "_a", "_b")
     residual = F.abs(F.col("_a") * F.col(x) + F.col("_b") - F.col(y))
-    worst = df.where(ok).join(line, keys).groupBy(*keys).agg(F.max(residual).alias("_worst"))
+    worst = split_join(df.where(ok), line, keys).groupBy(*keys).agg(F.max(residual).alias("_worst"))
     fitted = F.col("n_valid") > MIN_POINTS
     take = lambda c, default: F.when(fitted, c).otherwise(F.lit(default))
     rmse = F.sqrt(F.greatest(F.lit(0.0), F.try_divide(F.col("_syy") - F.col("_a") * F.col("_sxy"), F.col("n_valid").cast("double"))))
