@@ -19,13 +19,12 @@ def split_join(rows: DataFrame, totals: DataFrame, keys: Sequence[str], how: str
 
     Null keys meet each other only with `nulls`. The keys come from `rows`; other names must differ."""
     keys = list(keys)
-    named = totals.withColumnsRenamed({k: f"_of_{k}" for k in keys})
     left = rows.withColumn("_spread", _mark(keys))
-    right = named.withColumn("_of_spread", _mark([f"_of_{k}" for k in keys]))
-    same = [left[k].eqNullSafe(right[f"_of_{k}"]) if nulls else left[k] == right[f"_of_{k}"] for k in keys]
-    on = functools.reduce(lambda a, b: a & b, [*same, left["_spread"] == right["_of_spread"]])
-    added = [c for c in totals.columns if c not in keys]
-    return left.join(right, on, how).select(*[left[c] for c in rows.columns], *[right[c] for c in added])
+    right = totals.withColumn("_spread", _mark(keys)).withColumnsRenamed({c: f"_of_{c}" for c in [*totals.columns, "_spread"]})
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) if nulls else F.col(k) == F.col(f"_of_{k}") for k in keys]
+    on = functools.reduce(lambda a, b: a & b, [*same, F.col("_spread") == F.col("_of__spread")])
+    added = [F.col(f"_of_{c}").alias(c) for c in totals.columns if c not in keys]
+    return left.join(right, on, how).select(*[F.col(c) for c in rows.columns], *added)
 
 
 def _mark(keys: Sequence[str]) -> Column:
