@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from casegauge.llm.common import stored
 from casegauge.llm.components import components
+from casegauge.operators.spread import split_join
 
 ROUNDS = 5
 
@@ -15,70 +16,69 @@ ROUNDS = 5
 def shared_buckets(placed: DataFrame) -> DataFrame:
     """The rows `bucket`, `node` of buckets with more than one node."""
     shared = placed.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
-    return stored(placed.join(shared.select("bucket"), "bucket"), "buckets")
+    return stored(split_join(placed, shared.select("bucket", F.lit(True).alias("kept")), ["bucket"]).drop("kept"), "buckets")
 
 
-def _open(members: DataFrame, roots: DataFrame | None, turn: int) -> DataFrame:
+def open_members(members: DataFrame, roots: DataFrame | None, turn: int) -> DataFrame:
     """The rows of buckets that hold several components, with the bucket's hub of this turn and its component. Hubs
     are drawn by a hash of node and turn, so the buckets of a group mostly share theirs."""
     if roots is None:
         known = members.select("bucket", "node", F.col("node").alias("root"))
     else:
-        known = members.select("bucket", "node").join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+        known = split_join(members.select("bucket", "node"), roots, ["node"], "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
     draw = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "root"))
     several = known.groupBy("bucket").agg(draw.alias("hub"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     picked = several.select("bucket", F.col("hub.node").alias("hub"), F.col("hub.root").alias("hub_root"))
-    return stored(known.join(picked, "bucket"), "open")
+    return stored(split_join(known, picked, ["bucket"]), "open")
 
 
-def _merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+def merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
     """Components after more links."""
     if roots is None:
         return stored(components(links), "roots")
     name = lambda one: roots.select(F.col("node").alias(one), F.col("root").alias("root_" + one))
-    bridges = links.join(name("a"), "a", "left").join(name("b"), "b", "left").select(
+    bridges = split_join(split_join(links, name("a"), ["a"], "left"), name("b"), ["b"], "left").select(
         F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
     upper = stored(components(bridges).select(F.col("node").alias("root"), F.col("root").alias("top")), "upper")
-    old = roots.join(upper, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    old = split_join(roots, upper, ["root"], "left").select("node", F.coalesce("top", "root").alias("root"))
     new = upper.select(F.col("root").alias("node"), F.col("top").alias("root")).join(roots.select("node"), "node", "left_anti")
     return stored(old.union(new), "roots")
 
 
-def linked(members: DataFrame, traits: DataFrame, alike: Callable[[Column, Column], Column], confirmed: Callable[[DataFrame], DataFrame],
-           details: DataFrame | None = None, exact: Callable[[Column, Column], Column] | None = None, rounds: int = ROUNDS) -> DataFrame:
-    """`node`, `root` of every node that has a confirmed link to another.
+def hub_rounds(members: DataFrame, traits: DataFrame, alike: Callable[[Column, Column], Column], confirmed: Callable[[DataFrame], DataFrame],
+               rounds: int) -> tuple[DataFrame, DataFrame]:
+    """The members of buckets that still hold several components after the rounds, with `root`, and all components found.
 
-    In each round, members of buckets that hold several components are compared with their bucket's hub, unless
-    they are in its component already; rounds end when one finds no link. In buckets that hold several components even then,
-    the members of different ones are compared with each other. So a bucket of copies costs one comparison each, and no
-    link is lost: two members that are never compared are in one component. `traits` has `node` and a struct `t`;
-    `alike` says from two such structs whether a comparison is worth while (for pairs it runs inside the join);
-    `confirmed` returns those of the pairs `a`, `b` that are links. With `details` (`node` and a `d`) and `exact`, which says
-    from two of those whether a pair is a link, the last comparison is made inside the join, and only links come out
-    of it: near misses of each other, of which a bucket may hold many, are not written out as pairs."""
+    In each round, members of buckets that hold several components are compared with their bucket's hub, unless they are
+    in its component already; rounds end when one finds no link. So a bucket of copies costs one comparison each."""
     side = lambda name, t: traits.select(F.col("node").alias(name), F.col("t").alias(t))
     roots = None
     for turn in range(rounds):
-        members = _open(members, roots, turn)
+        members = open_members(members, roots, turn)
         stars = members.where("root <> hub_root").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-        tried = stars.join(side("a", "l"), "a").join(side("b", "r"), "b").where(alike(F.col("l"), F.col("r"))).select("a", "b")
+        tried = split_join(split_join(stars, side("a", "l"), ["a"]), side("b", "r"), ["b"]).where(alike(F.col("l"), F.col("r"))).select("a", "b")
         links = stored(confirmed(stored(tried, "pairs")), "links")
         found = links.limit(1).count()
         if found or roots is None:
-            roots = _merged(roots, links)
+            roots = merged(roots, links)
         if not found:
             break
+    return open_members(members, roots, rounds), roots
 
-    rest = _open(members, roots, rounds).join(traits, "node")
-    if details is not None:
-        rest = rest.join(details, "node")
-    rest = stored(rest.select("bucket", "node", "root", "t", *([] if details is None else ["d"])), "rest")
-    names = lambda x: {"node": x, "root": f"root_{x}", "t": f"t_{x}", "d": f"d_{x}"}
+
+def linked(members: DataFrame, traits: DataFrame, alike: Callable[[Column, Column], Column], confirmed: Callable[[DataFrame], DataFrame],
+           rounds: int = ROUNDS) -> DataFrame:
+    """`node`, `root` of every node that has a confirmed link to another.
+
+    After the hub rounds, in buckets that still hold several components, the members of different ones are compared with
+    each other. No link is lost: two members that are never compared are in one component. `traits` has `node` and a struct
+    `t`; `alike` says from two such structs whether a comparison is worth while (for pairs it runs inside the join);
+    `confirmed` returns those of the pairs `a`, `b` that are links."""
+    rest, roots = hub_rounds(members, traits, alike, confirmed, rounds)
+    rest = stored(rest.join(traits, "node").select("bucket", "node", "root", "t"), "rest")
+    names = lambda x: {"node": x, "root": f"root_{x}", "t": f"t_{x}"}
     left, right = rest.withColumnsRenamed(names("a")), rest.withColumnsRenamed(names("b"))
     same = ((left.bucket == right.bucket) & (F.col("a") > F.col("b")) & (F.col("root_a") != F.col("root_b"))
             & alike(F.col("t_a"), F.col("t_b")))
-    if details is None:
-        links = confirmed(stored(left.join(right, same).select("a", "b").distinct(), "pairs"))
-    else:
-        links = left.join(right, same & exact(F.col("d_a"), F.col("d_b"))).select("a", "b").distinct()
-    return _merged(roots, stored(links, "links"))
+    links = confirmed(stored(left.join(right, same).select("a", "b").distinct(), "pairs"))
+    return merged(roots, stored(links, "links"))

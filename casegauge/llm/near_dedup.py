@@ -3,9 +3,12 @@
 Each text's set of word shingles gets the minima of many universal hash functions. Texts with equal sets are
 one class. Bands of minima name buckets; classes that share a bucket are candidates. The candidates of a
 bucket are not paired with each other: in a few rounds each is compared with a hub of the bucket, which joins
-large groups of near copies with few comparisons each; only in buckets that then still hold several
-components are members of different components compared. A comparison first looks at one bit of each
-minimum, then counts the full sets. Components come from alternating large-star and small-star steps.
+large groups of near copies with few comparisons each. Such a comparison first looks at one bit of each minimum, then
+counts the full sets. Buckets that then still hold several components are compared block by block on the full sets
+(`set_blocks`). Components come from alternating large-star and small-star steps.
+
+Full sets are made once, for the classes that share a bucket: a bit field of bounded size, broadcast, tells most of their
+texts from the others where these lie, so that the other texts are not shuffled.
 
 The bands find a pair of similarity 0.75 with a probability of 1 - 1.3e-6, more similar ones almost surely,
 and the bits drop such a pair with 2e-8; a link is only ever confirmed on full sets.
@@ -20,13 +23,17 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from casegauge.llm.buckets import linked, shared_buckets
+from casegauge.llm.buckets import hub_rounds, merged, shared_buckets
 from casegauge.llm.common import Spans, WordHashes, as_signed, mixed, packed, stored, text_bytes, texts_of, unpacked, with_columns
+from casegauge.llm.set_blocks import block_links
+from casegauge.operators.spread import split_join
 
 SHINGLE = 5
 ROWS, BANDS = 5, 50
 BITS = 4  # longs that hold one bit of each minimum
 PERCENT = 75
+ROUNDS_OF_HUBS = 3
+FIELD = 1 << 24  # bits, a power of two: 2 MB
 
 
 def shingles(text: bytes, cache: WordHashes, size: int = SHINGLE) -> np.ndarray:
@@ -85,16 +92,31 @@ def _signatures(size: int) -> Callable:
     return run
 
 
-def _sets(size: int) -> Callable:
-    """The full sets of the texts."""
+def _sets(size: int, field) -> Callable:
+    """The full sets of the texts whose content is in the field."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHashes()
+        cache, words = WordHashes(), np.frombuffer(field.value, np.uint64)
         for batch in batches:
+            content = np.asarray(batch.column("content").to_numpy(zero_copy_only=False)).view(np.uint64)
+            at = content & np.uint64(FIELD - 1)
+            held = (words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)
+            batch = batch.filter(pa.array(held.astype(bool)))
             sets = [as_signed(shingles(t, cache, size)) for t in texts_of(batch, "text")]
             yield with_columns(batch, ["text"], d=pa.array(sets, pa.list_(pa.int64())))
     return run
 
 
+def content_field(wanted: DataFrame) -> bytes:
+    """A bit for every value of `content` (modulo FIELD): FIELD / 8 bytes, however many there are."""
+    at = F.col("content").bitwiseAND(F.lit(FIELD - 1))
+    rows = wanted.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(at & 63L as int))")).alias("bits"))
+    out = np.zeros(FIELD // 64, np.int64)
+    table = rows.toArrow()  # at most FIELD / 64 rows
+    out[table.column("word").to_numpy()] = table.column("bits").to_numpy()
+    return out.tobytes()
+
+
 def _similar(percent: int) -> Callable[[Column, Column], Column]:
     """Two full sets are similar enough."""
     def check(l: Column, r: Column) -> Column:
@@ -142,24 +164,26 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    .withColumn("node", F.monotonically_increasing_id()), "classes")
 
     members = shared_buckets(nodes.select("node", F.explode("buckets").alias("bucket")))
+    at = stored(split_join(nodes, members.groupBy("node").agg(F.count(F.lit(1)).alias("held")), ["node"])
+                .select("node", F.col("first.id").alias("id"), F.col("first.content").alias("content")), "wanted")
+    field = docs.sparkSession.sparkContext.broadcast(content_field(at))
     sources = docs.select(docs[id_col].alias("id"), F.xxhash64(text).alias("content"), text.alias("text"))
-
-    at = (members.select("node").distinct().join(nodes, "node")
-          .select("node", F.col("first.id").alias("id"), F.col("first.content").alias("content")))
-    texts = (at.alias("w").join(sources.alias("s"), (F.col("w.content") == F.col("s.content")) & F.col("w.id").eqNullSafe(F.col("s.id")))
-             .groupBy("node").agg(F.first("text").alias("text")))
-    sets = stored(texts.mapInArrow(_sets(size), "node long, d array<long>"), "sets")
+    fields = sources.select("id", "content", F.array(F.lit(0).cast("long")).alias("d")).schema
+    made = sources.mapInArrow(_sets(size, field), fields)
+    texts = at.alias("w").join(made.alias("s"), (F.col("w.content") == F.col("s.content")) & F.col("w.id").eqNullSafe(F.col("s.id")))
+    sets = stored(texts.groupBy("node").agg(F.first("d").alias("d")), "sets")
     similar = _similar(percent)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """Links among candidate pairs whose sizes and bits have passed: their full sets are compared."""
         side = lambda one: sets.select(F.col("node").alias(one), F.col("d").alias("d_" + one))
-        return pairs.join(side("a"), "a").join(side("b"), "b").where(similar(F.col("d_a"), F.col("d_b"))).select("a", "b")
+        return split_join(split_join(pairs, side("a"), ["a"]), side("b"), ["b"]).where(similar(F.col("d_a"), F.col("d_b"))).select("a", "b")
 
-    roots = linked(members, nodes.select("node", F.struct("n", "bits").alias("t")), _alike(percent), confirmed, sets, similar)
+    rest, roots = hub_rounds(members, nodes.select("node", F.struct("n", "bits").alias("t")), _alike(percent), confirmed, ROUNDS_OF_HUBS)
+    roots = merged(roots, stored(block_links(rest, sets, percent), "links"))
     classes = nodes.select("node", "key", "first").join(roots, "node", "left").select("key", "first", F.coalesce("root", "node").alias("top"))
     heads = classes.groupBy("top").agg(F.min("first").alias("head"))
-    named = classes.join(heads, "top").select("key", F.col("head.id").alias("low"), F.col("head.at").alias("head_at"))
+    named = split_join(classes, heads, ["top"]).select("key", F.col("head.id").alias("low"), F.col("head.at").alias("head_at"))
     out = signed.select("row", "id", "at", "n", "key").join(named, "key", "left")
     alone = F.col("n") == 0
     return unpacked(out, carry, docs.columns, n_shingles=F.col("n"), component_id=F.when(alone, F.col("id")).otherwise(F.col("low")),
