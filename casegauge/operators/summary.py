@@ -122,7 +122,8 @@ def _metric_aggs(m: Metric) -> list[Column]:
             F.count_if(d > 0).cast("long").alias(f"{m.name}d_freq")]
 
 
-def _metric_columns(m: Metric, cycles: bool) -> list[Column]:
+def metric_columns(m: Metric, cycles: bool) -> list[Column]:
+    """A metric's columns from its aggregates."""
     cols = [F.col(f"_{m.name}_p")[i].cast("int").alias(f"{m.name}_{label}") for i, label in enumerate(m.probs)]
     cols += [F.col(f"{m.name}d_{x}") for x in ("area", "max", "freq")]
     area, n, tar = F.col(f"{m.name}d_area").cast("double"), F.col("n_count"), F.col(f"_{m.name}_tar")
@@ -155,7 +156,7 @@ def case_summary(df: DataFrame, metrics: Sequence[Metric] = STANDARD, keys: Sequ
         if cycles:
             aggs += [cycle_strength(m.value, b).alias(f"_{m.name}_c{b}") for b in (WEEKLY_BIN, DAILY_BIN)]
     wide = df.groupBy(*keys).agg(*aggs)
-    cols = [c for m in metrics for c in _metric_columns(m, cycles)]
+    cols = [c for m in metrics for c in metric_columns(m, cycles)]
     targets = {m.target_name: F.col(f"_{m.name}_tar").alias(m.target_name) for m in metrics}
     if cycles or ping:
         zp = F.round(F.try_divide(F.col("zero_ping_count").cast("double"), F.col("n_count").cast("double")) * 100.0, 2)
@@ -175,19 +176,6 @@ def load_stats(df: DataFrame, keys: Sequence[str] = CASE, load="total_bps", ping
     return null_safe_join(rest, peak, keys, "left").select(*keys, F.round("_p", 4).alias("peak95_kbps"), "ping_mbps", "p2t_bps_pct_min")
 
 
-def rolling_summary(df: DataFrame, ts: str, days: int, metrics: Sequence[Metric], step_days: int = 1,
-                    keys: Sequence[str] = CASE) -> DataFrame:
-    """The summary of every `days`-day window, one window per `step_days`.
-
-    A sample falls into days/step windows; the copies are made before the shuffle but only narrow
-    metric columns travel. Windows are half-open: [end - days, end)."""
-    step, width = step_days * DAY, days * DAY
-    first = F.floor(F.col(ts) / step) * step + step
-    ends = F.sequence(first, first + (width - step), F.lit(step).cast("long"))
-    spread = df.withColumn("window_end", F.explode(ends))
-    return case_summary(spread, metrics, [*keys, "window_end"])
-
-
 def average_load(df: DataFrame, keys: Sequence[str] = CASE, load="total_bps", scale=8.0) -> DataFrame:
     """scale * sum / count per case, rounded to 3 places."""
     mean = F.try_divide(F.lit(float(scale)) * F.sum(load).cast("double"), F.count(F.lit(1)).cast("double"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from casegauge import CASE
-from casegauge.operators.summary import Metric, rolling_summary
+from casegauge.operators.rolling import rolling_sink
+from casegauge.operators.summary import Metric
 from casegauge.plans.inputs_sql import REGION_OF, rounded, with_inputs
 from casegauge.plans.registry import query
 from casegauge.plans.summaries import metric_sql
@@ -69,9 +70,8 @@ DEMAND = Metric("dem", "nsd_demand", "target", "target")
     (select *, 100 target, unnest(range(cast(floor(epoch(ts)) as bigint)//86400*86400 + 86400, cast(floor(epoch(ts)) as bigint)//86400*86400 + 3*86400 + 1, 86400)) window_end
      from ({SAMPLES})) group by 1, 2, 3, 4"""))
 def _(x):
-    """Three-day percentiles of every day, recomputed for the windows a batch touches."""
-    store, out = scratch_dir(x.spark, "store"), scratch_dir(x.spark, "rolling")
+    """Three-day percentiles of every day, made from the day states that a batch can touch."""
+    states, out = scratch_dir(x.spark, "states"), scratch_dir(x.spark, "rolling")
     rows = samples(x, streamed_events(x)).select(*CASE, F.unix_timestamp("ts").alias("sec"), "nsd_demand", F.lit(100).alias("target"))
-    compute = lambda df: rolling_summary(df, "sec", 3, [DEMAND])
-    ST.run_batches(rows, scratch_dir(x.spark, "rolling-state"), ST.store_then_recompute(store, "sec", compute, out, "window_end", 3 * 86400, 86400))
+    ST.run_batches(rows, scratch_dir(x.spark, "rolling-state"), rolling_sink(states, "sec", 3, [DEMAND], out))
     return x.spark.read.parquet(out).withColumn("window_end", F.col("window_end").cast("long"))

@@ -11,6 +11,7 @@ from casegauge.operators.joins import baseline_join, baseline_pivot, period_comp
 from casegauge.operators.quantiles import ranked_percentiles
 from casegauge.operators.ratios import (clean_summary, deficiency_total, fresh_rows, severity, target_profile,
                                         violation_share)
+from casegauge.operators.rolling import rolling_summary
 from casegauge.plans.inputs import ALL_END, ALL_START, Inputs
 from casegauge.plans.inputs_sql import percentile, rounded, with_inputs
 from casegauge.plans.registry import query
@@ -130,17 +131,17 @@ def rolling_sql(days, step=1):
 
 @query("summary_1d", rolling_sql(1))
 def _(x):
-    return S.rolling_summary(x.case_sample(), "ts", 1, NARROW)
+    return rolling_summary(x.case_sample(), "ts", 1, NARROW)
 
 
 @query("summary_3d", rolling_sql(3))
 def _(x):
-    return S.rolling_summary(x.case_sample(), "ts", 3, NARROW)
+    return rolling_summary(x.case_sample(), "ts", 3, NARROW)
 
 
 @query("summary_14d", rolling_sql(14, 7))
 def _(x):
-    return S.rolling_summary(x.case_sample(), "ts", 14, NARROW, step_days=7)
+    return rolling_summary(x.case_sample(), "ts", 14, NARROW, step_days=7)
 
 
 @query("summary_at_period", with_inputs("case_sample", summary_sql(S.STANDARD), {

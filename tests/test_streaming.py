@@ -5,7 +5,8 @@ import random
 from pyspark.sql import functions as F
 from pyspark.testing import assertDataFrameEqual
 
-from casegauge.operators.summary import Metric, rolling_summary
+from casegauge.operators.rolling import rolling_sink, rolling_summary, step_states, summary_of_states
+from casegauge.operators.summary import Metric, case_summary
 from casegauge.streaming import samples as ST
 
 SCHEMA = "id long, sec long, maprule int, geoname string, netname string, region long, score double, nsd_demand int, ra_load long"
@@ -124,22 +125,102 @@ def test_partitioned_sink_keeps_the_rows_of_all_batches(spark, tmp_path):
     assert sorted(r.id for r in ST.batch_rows(spark, out, "id long, day string").collect()) == list(range(400))
 
 
+D = 86400
+DEMAND = Metric("dem", "nsd_demand", "target", "target")
+
+
+def plain_rolling(df, days, metrics):
+    """Every sample copied to each of its windows."""
+    first = F.floor(F.col("sec") / D) * D + D
+    spread = df.withColumn("window_end", F.explode(F.sequence(first, first + (days - 1) * D, F.lit(D).cast("long"))))
+    return case_summary(spread, metrics, ["maprule", "geoname", "netname", "window_end"])
+
+
+def rolling_rows(spark, n=400):
+    items = [(i, (i * 7919) % (12 * D), i % 50) for i in range(n)]
+    return rows(spark, items).withColumns({"target": F.lit(10), "floor": F.lit(30)})
+
+
+def test_states_give_the_summary_of_samples(spark):
+    low = Metric("low", "nsd_demand", "floor", "floor", low_is_bad=True, target_agg="max")
+    df = rolling_rows(spark).unionByName(rolling_rows(spark, 9).withColumns({"nsd_demand": F.lit(None).cast("int"), "id": F.col("id") + 1000}))
+    got = rolling_summary(df, "sec", 3, [DEMAND, low])
+    want = plain_rolling(df, 3, [DEMAND, low])
+    assertDataFrameEqual(got.select(want.columns), want)
+    states = step_states(df, "sec", [DEMAND, low])
+    halves = states.withColumn("n", F.col("n") * 2).unionByName(states.withColumn("n", -F.col("n")))  # two parts that add up
+    assertDataFrameEqual(summary_of_states(halves.groupBy(*[c for c in states.columns if c != "n"]).agg(F.sum("n").alias("n")), 3, [DEMAND, low]).select(want.columns), want)
+    assert rolling_summary(df.limit(0), "sec", 3, [DEMAND]).count() == 0
+
+
+def test_samples_are_not_copied_to_windows(spark):
+    """The copies to windows are made above the last count of a day's values."""
+    lines = rolling_summary(rolling_rows(spark), "sec", 14, [DEMAND])._jdf.queryExecution().executedPlan().toString().splitlines()
+    generate = next(i for i, line in enumerate(lines) if "Generate explode" in line)
+    assert sum("HashAggregate" in line and "_step" in line for line in lines[generate:]) >= 3
+    assert not any("Generate" in line for line in lines[generate + 1:])
+
+
 def test_rolling_summary_of_a_stream_equals_the_batch(spark, tmp_path):
-    m = Metric("dem", "nsd_demand", "target", "target")
-    D = 86400
-    items = [(i, (i * 7919) % (12 * D), i % 50) for i in range(400)]
-    compute = lambda df: rolling_summary(df, "sec", 3, [m])
-    store, out = str(tmp_path / "store"), str(tmp_path / "out")
-    each = ST.store_then_recompute(store, "sec", compute, out, "window_end", 3 * D, D)
-    full = rows(spark, items).withColumn("target", F.lit(10)).select("maprule", "geoname", "netname", "sec", "nsd_demand", "target", "id")
+    states, out = str(tmp_path / "states"), str(tmp_path / "out")
+    each = rolling_sink(states, "sec", 3, [DEMAND], out)
+    full = rolling_rows(spark).select("maprule", "geoname", "netname", "sec", "nsd_demand", "target", "id")
     for b in range(4):
         for _ in range(2 if b == 1 else 1):  # batch 1 is delivered twice
             each(full.where(F.col("id") % 4 == b).drop("id"), b)
     got = spark.read.parquet(out).withColumn("window_end", F.col("window_end").cast("long"))
+    want = plain_rolling(full, 3, [DEMAND])
+    assertDataFrameEqual(got.select(want.columns), want)
+    assert spark.read.parquet(states).agg(F.sum("n")).first()[0] == 400
+    assert "sec" not in spark.read.parquet(states).columns  # no samples are kept
+
+
+def test_store_then_recompute_equals_the_batch(spark, tmp_path):
+    compute = lambda df: plain_rolling(df, 3, [DEMAND])
+    store, out = str(tmp_path / "store"), str(tmp_path / "out")
+    each = ST.store_then_recompute(store, "sec", compute, out, "window_end", 3 * D, D)
+    full = rolling_rows(spark).select("maprule", "geoname", "netname", "sec", "nsd_demand", "target", "id")
+    for b in range(3):
+        each(full.where(F.col("id") % 3 == b).drop("id"), b)
+    got = spark.read.parquet(out).withColumn("window_end", F.col("window_end").cast("long"))
     want = compute(full)
     assertDataFrameEqual(got.select(want.columns), want)
 
 
+def test_a_batch_is_compared_with_its_own_days_only(spark, tmp_path):
+    out = str(tmp_path / "out")
+    sink = ST.keep_first(out, "ts", ["id"])
+    for day in range(5):
+        sink(timed(rows(spark, [(100 * day + i, day * D + i, 1) for i in range(10)])), day)
+    late = timed(rows(spark, [(203, 2 * D + 3, 1), (299, 2 * D + 99, 1)]))
+    days = [r[0] for r in late.select(F.date_format("ts", "yyyyMMdd")).distinct().collect()]
+    known = ST.known_ids(spark, out, late, ["id"], days, 5)
+    scan = next(line for line in known._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line)
+    assert "PartitionFilters: [" in scan and days[0] in scan.split("PartitionFilters")[1]
+    assert len(known.select("id").collect()) == 10 and known.rdd.getNumPartitions() >= 1
+    assert known.select(F.input_file_name()).distinct().count() == known.select("_day").distinct().count() == 1
+    sink(late, 5)
+    assert sorted(r.id for r in ST.batch_rows(spark, out, "id long").collect() if 200 <= r.id < 300) == [*range(200, 210), 299]
+
+
+def test_a_late_batch_reads_the_parts_of_its_hours_only(spark, tmp_path):
+    store, out, ledger = (str(tmp_path / x) for x in ("store", "out", "ledger"))
+    sink = ST.rebuild_hours(store, out, ledger, "ts")
+    for b in range(4):
+        sink(timed(rows(spark, [(1000 * b + i, b * D + i * 600, 1) for i in range(144)])), b)
+    before = {str(f): f.stat().st_mtime_ns for f in (tmp_path / "out").rglob("*.parquet")}
+    sink(timed(rows(spark, [(9001, D + 3 * H + 5, 7), (9002, D + 3 * H + 6, 7)])), 4)
+    schema = spark.read.parquet(store).drop("_day", "_batch").schema.toDDL() + ", _day long, _batch int"
+    touched = ST.touched_parts(spark, store, schema, 4)
+    scan = next(line for line in touched._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line)
+    assert str(D) in scan.split("PartitionFilters")[1] and str(D + 3 * H) in scan.split("PushedFilters")[1]
+    assert {r["_hour"] for r in touched.collect()} == {D + 3 * H} and touched.count() == 2  # one part of batch 1, one of batch 4
+    after = {str(f): f.stat().st_mtime_ns for f in (tmp_path / "out").rglob("*.parquet")}
+    assert len(set(after) - set(before)) == 1 and len(set(before) - set(after)) == 1  # one hour was replaced
+    hour = [r for r in spark.read.parquet(out).collect() if r["_hour"] == D + 3 * H]
+    assert [(r.samples, r.nsd_demand, r.avg_score) for r in hour] == [(8, 20, 2.0)]
+
+
 def test_hourly_stream_equals_batch(spark, tmp_path):
     src, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
     items = [(i, i * 97, i % 9) for i in range(1000)]
