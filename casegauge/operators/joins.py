@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from casegauge import CASE
 from casegauge.functions.geo import grid_cell, grid_edge, haversine_miles, neighbour_cells
 from casegauge.functions.metrics import as_col, excess_over, shortfall
+from casegauge.operators.quantiles import null_safe_join
 from casegauge.operators.spread import split_join, with_totals
+from casegauge.sources.tables import stored
 
 GLOBAL, ANY = "GLOBAL", "ANY"
 
@@ -125,32 +127,38 @@ def baseline_pivot(df: DataFrame, baselines: dict[str, int], values: dict[str, s
 
 
 def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,
-              values: Sequence[str], slice_width: int, strict: bool = True) -> DataFrame:
+              values: Sequence[str], strict: bool = True) -> DataFrame:
     """For each left row the newest right row of the same key before (or at) its timestamp.
 
-    Time is cut into slices. A left row looks at the right rows of its own slice (a window over
-    (key, slice)) and, failing that, at the newest right row of an earlier slice, carried forward
-    over one row per (key, slice). A hot key is thus spread over its slices."""
+    Asked times (distinct per key) and right rows are sorted together into slices by key and time, whose borders are sampled
+    from the data: a hot key, or a crowded hour of it, gets as many slices as its rows ask for. An asked time finds its row
+    in its own slice or, failing that, is given the newest one of the key's slices before, carried forward over one row
+    per key and slice. The answers then meet the left rows, of which many may share one key and time, without gathering them.
+
+    Null is a key like others. A left row without a time has no match, a right row without one is never found. Of right rows
+    with the same key and time the largest values count."""
     keys = list(keys)
-    packed = F.struct(F.col(right_ts).alias("_t"), *[F.col(v) for v in values])
-    r = right.select(*keys, F.col(right_ts).cast("long").alias("_at"), packed.alias("_row"))
-    l = left.withColumn("_at", F.col(left_ts).cast("long"))
-    cut = lambda c: F.floor(c / slice_width).cast("long")
-
-    per_slice = r.groupBy(*keys, cut(F.col("_at")).alias("_slice")).agg(F.max_by("_row", "_at").alias("_last"))
-    slices = (per_slice.unionByName(l.select(*keys, cut(F.col("_at")).alias("_slice")).distinct(), allowMissingColumns=True)
-              .groupBy(*keys, "_slice").agg(F.max("_last").alias("_last")))
+    row = F.struct(F.col(right_ts).alias("_t"), *[F.col(v) for v in values])
+    known = (right.where(F.col(right_ts).isNotNull()).select(*keys, F.col(right_ts).alias("_at"), row.alias("_row"))
+             .groupBy(*keys, "_at").agg(F.max("_row").alias("_row")))
+    asked = left.where(F.col(left_ts).isNotNull()).select(*keys, F.col(left_ts).alias("_at")).distinct()
+    # Right rows sort before asked times of the same instant unless the match must be strictly older.
+    sided = known.withColumn("_side", F.lit(1 if strict else -1)).unionByName(asked.withColumn("_side", F.lit(0)), allowMissingColumns=True)
+    ordered = sided.repartitionByRange(*keys, "_at", "_side").withColumn("_slice", F.spark_partition_id())
+    ordered = stored(ordered, "slices")  # rows keep their slice, whatever is computed anew
+
+    found = F.col("_row").isNotNull()
+    last = ordered.where(found).groupBy(*keys, "_slice").agg(F.max_by("_row", "_at").alias("_last"))
+    slices = ordered.groupBy(*keys, "_slice").agg(F.count_if(~found).alias("_asked"))
+    slices = null_safe_join(slices, last, [*keys, "_slice"], "left")
     earlier = W.partitionBy(*keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    carried = slices.select(*keys, "_slice", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
+    carried = slices.withColumn("_carried", F.last("_last", ignorenulls=True).over(earlier)).where(F.col("_asked") > 0)
 
-    # Right rows sort before left rows of the same time unless the match must be strictly older.
-    side = F.lit(1 if strict else -1)
-    both = (l.withColumn("_side", F.lit(0)).unionByName(r.withColumn("_side", side), allowMissingColumns=True)
-            .withColumn("_slice", cut(F.col("_at"))).repartition(*keys, "_slice"))
     upto = W.partitionBy(*keys, "_slice").orderBy("_at", "_side").rowsBetween(W.unboundedPreceding, 0)
-    seen = both.withColumn("_seen", F.last("_row", ignorenulls=True).over(upto)).where(F.col("_side") == 0)
-    hit = F.coalesce(F.col("_seen"), F.col("_carried"))
-    out = seen.join(carried, [*keys, "_slice"], "left").withColumn("_hit", hit)
+    seen = ordered.withColumn("_seen", F.last("_row", ignorenulls=True).over(upto)).where(~found).select(*keys, "_slice", "_at", "_seen")
+    hits = split_join(seen, carried.select(*keys, "_slice", "_carried"), [*keys, "_slice"], "left", nulls=True)
+    hits = hits.select(*keys, F.col("_at").alias(left_ts), F.coalesce("_seen", "_carried").alias("_hit"))
+    out = split_join(left, hits, [*keys, left_ts], "left", nulls=True)
     return out.select(*left.columns, F.col("_hit._t").alias(right_ts), *[F.col(f"_hit.{v}").alias(v) for v in values])
 
 

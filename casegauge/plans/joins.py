@@ -144,7 +144,7 @@ def _(x):
 def _(x):
     e = x.table("events").select("event_id", "event_type", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("ts"), "value")
     right = e.where("value > 100").groupBy("event_type", "ts").agg(F.max("event_id").alias("prev_id")).withColumnRenamed("ts", "prev_ts")
-    return J.asof_join(e.drop("value"), right, ["event_type"], "ts", "prev_ts", ["prev_id"], 86400)
+    return J.asof_join(e.drop("value"), right, ["event_type"], "ts", "prev_ts", ["prev_id"])
 
 
 @query("distance_join", with_inputs("newest client_groups", f"""select lat, lon, groups_ as "groups", latitude rg_lat, longitude rg_lon, site_regions,

@@ -132,8 +132,8 @@ def _(x):
     """For every day the newest Sunday snapshot at or before it, and strictly before it."""
     days = event_days(x).select("d").distinct().withColumns({"day": F.unix_date("d").cast("long"), "k": F.lit(0)})
     sundays = days.where(F.dayofweek("d") == 1).select("k", F.col("day").alias("sunday"))
-    both = asof_join(days, sundays, ["k"], "day", "sunday", [], 30, strict=False).withColumnRenamed("sunday", "a")
-    both = asof_join(both, sundays, ["k"], "day", "sunday", [], 30, strict=True)
+    both = asof_join(days, sundays, ["k"], "day", "sunday", [], strict=False).withColumnRenamed("sunday", "a")
+    both = asof_join(both, sundays, ["k"], "day", "sunday", [], strict=True)
     as_date = lambda c: F.date_from_unix_date(F.col(c).cast("int"))
     return both.select("d", as_date("a").alias("at_or_before"), as_date("sunday").alias("before"))
 

@@ -106,13 +106,23 @@ def test_asof_join_equals_brute_force(spark, strict):
     right = list({(key(), rng.randrange(2000)): None for _ in range(120)})
     l = spark.createDataFrame(left, "id int, k string, t int")
     r = spark.createDataFrame([(k, t, f"{k}@{t}") for k, t in right], "k string, rt int, v string")
-    got = {x.id: (x.rt, x.v) for x in J.asof_join(l, r, ["k"], "t", "rt", ["v"], 97, strict).collect()}
+    got = {x.id: (x.rt, x.v) for x in J.asof_join(l, r, ["k"], "t", "rt", ["v"], strict).collect()}
     for i, k, t in left:
         best = max((rt for rk, rt in right if rk == k and (rt < t if strict else rt <= t)), default=None)
         assert got[i] == ((best, f"{k}@{best}") if best is not None else (None, None))
     assert len(got) == len(left)
 
 
+def test_asof_join_of_nulls_and_ties(spark):
+    l = spark.createDataFrame([(1, "a", 5), (2, "a", 5), (3, None, 5), (4, "a", None), (5, "b", 9)], "id int, k string, t int")
+    r = spark.createDataFrame([("a", 3, "x"), ("a", 3, "y"), ("a", None, "z"), (None, 4, "n"), ("b", 9, "same")], "k string, rt int, v string")
+    got = {x.id: (x.rt, x.v) for x in J.asof_join(l, r, ["k"], "t", "rt", ["v"]).collect()}
+    assert got == {1: (3, "y"), 2: (3, "y"), 3: (4, "n"), 4: (None, None), 5: (None, None)}
+    assert {x.id: x.v for x in J.asof_join(l, r, ["k"], "t", "rt", ["v"], strict=False).collect()}[5] == "same"
+    assert J.asof_join(l, r.limit(0), ["k"], "t", "rt", ["v"]).where("rt is null").count() == 5
+    assert J.asof_join(l.limit(0), r, ["k"], "t", "rt", ["v"]).count() == 0
+
+
 def test_share_of_total(spark):
     df = skewed(spark).groupBy("k", "id").agg(F.count("*").alias("n"))
     got = J.share_of_total(df, ["k"], "n", "share", "total")

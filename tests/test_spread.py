@@ -104,3 +104,25 @@ def test_nulls_names_and_kinds(spark):
     assertDataFrameEqual(with_totals(rows, ["x"], n=F.count("*")).select("v", "n"),
                          spark.createDataFrame([("a", 2), ("b", 2), ("c", 1), ("d", 1)], "v string, n long"))
     assert with_totals(rows.limit(0), ["x"], n=F.count("*")).count() == 0
+
+
+def test_one_key_and_day_of_an_asof_join_is_cut(skew, monkeypatch):
+    """A third of the asked times and of the right rows lies in one key and one day; half of it at one instant."""
+    n = 300_000
+    i = F.col("id")
+    time = F.when(i % 3 == 0, F.when(i % 2 == 0, F.lit(1000.5)).otherwise(F.pmod(F.xxhash64("id"), F.lit(86_400_000)) / 1000)).otherwise(F.pmod(F.xxhash64("id"), F.lit(10 ** 10)) / 1000)
+    left = skew.range(0, n, 1, PARTS).select(F.when(i % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (i % 50).cast("string"))).alias("k"), time.alias("t"), i)
+    right = left.where(i % 2 == 1).select("k", F.col("t").alias("rt"), F.col("id").alias("v"))
+    fullest = []
+
+    def watched(df, label, store=J.stored):
+        out = store(df, label)
+        fullest.append(out.groupBy("k", "_slice").count().agg(F.max("count")).first()[0])
+        return out
+
+    monkeypatch.setattr(J, "stored", watched)
+    out = J.asof_join(left, right, ["k"], "t", "rt", ["v"])
+    most, total = largest_task(out.fillna({"rt": 0.0, "v": 0}))
+    assert total == n and most < n / 10 and max(fullest) < n / 10
+    bad = out.where("rt >= t").count()
+    assert bad == 0 and out.where("k = 'hot' and rt is null").count() <= 2
