@@ -2,9 +2,9 @@
 
 What is left after the hub rounds are groups whose members resemble each other without being similar enough. Every pair of
 components there must be refuted, so pairs are neither written out nor given to a join. Members are laid into blocks of
-bounded size instead, each member into one: first by their most frequent bucket, then by component, large components and
-large buckets cut by a hash. Two blocks meet once, if a bucket holds members of both and not all of these are one component;
-a task then counts the common items of all their members at once and puts out links only.
+bounded size instead, each member into one: first by a home, the most frequent bucket near it, then by component, large
+components and large homes cut by a hash. Two blocks meet once, if a bucket holds members of both and not all of these are
+one component; a task then counts the common items of all their members at once and puts out links only.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from casegauge.llm.common import stored, workers_find_package
@@ -24,7 +25,10 @@ BLOCK = 1 << 16  # items of a block, on the average at most; a longer set is a b
 def _placed(rest: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
     """`node`, `root`, `block` of every node. Blocks are made from totals alone: no bucket or component is gathered."""
     popular = with_totals(rest.select("bucket", "node", "root"), ["bucket"], held=F.count(F.lit(1)))
-    nodes = popular.groupBy("node", "root").agg(F.max(F.struct("held", "bucket")).getField("bucket").alias("home"))
+    nodes = popular.groupBy("node", "root").agg(F.max(F.struct("held", "bucket")).alias("best"))
+    # Once along the buckets: members of a group whose own favourite is another bucket come home to the group's largest.
+    around = split_join(rest.select("bucket", "node"), nodes.select("node", "best"), ["node"]).groupBy("bucket").agg(F.max("best").alias("best"))
+    nodes = split_join(rest.select("bucket", "node", "root"), around, ["bucket"]).groupBy("node", "root").agg(F.max("best").getField("bucket").alias("home"))
     nodes = split_join(nodes, sizes, ["node"])
     own = with_totals(nodes, ["home", "root"], items=F.sum("n"))
     large = F.col("items") > block
@@ -66,17 +70,17 @@ def common_items(left: Sequence[np.ndarray], right: Sequence[np.ndarray]) -> np.
 
 def _compared(percent: int) -> Callable[[pa.Table], pa.Table]:
     """The links between the members of two blocks (or within one)."""
-    def sets_of(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-        d = rows.column("d").combine_chunks()
+    def members(rows: pa.Table, block: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        held = rows.filter(pc.equal(rows.column("block"), block)).column("members").combine_chunks().flatten()
+        d = held.field("d")
         offsets, flat = d.offsets.to_numpy(), d.values.to_numpy(zero_copy_only=False)
         sets = [np.sort(flat[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
-        return rows.column("node").to_numpy(), rows.column("root").to_numpy(), sets
+        return held.field("node").to_numpy(), held.field("root").to_numpy(), sets
 
     def run(rows: pa.Table) -> pa.Table:
         first, second = rows.column("p")[0].as_py(), rows.column("q")[0].as_py()
-        block = rows.column("block").to_numpy()
-        a, root_a, left = sets_of(rows.filter(pa.array(block == first)))
-        b, root_b, right = (a, root_a, left) if first == second else sets_of(rows.filter(pa.array(block == second)))
+        a, root_a, left = members(rows, first)
+        b, root_b, right = (a, root_a, left) if first == second else members(rows, second)
         both = common_items(left, right)
         size_a, size_b = np.array([len(s) for s in left], np.int64), np.array([len(s) for s in right], np.int64)
         similar = 100 * both >= percent * (size_a[:, None] + size_b[None, :] - both)
@@ -90,12 +94,12 @@ def block_links(rest: DataFrame, sets: DataFrame, percent: int, block: int | Non
     """The links `a` > `b` between nodes of different components that share a bucket.
 
     `rest` has `bucket`, `node`, `root`, `sets` has `node` and `d`, its distinct items. Two nodes of blocks that meet are
-    compared whether they share a bucket or not: a link more is a link. A task holds two blocks."""
+    compared whether they share a bucket or not: a link more is a link. A block is one row, whose size is bounded by `block`
+    items or one set; a task holds two blocks."""
     workers_find_package(rest.sparkSession)
     rest = rest.select("bucket", "node", "root")
     placed = stored(_placed(rest, sets.select("node", F.size("d").cast("long").alias("n")), block or BLOCK), "blocks")
     meetings = stored(_meetings(rest, placed), "meetings")
-    members = split_join(placed, sets, ["node"])
+    full = split_join(placed, sets, ["node"]).groupBy("block").agg(F.collect_list(F.struct("node", "root", "d")).alias("members"))
     needed = meetings.select("p", "q", F.explode(F.array_distinct(F.array("p", "q"))).alias("block"))
-    rows = needed.join(members, "block").select("p", "q", "block", "node", "root", "d")
-    return rows.groupBy("p", "q").applyInArrow(_compared(percent), "a long, b long").distinct()
+    return split_join(needed, full, ["block"]).groupBy("p", "q").applyInArrow(_compared(percent), "a long, b long").distinct()
