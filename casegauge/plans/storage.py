@@ -10,7 +10,7 @@ from casegauge.operators.joins import asof_join
 from casegauge.plans.inputs_sql import with_inputs
 from casegauge.plans.registry import query
 from casegauge.session import scratch_dir
-from casegauge.sources import snapshots as P, tables as T
+from casegauge.sources import partitions as PT, snapshots as P, tables as T
 
 DAYS = "select distinct event_type, cast(ts as date) d from events"
 EVENT_SEC = "cast(floor(epoch(ts)) as bigint)"
@@ -149,6 +149,57 @@ def _(x):
     return P.retain(x.table("events").select("event_id", t.alias("t")), "t", 1706486400, 15 * 86400)
 
 
+def days_table(x, label, rows):
+    """The loads in a table with a folder for each day, as epoch seconds."""
+    path = scratch_dir(x.spark, label)
+    second = F.unix_timestamp(F.to_timestamp("datestamp", "yyyyMMdd"))
+    T.overwrite_partition(rows.withColumn("ts", second).drop("datestamp"), path, ["ts"])
+    return path
+
+
+DAY_ROWS = "maprule int, geoname string, netname string, region bigint, ra_load bigint, ts bigint"
+BY_SECOND = {"by_day": BY_DAY, "by_second": """select maprule, geoname, netname, region, ra_load,
+    cast(epoch(strptime(datestamp, '%Y%m%d')) as bigint) ts from by_day"""}
+
+
+@query("retain_partitions", with_inputs("region_sample", "select * from by_second where ts >= 1706486400 - 15*86400", BY_SECOND))
+def _(x):
+    """Folders older than 15 days are dropped by their names."""
+    path = days_table(x, "retained", loads_by_day(x))
+    PT.retain_partitions(x.spark, path, "ts bigint", "ts", 1706486400, 15 * 86400)
+    return x.spark.read.schema(DAY_ROWS).parquet(path)
+
+
+@query("newest_folder", with_inputs("region_sample", "select * from by_second where ts = (select max(ts) from by_second where ts < 1706140800)", BY_SECOND))
+def _(x):
+    """The newest day before 2024-01-25, found among folder names."""
+    path = days_table(x, "newest", loads_by_day(x))
+    return PT.read_latest(x.spark, path, DAY_ROWS, "ts bigint", "ts", upto=1706140800, strict=True)
+
+
+@query("append_once", with_inputs("region_sample", "select * from by_second union all select * from by_second where ts >= 1705708800", BY_SECOND))
+def _(x):
+    """Two batches, both delivered twice, the second one a part of the first."""
+    path, second = scratch_dir(x.spark, "once"), F.unix_timestamp(F.to_timestamp("datestamp", "yyyyMMdd"))
+    rows = loads_by_day(x).withColumn("ts", second).drop("datestamp")
+    for key, batch in (("all", rows), ("all", rows), ("late", rows.where("ts >= 1705708800")), ("late", rows)):
+        PT.append_once(batch, path, ["ts"], key)
+    return x.spark.read.schema(DAY_ROWS).parquet(path)
+
+
+@query("missing_folders", with_inputs("region_sample", """select unnest(range(min(ts), max(ts) + 1, 86400)) ts from by_second
+    except select distinct ts from by_second where ts % 259200 <> 0""", BY_SECOND))
+def _(x):
+    """Days without a folder, after every third one is dropped."""
+    path = days_table(x, "missing", loads_by_day(x))
+    days = PT.partition_values(x.spark, path, "ts bigint").select("ts", F.lit("t").alias("k"))
+    span = days.agg(F.min("ts"), F.max("ts")).first()
+    PT.drop_partitions(x.spark, path, "ts bigint", F.col("ts") % 259200 == 0)
+    left = PT.partition_values(x.spark, path, "ts bigint").select("ts")
+    expected = x.spark.range(span[0], span[1] + 1, 86400).select(F.col("id").alias("ts"))
+    return expected.join(left, "ts", "left_anti")
+
+
 @query("missing_partitions", f"""with h as (select distinct event_type, {EVENT_SEC} // 600 * 600 slot from events),
     e as (select event_type, unnest(range(min(slot), max(slot) + 1, 600)) slot from h group by 1) select * from e except select * from h""")
 def _(x):
