@@ -13,6 +13,8 @@ from casegauge.operators.lists import list_item, list_texts
 from casegauge.operators.spread import split_join, with_totals
 from casegauge.sources.snapshots import latest_partition
 
+MIN_DEMAND = 1.0
+
 
 def duration_share(log: DataFrame, regions: DataFrame, uuid="mpd_uuid", snapshot="day") -> DataFrame:
     """Per (client group, rule, region, link): duration and duration-weighted sums.
@@ -35,21 +37,29 @@ def duration_share(log: DataFrame, regions: DataFrame, uuid="mpd_uuid", snapshot
     return sums.join(dim, "region").withColumn("prp", F.round(F.col("_prp") * F.col("mpd_dftime"), 4)).drop("_prp")
 
 
-def _client_rows(summary: DataFrame, clients: DataFrame, uuid: str) -> DataFrame:
+def selected_clients(clients: DataFrame, min_demand: float | None = MIN_DEMAND) -> DataFrame:
+    """Clients at a known place with more than a least demand."""
+    placed = clients.where(F.col("ns_lat").isNotNull() & F.col("ns_lon").isNotNull())
+    return placed if min_demand is None else placed.where(F.col("ns_demand") > min_demand)
+
+
+def _client_rows(summary: DataFrame, clients: DataFrame, uuid: str, min_demand: float | None) -> DataFrame:
+    """Assignments of the selected clients; the longest duration is that of all rows of the run."""
     rows = summary.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     longest = rows.groupBy(uuid).agg(F.max("mpd_dftime").alias("_max"))
-    joined = split_join(rows.join(clients, "mpgid"), longest, [uuid])
+    joined = split_join(rows.join(selected_clients(clients, min_demand), "mpgid"), longest, [uuid])
     return joined.withColumn("_share", F.round(F.try_divide(F.col("mpd_dftime"), F.col("_max")), 3))
 
 
-def assignment_stats(summary: DataFrame, clients: DataFrame, uuid="mpd_uuid", normalise_entropy: bool = False) -> DataFrame:
+def assignment_stats(summary: DataFrame, clients: DataFrame, uuid="mpd_uuid", normalise_entropy: bool = False,
+                     min_demand: float | None = MIN_DEMAND) -> DataFrame:
     """Per (client, rule): duration-weighted means, ratios in percent, mean distance, number of
     regions, entropy, total duration, and lists of regions by falling share.
 
     Shares are relative to the longest duration of the run, so the entropy is that of unnormalised
     shares unless `normalise_entropy`. Scalars and lists come from one aggregation: a client's lists are bounded by the
     region dimension and its links."""
-    rows = _client_rows(summary, clients, uuid)
+    rows = _client_rows(summary, clients, uuid, min_demand)
     keys = [uuid, "nsip", "mrid", "mpgid"]
     attributes = ["mpg_type", "ns_demand", "ns_asnum", "ns_country", "ns_continent", "ns_lat", "ns_lon", "mpg_load"]
     d = F.col("mpd_dftime")
@@ -90,9 +100,10 @@ def assignment_stats(summary: DataFrame, clients: DataFrame, uuid="mpd_uuid", no
     return grouped.select("*", F.size("_items").cast("long").alias("listed"), *list_texts(F.col("_items"), list(lists))).drop("_items")
 
 
-def client_entropy(summary: DataFrame, clients: DataFrame, uuid="mpd_uuid", normalise: bool = False) -> DataFrame:
+def client_entropy(summary: DataFrame, clients: DataFrame, uuid="mpd_uuid", normalise: bool = False,
+                   min_demand: float | None = MIN_DEMAND) -> DataFrame:
     """Entropy of the region shares alone."""
-    rows = _client_rows(summary, clients, uuid)
+    rows = _client_rows(summary, clients, uuid, min_demand)
     keys = [uuid, "nsip", "mrid"]
     if not normalise:
         return rows.groupBy(*keys).agg(F.round(entropy("_share"), 6).alias("mapping_entropy"))

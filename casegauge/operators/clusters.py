@@ -10,7 +10,7 @@ from casegauge.functions.geo import centroid_aggs, centroid_columns, haversine_m
 from casegauge.functions.metrics import class_map, split_by_class
 from casegauge.functions.text import EMPTY_LIST
 from casegauge.operators.joins import distance_join, explode_join
-from casegauge.operators.lists import items_with_totals, joined_lists
+from casegauge.operators.lists import first_items, items_with_totals, joined_lists
 from casegauge.operators.spread import split_join
 
 NEAR_MILES, SAME_COUNTRY_MILES = 500.0, 1000.0
@@ -72,6 +72,17 @@ def cluster_members(grouped: DataFrame, member: str, count_name: str = "n_member
     return items_with_totals(distinct_members(grouped, member), ["region_list"], count_name)
 
 
+def cluster_addresses(grouped: DataFrame, addresses: DataFrame, member: str = "mpgid", address: str = "nsip", n: int = 5) -> DataFrame:
+    """Per cluster: the number of distinct addresses of its groups and the first n in one string; the marker word and 0
+    where its groups have none. `addresses` has one row per group and address."""
+    rows = grouped.select("region_list", member).distinct().join(addresses.select(member, address), member)
+    lists = first_items(rows.select("region_list", address).where(F.col(address).isNotNull()).distinct(), ["region_list"], address, n,
+                        f"first_{address}s", count_name=f"n_{address}s")
+    return split_join(grouped.select("region_list").distinct(), lists, ["region_list"], "left").select(
+        "region_list", F.coalesce(f"n_{address}s", F.lit(0).cast("long")).alias(f"n_{address}s"),
+        F.coalesce(f"first_{address}s", F.lit(EMPTY_LIST)).alias(f"first_{address}s"))
+
+
 def weighted_centroid(df: DataFrame, keys: Sequence[str], lat="lat", lon="lon", weight="load") -> DataFrame:
     """Load-weighted centroid per key, for keys with a load above 0.0001."""
     return (df.groupBy(*keys).agg(*centroid_aggs(lat, lon, weight)).where(F.col("_w") > MIN_LOAD)
@@ -101,13 +112,17 @@ def attach_public(clusters: DataFrame, regions: DataFrame, miles: float = NEAR_M
         zero("_n", "long").alias("pub_nreg"))
 
 
-def public_lists(clusters: DataFrame, regions: DataFrame, miles: float = NEAR_MILES) -> DataFrame:
-    """The sorted public regions near each centroid; the marker word where there are none."""
+def public_pairs(clusters: DataFrame, regions: DataFrame, miles: float = NEAR_MILES) -> DataFrame:
+    """(cluster, region) pairs of the public regions near each centroid, found by their sites."""
     public = regions.where(F.col("private") == 0)
     pos = clusters.select("region_list", F.col("cl_lat").alias("lat"), F.col("cl_lon").alias("lon"))
     near = distance_join(pos, region_sites(public), miles).select("region_list", "rg_lat", "rg_lon")
-    rows = near.join(public.select("rg_lat", "rg_lon", "region"), ["rg_lat", "rg_lon"])
-    lists = joined_lists(rows, ["region_list"], {"pub_list": F.col("region")}, [F.col("region")],
+    return near.join(public.select("rg_lat", "rg_lon", "region"), ["rg_lat", "rg_lon"]).select("region_list", "region")
+
+
+def public_lists(clusters: DataFrame, regions: DataFrame, miles: float = NEAR_MILES) -> DataFrame:
+    """The sorted public regions near each centroid; the marker word where there are none."""
+    lists = joined_lists(public_pairs(clusters, regions, miles), ["region_list"], {"pub_list": F.col("region")}, [F.col("region")],
                          count_name="pub_nreg")
     return clusters.select("region_list").join(lists, "region_list", "left").select(
         "region_list", F.coalesce("pub_nreg", F.lit(0).cast("long")).alias("pub_nreg"),
@@ -147,33 +162,45 @@ def short_capacity(clusters: DataFrame, load: Column, min_load: float, public: S
         F.count(F.lit(1)).alias("clusters"), F.round(F.coalesce(F.sum(load), F.lit(0.0)), 6).alias("load"))
 
 
-def region_criticality(clusters: DataFrame, members: DataFrame, allow: DataFrame, regions: DataFrame,
-                       key="region_list") -> DataFrame:
+def region_criticality(clusters: DataFrame, members: DataFrame, allow: DataFrame, regions: DataFrame, key="region_list",
+                       groups: dict[str, Sequence[int]] | None = None, others: str = "other") -> DataFrame:
     """How much clusters lean on a region.
 
     Within (cluster, rule) a region's share of bit, flit and vip capacity; averaged over the rules
     that reach the cluster; summed over clusters, plain and load-weighted. A cluster without any
-    usable region counts fully for region 0. `members` holds the (cluster, region) pairs."""
+    usable region counts fully for region 0. `members` holds the (cluster, region) pairs: the regions it may use, and the
+    public ones near it.
+
+    With `groups` (label -> rules; all other rules are `others`) the figures are made for each group of rules on its own, with
+    its label in `rule_group`: every cluster counts in every group, for region 0 where the group's rules do not reach it."""
     # A region listed twice counts once, with its largest capacity.
     info = regions.groupBy("region").agg(*[F.max(c).alias(c) for c in ("bit_gbps", "flit_gfps", "numvips")])
+    label, labels = F.lit(others), [others]
+    if groups is not None:
+        labels = [*groups, others]
+        for name, rules in groups.items():
+            label = F.when(F.col("maprule").isin(list(rules)), F.lit(name)).otherwise(label)
     rows = members.select(key, "region").distinct().join(info, "region").join(allow.select("maprule", "region").distinct(), "region")
+    rows = rows.withColumn("rule_group", label)
     caps = {"bit_gbps": "b", "flit_gfps": "f", "numvips": "v"}
-    totals = rows.groupBy(key, "maprule").agg(*[F.sum(c).alias(f"_{n}") for c, n in caps.items()])
-    rules = totals.groupBy(key).agg(F.count(F.lit(1)).alias("_rules"))
+    totals = rows.groupBy(key, "rule_group", "maprule").agg(*[F.sum(c).alias(f"_{n}") for c, n in caps.items()])
+    rules = totals.groupBy(key, "rule_group").agg(F.count(F.lit(1)).alias("_rules"))
     part = lambda c, n: F.when(F.col(f"_{n}") > 0, F.try_divide(F.col(c).cast("double"), F.col(f"_{n}").cast("double"))).otherwise(F.lit(0.0))
-    per_region = split_join(rows, totals, [key, "maprule"]).groupBy(key, "region").agg(
+    per_region = split_join(rows, totals, [key, "rule_group", "maprule"]).groupBy(key, "rule_group", "region").agg(
         *[F.sum(part(c, n)).alias(n) for c, n in caps.items()])
-    mean = split_join(per_region, rules, [key]).select(key, "region", *[(F.col(n) / F.col("_rules")).alias(n) for n in caps.values()])
-    base = clusters.select(key, "geoname", "load", "nmpg")
-    full = base.join(mean, key, "left").select(
-        "geoname", "load", "nmpg", F.coalesce("region", F.lit(0).cast("long")).alias("region"),
+    mean = split_join(per_region, rules, [key, "rule_group"]).select(
+        key, "rule_group", "region", *[(F.col(n) / F.col("_rules")).alias(n) for n in caps.values()])
+    base = clusters.select(key, "geoname", "load", "nmpg", F.explode(F.array(*[F.lit(x) for x in labels])).alias("rule_group"))
+    full = base.join(mean, [key, "rule_group"], "left").select(
+        "rule_group", "geoname", "load", "nmpg", F.coalesce("region", F.lit(0).cast("long")).alias("region"),
         *[F.coalesce(F.col(n), F.lit(1.0)).alias(n) for n in caps.values()])
     # Distinct (region, geo) pairs first: a region's list is then bounded by the number of geos.
-    geos = full.select("region", F.explode(F.split("geoname", ":")).alias("_geo")).distinct().groupBy("region").agg(
+    geos = full.select("rule_group", "region", F.explode(F.split("geoname", ":")).alias("_geo")).distinct().groupBy("rule_group", "region").agg(
         F.array_join(F.array_sort(F.collect_list("_geo")), ":").alias("geo_list"))
-    sums = full.groupBy("region").agg(
+    sums = full.groupBy("rule_group", "region").agg(
         F.round(F.sum("load"), 4).alias("mpg_load"), F.sum("nmpg").alias("mpg_num"),
         *[F.round(F.sum(n), 6).alias(f"{n}_ratio") for n in caps.values()],
         *[F.round(F.sum(F.col(n) * F.col("load")), 4).alias(f"dw_{n}_ratio") for n in caps.values()],
         F.count(F.lit(1)).alias("clusters"))
-    return geos.join(sums, "region")
+    out = geos.join(sums, ["rule_group", "region"])
+    return out if groups is not None else out.drop("rule_group")

@@ -94,6 +94,13 @@ def _(x):
     return first_items(C.distinct_members(grouped(x), "asnum"), ["region_list"], "asnum", 5, "first_networks", count_name="n_networks")
 
 
+@query("cluster_addresses", with_inputs(NEAR + " addresses", """select region_list, count(distinct nsip) n_nsips,
+    coalesce(array_to_string(list_sort(list(distinct nsip) filter (nsip is not null))[1:5], ':'), 'NULL') first_nsips
+    from grouped left join addresses using (mpgid) group by 1""", GROUPED))
+def _(x):
+    return C.cluster_addresses(grouped(x), x.addresses())
+
+
 @query("geo_centroid", with_inputs("client_groups", f"""select country, asnum, {centroid_sql()} from client_groups group by 1, 2 having sum(load) > 0.0001"""))
 def _(x):
     return C.weighted_centroid(x.client_groups(), ["country", "asnum"])
@@ -163,22 +170,31 @@ def share(c):
     return f"sum(case when t.{c} > 0 then cast(r.{c} as double)/t.{c} else 0 end)/max(n)"
 
 
-CRITICAL = {**CLUSTERS, "r": """select distinct region_list, maprule, region, bit_gbps, flit_gfps, numvips from
-        (select region_list, cast(unnest(string_split(region_list, ':')) as bigint) region from clusters) join serving using (region) join allow_list using (region)""",
-    "t": "select region_list, maprule, sum(bit_gbps) bit_gbps, sum(flit_gfps) flit_gfps, sum(numvips) numvips from r group by 1, 2",
-    "m": f"""select region_list, region, {share('bit_gbps')} b, {share('flit_gfps')} f, {share('numvips')} v from r join t using (region_list, maprule)
-        join (select region_list, count(*) n from t group by 1) using (region_list) group by 1, 2""",
-    "full_": """select geoname, load, nmpg, coalesce(region, 0) region, coalesce(b, 1) b, coalesce(f, 1) f, coalesce(v, 1) v from clusters left join m using (region_list)"""}
+# The rules of the first group; all others are the second one.
+WEB_RULES = [0, 1, 2]
+
+CRITICAL = {**PUBLIC, "reach": """select region_list, cast(unnest(string_split(region_list, ':')) as bigint) region from clusters
+        union select region_list, region from near_public""",
+    "r": f"""select region_list, case when list_contains({WEB_RULES}, maprule) then 'W' else 'S' end rule_group, maprule, region, bit_gbps, flit_gfps, numvips
+        from reach join serving using (region) join allow_list using (region)""",
+    "t": "select region_list, rule_group, maprule, sum(bit_gbps) bit_gbps, sum(flit_gfps) flit_gfps, sum(numvips) numvips from r group by 1, 2, 3",
+    "m": f"""select region_list, rule_group, region, {share('bit_gbps')} b, {share('flit_gfps')} f, {share('numvips')} v from r join t using (region_list, rule_group, maprule)
+        join (select region_list, rule_group, count(*) n from t group by 1, 2) using (region_list, rule_group) group by 1, 2, 3""",
+    "full_": """select rule_group, geoname, load, nmpg, coalesce(region, 0) region, coalesce(b, 1) b, coalesce(f, 1) f, coalesce(v, 1) v
+        from (select *, unnest(['W', 'S']) rule_group from clusters) left join m using (region_list, rule_group)"""}
 
 
-@query("region_criticality", with_inputs(NEAR + " allow_list", f"""select region, geo_list, {rounded('sum(load)', 4)} mpg_load, cast(sum(nmpg) as bigint) mpg_num,
+@query("region_criticality", with_inputs(NEAR + " allow_list", f"""select rule_group, region, geo_list, {rounded('sum(load)', 4)} mpg_load, cast(sum(nmpg) as bigint) mpg_num,
     {', '.join(f"{rounded(f'sum({c})', 6)} {c}_ratio, {rounded(f'sum({c}*load)', 4)} dw_{c}_ratio" for c in 'bfv')}, count(*) clusters
-    from full_ join (select region, string_agg(distinct g, ':' order by g) geo_list from (select region, unnest(string_split(geoname, ':')) g from full_) group by 1)
-    using (region) group by region, geo_list""", CRITICAL))
+    from full_ join (select rule_group, region, string_agg(distinct g, ':' order by g) geo_list from
+        (select rule_group, region, unnest(string_split(geoname, ':')) g from full_) group by 1, 2)
+    using (rule_group, region) group by rule_group, region, geo_list""", CRITICAL))
 def _(x):
-    c = clusters(x)
-    members = explode_list(c, ["region_list"], "region_list", "region").withColumn("region", F.col("region").cast("long"))
-    return C.region_criticality(c, members, x.allow_list(), serving(x))
+    """Regions that a cluster may use and public regions near it, for web rules and the others."""
+    c, regions = clusters(x), serving(x)
+    allowed = explode_list(c, ["region_list"], "region_list", "region").withColumn("region", F.col("region").cast("long"))
+    members = allowed.unionByName(C.public_pairs(c, regions))
+    return C.region_criticality(c, members, x.allow_list(), regions, groups={"W": WEB_RULES}, others="S")
 
 
 # -- probes and fits ------------------------------------------------------------------------------

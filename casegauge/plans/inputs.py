@@ -229,6 +229,11 @@ class Inputs:
             "lat": ((anchor * 37) % 1200).cast("double") / 10 - 60 + (k % 7).cast("double") / 10,
             "lon": ((anchor * 91) % 3600).cast("double") / 10 - 180 + (k % 11).cast("double") / 10})
 
+    def addresses(self) -> DataFrame:
+        """Name servers of the client groups, from their orders; some groups have none."""
+        rows = self.table("orders").where(F.col("o_custkey") % 10 != 0)
+        return rows.select(F.col("o_custkey").alias("mpgid"), F.concat(F.lit("ns"), (F.col("o_orderkey") % 997).cast("string")).alias("nsip")).distinct()
+
     def allow_list(self) -> DataFrame:
         """Rules and the regions they may use, from the parts they have carried."""
         return self.table("lineitem").select(to_int(F.col("l_partkey") % 6).alias("maprule"), F.col("l_suppkey").alias("region")).distinct()

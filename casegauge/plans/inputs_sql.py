@@ -120,8 +120,10 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                r_name ns_continent, {_lat('c_custkey')} ns_lat, {_lon('c_custkey')} ns_lon, abs(c_acctbal) mpg_load
         from customers join region on n_regionkey = r_regionkey"""),
     "client_rows": (("assignment_sum", "clients"), """
-        select *, cast(round(cast(cast(mpd_dftime/max(mpd_dftime) over (partition by mpd_uuid) as varchar) as decimal(38,20)), 3) as double) share_
-        from assignment_sum join clients using (mpgid)"""),
+        select *, cast(round(cast(cast(mpd_dftime/longest as varchar) as decimal(38,20)), 3) as double) share_
+        from (select *, max(mpd_dftime) over (partition by mpd_uuid) longest from assignment_sum where latitude is not null and longitude is not null)
+        join clients using (mpgid) where ns_demand > 1 and ns_lat is not null and ns_lon is not null"""),
+    "addresses": ((), "select distinct o_custkey mpgid, 'ns' || (o_orderkey % 997) nsip from orders where o_custkey % 10 <> 0"),
     "networks": ((), "select distinct cast(c_custkey % 20 as int) asnum, c_mktsegment netname from customer"),
     "client_groups": (("customers",), f"""
         select c_custkey mpgid, {_lat('c_custkey')} lat, {_lon('c_custkey')} lon, n_name country, abs(c_acctbal) load, cast(c_custkey % 20 as int) asnum

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from casegauge.functions import geo as G, metrics as M, text as X
 from casegauge.functions.stats import correlation_p_value
-from casegauge.operators import clusters as C, joins as J, summary as S
+from casegauge.operators import assignment as A, clusters as C, joins as J, summary as S
 from casegauge.operators.assignment import assignment_stats, client_entropy, duration_share
 from casegauge.operators.lists import explode_list, joined_lists
 from casegauge.operators.quantiles import percentile_array
@@ -175,6 +175,33 @@ def test_region_criticality(spark):
     assert [(r.region, r.b_ratio, r.clusters) for r in none] == [(0, 2.0, 2)]
 
 
+def test_criticality_of_rule_groups_and_public_regions(spark):
+    c = spark.createDataFrame([("1:2", "A:B", 4.0, 2), ("3", "C", 1.0, 1)], "region_list string, geoname string, load double, nmpg long")
+    members = spark.createDataFrame([("1:2", 1), ("1:2", 2), ("1:2", 9), ("1:2", 9), ("3", 3)], "region_list string, region long")  # 9 is public, near
+    regions = spark.createDataFrame([(1, 2.0, 1.0, 1), (2, 2.0, 1.0, 1), (3, 5.0, 1.0, 1), (9, 4.0, 0.0, 2)], "region long, bit_gbps double, flit_gfps double, numvips int")
+    allow = spark.createDataFrame([(1, 1), (1, 9), (2, 1), (2, 2), (7, 9), (7, 77)], "maprule int, region long")
+    out = {(r.rule_group, r.region): r for r in C.region_criticality(c, members, allow, regions, groups={"W": [1, 2]}, others="S").collect()}
+    assert set(out) == {("W", 1), ("W", 2), ("W", 9), ("W", 0), ("S", 9), ("S", 0)}
+    # rule 1: 2 of 6 and 4 of 6; rule 2: half and half
+    assert out["W", 1].b_ratio == pytest.approx((1 / 3 + 1 / 2) / 2, abs=1e-6) and out["W", 9].b_ratio == pytest.approx(1 / 3, abs=1e-6)
+    assert out["W", 2].b_ratio == 0.25 and out["W", 2].dw_b_ratio == 1.0 and out["W", 9].f_ratio == 0.0
+    assert (out["S", 9].b_ratio, out["S", 9].f_ratio, out["S", 9].geo_list) == (1.0, 0.0, "A:B")
+    assert (out["S", 0].clusters, out["W", 0].clusters, out["W", 0].geo_list) == (1, 1, "C")
+
+
+def test_addresses_of_clusters(spark):
+    grouped = spark.createDataFrame([("1:2", 1), ("1:2", 2), ("3", 3), ("4", 4)], "region_list string, mpgid int")
+    rows = [(1, f"a{i}") for i in range(7)] + [(2, "a0"), (2, "b"), (4, None), (99, "z")]
+    out = {r.region_list: (r.n_nsips, r.first_nsips) for r in C.cluster_addresses(grouped, spark.createDataFrame(rows, "mpgid int, nsip string")).collect()}
+    assert out == {"1:2": (8, "a0:a1:a2:a3:a4"), "3": (0, "NULL"), "4": (0, "NULL")}
+
+
+def test_selected_clients(spark):
+    c = spark.createDataFrame([(1, 1.0, 0.0, 0.0), (2, 1.5, 0.0, 0.0), (3, 9.0, None, 0.0), (4, None, 1.0, 1.0)], "mpgid int, ns_demand double, ns_lat double, ns_lon double")
+    assert [r.mpgid for r in A.selected_clients(c).collect()] == [2]
+    assert sorted(r.mpgid for r in A.selected_clients(c, None).collect()) == [1, 2, 4]
+
+
 def test_coverage_curve(spark):
     df = spark.createDataFrame([(0.5,), (1.0,), (2.5,)], "load double")
     out = C.coverage_curve(df, F.col("load"), [0.1, 1.0, 2.0, 3.0]).orderBy("threshold").collect()
