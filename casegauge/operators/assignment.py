@@ -12,6 +12,7 @@ from casegauge.operators.joins import members_of
 from casegauge.operators.lists import list_item, list_texts
 from casegauge.operators.spread import split_join, with_totals
 from casegauge.sources.snapshots import latest_partition
+from casegauge.sources.tables import stored
 
 MIN_DEMAND = 1.0
 
@@ -21,8 +22,10 @@ def duration_share(log: DataFrame, regions: DataFrame, uuid="mpd_uuid", snapshot
 
     The share is the count over all counts of the same group, rule, run and time, rounded to 5
     places, times the duration of the time step. Totals are grouped and joined back: a hot group
-    is summed on the map side, and its rows stay spread over tasks."""
+    is summed on the map side, and its rows stay spread over tasks. The log (often a join) is stored, as totals and rows are
+    taken from it."""
     at = ["mpgid", "mrid", uuid, "ts"]
+    log = stored(log, "log")
     share = F.round(F.try_divide(F.col("cnt").cast("double"), F.col("_total").cast("double")), 5)
     rows = with_totals(log, at, _total=F.sum("cnt")).select(
         "mpgid", "mrid", "mpg_type", "region", "link", uuid, "min_s", "max_s", "min_r", "max_r",

@@ -84,6 +84,11 @@ def target_per_key(df: DataFrame, keys: Sequence[str], target="targetvalue", agg
     return rows.groupBy(*keys).agg({"max": F.max, "min": F.min}[agg](target).alias(name or target))
 
 
+def targets_per_key(df: DataFrame, keys: Sequence[str], targets: dict[str, tuple[str, str]]) -> DataFrame:
+    """Several targets per key in one pass: name -> (max or min, column)."""
+    return df.groupBy(*keys).agg(*[{"max": F.max, "min": F.min}[agg](c).alias(name) for name, (agg, c) in targets.items()])
+
+
 def attach_target(df: DataFrame, targets: DataFrame, keys: Sequence[str] = CASE, target="targetvalue",
                   name="score_target") -> DataFrame:
     """Inner join of the highest target per case. The rows of a hot case stay spread over tasks."""

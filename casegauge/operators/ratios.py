@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from casegauge.functions.metrics import guarded_ratio, severity_index, target_ratio
 from casegauge.operators.joins import wildcard_join
+from casegauge.operators.spread import split_join
 from casegauge.sources.snapshots import latest_partition
+from casegauge.sources.tables import stored
 
 
 def pivot_percentiles(df: DataFrame, keys: Sequence[str], levels: dict[str, str], level="config_percentile",
@@ -39,18 +41,22 @@ def region_share_view(view: DataFrame, keys: Sequence[str] = ("mapruleid", "geo"
 
 def coverage_pct(view: DataFrame, by: Sequence[str] = ("casename",)) -> DataFrame:
     """Sum of the region shares of a case."""
-    return region_share_view(view).groupBy(*by).agg(F.sum("percentage").alias("coverage_pct"))
+    return _coverage(region_share_view(view), by)
 
 
-def _case_traffic(targets: DataFrame, view: DataFrame, traffic: DataFrame) -> DataFrame:
-    cases = wildcard_join(targets, region_share_view(view))
+def _coverage(shares: DataFrame, by: Sequence[str] = ("casename",)) -> DataFrame:
+    return shares.groupBy(*by).agg(F.sum("percentage").alias("coverage_pct"))
+
+
+def _case_traffic(targets: DataFrame, shares: DataFrame, traffic: DataFrame) -> DataFrame:
+    cases = wildcard_join(targets, shares)
     keyed = traffic.withColumnsRenamed({"maprule_id": "maprule", "region": "regionid"})
     return cases.join(keyed, ["maprule", "regionid"])
 
 
 def pooled_io_ratio(targets: DataFrame, view: DataFrame, traffic: DataFrame) -> DataFrame:
     """100 * bytes in / bytes, pooled over the regions of a case."""
-    rows = _case_traffic(targets, view, traffic)
+    rows = _case_traffic(targets, region_share_view(view), traffic)
     return rows.groupBy("casename").agg(
         F.sum("bytes").alias("_b"), F.sum("bytes_in").alias("_i"), F.max("targetvalue").alias("targetvalue"),
         F.sum((F.lit(100.0) * F.col("percentage")).cast("int")).alias("coverage_pct")).select(
@@ -59,9 +65,11 @@ def pooled_io_ratio(targets: DataFrame, view: DataFrame, traffic: DataFrame) ->
 
 def weighted_io_ratio(targets: DataFrame, view: DataFrame, traffic: DataFrame, min_bytes: int | None = None) -> DataFrame:
     """Ratio per region, weighted with the region's share of the case's coverage; optionally only
-    regions with more than `min_bytes` bytes."""
+    regions with more than `min_bytes` bytes. The view is reduced to region shares once; they are stored, as both the
+    traffic and the coverage are taken from them."""
     t = traffic if min_bytes is None else traffic.where(F.col("bytes") > min_bytes)
-    rows = _case_traffic(targets, view, t).join(coverage_pct(view), "casename")
+    shares = stored(region_share_view(view), "shares")
+    rows = split_join(_case_traffic(targets, shares, t), _coverage(shares), ["casename"])
     ratio = F.try_divide(F.lit(100.0) * F.col("bytes_in").cast("double"), F.col("bytes").cast("double"))
     part = F.try_divide(ratio * F.col("percentage"), F.col("coverage_pct"))
     return rows.groupBy("casename").agg(
@@ -76,7 +84,7 @@ def region_rates(traffic: DataFrame, regions: DataFrame, rates: DataFrame) -> Da
 
 def weighted_cost(targets: DataFrame, view: DataFrame, rated: DataFrame) -> DataFrame:
     """Cost, byte-weighted and plain mean rate (in thousandths) and coverage per case."""
-    rows = _case_traffic(targets, view, rated)
+    rows = _case_traffic(targets, region_share_view(view), rated)
     cost, total = F.sum(F.col("bytes") * F.col("nominalrate")), F.sum("bytes")
     mean = F.try_divide(F.lit(1000.0) * cost, total.cast("double")).cast("int")
     return rows.groupBy("casename").agg(
@@ -118,10 +126,11 @@ def io_case_rollup(samples: DataFrame, traffic: DataFrame, keys: Sequence[str])
         F.round(F.col("_cpu").cast("double") / 1000000, 3).alias("m_cpu"), F.col("_disk").alias("disk"))
 
 
-def coverage_by(df: DataFrame, by: Sequence[str], snapshot: str = "day") -> DataFrame:
-    """Demand-weighted coverage percentages of the newest day; null where nothing is covered."""
+def coverage_by(df: DataFrame, by: Sequence[str], snapshot: str | None = "day") -> DataFrame:
+    """Demand-weighted coverage percentages of the newest day; null where nothing is covered. Without `snapshot` the rows are
+    those of one day: a caller who knows the newest day from the source does not compute the table for its maximum."""
     w = F.col("sum_demand") * F.col("has_pp_pct")
-    rows = latest_partition(df, snapshot).groupBy(*by).agg(
+    rows = (df if snapshot is None else latest_partition(df, snapshot)).groupBy(*by).agg(
         F.count(F.lit(1)).alias("asns"), F.sum("sum_demand").alias("_d"),
         F.sum(w * F.col("in_country_pct")).alias("_c"), F.sum(w * F.col("in_asn_pct")).alias("_a"),
         F.sum(w).alias("_h"), F.sum(w * F.col("weighted_distance")).alias("_m"))

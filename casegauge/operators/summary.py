@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from casegauge import CASE
 from casegauge.functions.metrics import excess_over, shortfall
+from casegauge.functions.times import at_least, before
 from casegauge.operators.quantiles import null_safe_join, percentile_array, ranked_percentiles
 
 # Time-percentile labels and their probabilities.
@@ -66,16 +67,15 @@ WITH_IO = (*STANDARD, Metric("io", "ioratio", "ioratio_tar", "io_tar", target_ag
 def time_window(df: DataFrame, ts: str, start: int, end: int, bounds: str = "()") -> DataFrame:
     """Rows inside a window; `()` excludes both ends, `[)` keeps the start.
 
-    The bounds are plain comparisons on the column, so they prune partitions and reach the scan.
+    The bounds are seconds; the column may be a number of seconds, a date or a timestamp. They become plain comparisons on
+    the column, so they prune partitions and reach the scan.
     """
-    after = F.col(ts) >= start if bounds[0] == "[" else F.col(ts) > start
-    before = F.col(ts) <= end if bounds[1] == "]" else F.col(ts) < end
-    return df.where(after & before)
+    return df.where(at_least(df, ts, start, strict=bounds[0] == "(") & before(df, ts, end, strict=bounds[1] == ")"))
 
 
 def recent(df: DataFrame, ts: str, now: int, seconds: int = 300) -> DataFrame:
-    """Samples newer than `now - seconds`."""
-    return df.where(F.col(ts) > now - seconds)
+    """Samples newer than `now - seconds`; the column as in `time_window`."""
+    return df.where(at_least(df, ts, now - seconds, strict=True))
 
 
 def slot_numbers(df: DataFrame, ts: str, start: int | None = None, step: int = 600) -> DataFrame:

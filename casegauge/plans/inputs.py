@@ -9,11 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from casegauge.functions.metrics import guarded_ratio
+from casegauge.functions.times import at_least
+from casegauge.operators.summary import time_window
 from casegauge.sources.tables import read_parquet
 
-# Class codes of the synthetic regions and the windows that hold all the data.
+# Class codes of the synthetic regions and the days of their snapshots.
 SERVICE_CLASSES = {"web": "W", "secure": "S"}
-ALL_START, ALL_END = 788918400, 1041379200  # 1995-01-01, 2003-01-01 as epoch seconds
 REGION_DAYS = ("20240129", "20240130")
 
 
@@ -33,19 +34,21 @@ class Inputs:
         return read_parquet(self.spark, self.folder, name)
 
     # -- case samples ---------------------------------------------------------------------------
-    def line_cases(self) -> DataFrame:
-        """Line items with their case: rule from the supplier, geo from its nation."""
+    def line_cases(self, period: tuple[int, int, str] | None = None) -> DataFrame:
+        """Line items with their case: rule from the supplier, geo from its nation. A period (start, end, bounds) is
+        cut out of the raw table."""
         geo = self.table("supplier").join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(
             "s_suppkey", F.col("n_name").alias("geoname"))
         li = self.table("lineitem")
+        li = li if period is None else time_window(li, "l_shipdate", *period)
         return li.join(geo, li["l_suppkey"] == geo["s_suppkey"]).select(
             to_int(F.col("l_suppkey") % 4).alias("maprule"), "geoname", F.col("l_returnflag").alias("netname"),
             epoch("l_shipdate").alias("ts"), to_int("l_quantity").alias("q"),
             to_int(F.col("l_discount") * 100).alias("d"), to_int("l_extendedprice").alias("p"),
             F.col("l_linenumber").alias("line"))
 
-    def case_sample(self) -> DataFrame:
-        g = self.line_cases().groupBy("maprule", "geoname", "netname", "ts").agg(
+    def case_sample(self, period: tuple[int, int, str] | None = None) -> DataFrame:
+        g = self.line_cases(period).groupBy("maprule", "geoname", "netname", "ts").agg(
             F.max("q").alias("qx"), F.min("q").alias("qn"), F.max("d").alias("dx"), F.min("d").alias("dn"),
             F.sum("p").alias("total_bps"), F.sum(F.when(F.col("line") % 2 == 0, F.col("p")).otherwise(0)).alias("ping_bps"))
         io = F.col("maprule") != 3
@@ -245,8 +248,12 @@ class Inputs:
             (F.col("l_discount") * 100).alias("loss"), F.col("l_returnflag").alias("pp_state"))
 
     # -- coverage, members, plan ----------------------------------------------------------------
-    def coverage(self) -> DataFrame:
+    def coverage(self, newest: bool = False) -> DataFrame:
+        """Coverage per month; with `newest` of the newest month, whose bound reaches the scan of the orders."""
         o, c = self.table("orders"), self.customers()
+        if newest:
+            last = o.agg(F.date_trunc("month", F.max("o_orderdate")).cast("timestamp").alias("m")).select(F.unix_timestamp("m")).first()[0]
+            o = o if last is None else o.where(at_least(o, "o_orderdate", last))
         k = F.col("c_custkey")
         frac = lambda n: F.avg((k % n).cast("double") / n)
         return o.join(c, o["o_custkey"] == k).groupBy(

@@ -99,9 +99,7 @@ def _(x):
 def _(x):
     keys = [*CASE, "attrname"]
     o = x.objectives().withColumn("tpct", remap("targetpct", 80, 90))
-    hi, lo, pct = (J.target_per_key(o, keys, t, a, n) for t, a, n in (
-        ("targetvalue", "max", "highest"), ("targetvalue", "min", "lowest"), ("tpct", "max", "tpct")))
-    return hi.join(lo, keys).join(pct, keys)
+    return J.targets_per_key(o, keys, {"highest": ("max", "targetvalue"), "lowest": ("min", "targetvalue"), "tpct": ("max", "tpct")})
 
 
 @query("target_pct_remap", with_inputs("objectives", """select maprule, geoname, netname, attrname, targetvalue,

@@ -17,6 +17,8 @@ def query(name: str, sql: str | None = None):
     """Register a function of `Inputs`; `sql` must give the same rows, column names and types."""
 
     def register(fn: Callable[[Inputs], DataFrame]):
+        if name in QUERIES:
+            raise ValueError(f"{name} is registered already")
         def run(spark: SparkSession, folder: str) -> DataFrame:
             return fn(Inputs(apply_settings(spark), folder))
 

@@ -85,8 +85,8 @@ def _(x):
     where t > 883612800 and t < 946684800 union all select 'half', count(*), min(t), max(t) from (select cast(floor(epoch(o_orderdate)) as bigint) t from orders)
     where t >= 883612800 and t < 946684800""")
 def _(x):
-    o = x.table("orders").select(F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).alias("t"))
-    figures = lambda name, b: time_window(o, "t", 883612800, 946684800, b).agg(
+    t = F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).alias("t")
+    figures = lambda name, b: time_window(x.table("orders"), "o_orderdate", 883612800, 946684800, b).select(t).agg(
         F.lit(name).alias("bounds"), F.count(F.lit(1)).alias("n"), F.min("t").alias("first"), F.max("t").alias("last"))
     return figures("open", "()").unionByName(figures("half", "[)"))
 

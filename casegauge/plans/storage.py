@@ -145,8 +145,8 @@ def _(x):
 
 @query("retain", f"select event_id, {EVENT_SEC} t from events where {EVENT_SEC} >= 1706486400 - 15*86400")
 def _(x):
-    t = F.unix_timestamp(F.col("ts").cast("timestamp"))
-    return P.retain(x.table("events").select("event_id", t.alias("t")), "t", 1706486400, 15 * 86400)
+    rows = P.retain(x.table("events"), "ts", 1706486400, 15 * 86400)
+    return rows.select("event_id", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("t"))
 
 
 def days_table(x, label, rows):

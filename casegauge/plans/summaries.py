@@ -12,17 +12,17 @@ from casegauge.operators.quantiles import ranked_percentiles
 from casegauge.operators.ratios import (clean_summary, deficiency_total, fresh_rows, severity, target_profile,
                                         violation_share)
 from casegauge.operators.rolling import rolling_summary
-from casegauge.plans.inputs import ALL_END, ALL_START, Inputs
+from casegauge.plans.inputs import Inputs
 from casegauge.plans.inputs_sql import percentile, rounded, with_inputs
 from casegauge.plans.registry import query
 
-WINDOW = f"ts > {ALL_START} and ts < {ALL_END}"
 KEYS = "maprule, geoname, netname"
 YEAR_START, YEAR_END = 915148800, 946684800  # 1999-01-01, 2000-01-01
+NOW = 1041379200  # 2003-01-01
 
 
-def windowed(x: Inputs):
-    return S.time_window(x.case_sample(), "ts", ALL_START, ALL_END)
+def sample(x: Inputs):
+    return x.case_sample()
 
 
 def metric_sql(m: S.Metric) -> list[str]:
@@ -59,7 +59,7 @@ def summary_sql(metrics, keys=KEYS, cycles=False) -> str:
     return f"select {keys}, {', '.join(cols)}, {', '.join(targets.values())}, count(*) n_count from sample group by {keys}"
 
 
-SAMPLE = {"sample": f"select * from case_sample where {WINDOW}"}
+SAMPLE = {"sample": "select * from case_sample"}
 BASIS = {**SAMPLE, "basis": """select ts, slot, cos(-2*pi()*2*(slot-1)/2016) cos2, sin(-2*pi()*2*(slot-1)/2016) sin2,
     cos(-2*pi()*14*(slot-1)/2016) cos14, sin(-2*pi()*14*(slot-1)/2016) sin14
     from (select ts, row_number() over (order by ts) slot from (select distinct ts from sample))"""}
@@ -76,32 +76,32 @@ def with_summary(body, extra=None):
 
 @query("case_summary", with_sample(summary_sql(S.STANDARD)))
 def _(x):
-    return S.case_summary(windowed(x))
+    return S.case_summary(sample(x))
 
 
 @query("case_summary_cycles", with_inputs("case_sample", summary_sql(S.STANDARD, cycles=True).replace(
     "from sample group", "from sample join basis using (ts) group"), BASIS))
 def _(x):
-    return S.case_summary(S.with_basis(windowed(x), "ts"), cycles=True)
+    return S.case_summary(S.with_basis(sample(x), "ts"), cycles=True)
 
 
 @query("case_summary_io", with_inputs("case_sample", summary_sql(S.WITH_IO, cycles=True).replace(
     "from sample group", "from sample join basis using (ts) group"), BASIS))
 def _(x):
-    return S.case_summary(S.with_basis(windowed(x), "ts"), S.WITH_IO, cycles=True)
+    return S.case_summary(S.with_basis(sample(x), "ts"), S.WITH_IO, cycles=True)
 
 
 @query("time_slots", with_inputs("case_sample", f"""select ts, cast(slot as int) slot, {rounded('cos2', 6)} cos2, {rounded('sin2', 6)} sin2,
     {rounded('cos14', 6)} cos14, {rounded('sin14', 6)} sin14 from basis""", BASIS))
 def _(x):
-    b = S.slot_numbers(windowed(x), "ts").select("ts", "slot", *S.fourier_basis())
+    b = S.slot_numbers(sample(x), "ts").select("ts", "slot", *S.fourier_basis())
     return b.select("ts", "slot", *[F.round(c, 6).alias(c) for c in ("cos2", "sin2", "cos14", "sin14")])
 
 
 @query("load_stats", with_sample(f"""select {KEYS}, {rounded(percentile('total_bps', 0.95), 4)} peak95_kbps,
     {rounded('cast(sum(ping_bps) as double)/1024/1024', 4)} ping_mbps, min(p2t_bps_pct) p2t_bps_pct_min from sample group by {KEYS}"""))
 def _(x):
-    return S.load_stats(windowed(x))
+    return S.load_stats(sample(x))
 
 
 @query("price_percentiles", f"""select l_returnflag, {rounded(percentile('l_extendedprice', 0.05), 4)} p05,
@@ -115,7 +115,7 @@ def _(x):
 @query("average_load", with_sample(
     f"select {KEYS}, {rounded('8.0::double*cast(sum(total_bps) as double)/count(*)', 3)} stat_bps from sample group by {KEYS}"))
 def _(x):
-    return S.average_load(windowed(x))
+    return S.average_load(sample(x))
 
 
 NARROW = (S.score_metric("95"), S.STANDARD[8])
@@ -147,12 +147,22 @@ def _(x):
 @query("summary_at_period", with_inputs("case_sample", summary_sql(S.STANDARD), {
     "sample": f"select * from case_sample where ts >= {YEAR_START} and ts < {YEAR_END}"}))
 def _(x):
-    return S.case_summary(S.time_window(x.case_sample(), "ts", YEAR_START, YEAR_END, "[)"))
+    return S.case_summary(x.case_sample((YEAR_START, YEAR_END, "[)")))
 
 
-@query("recent_samples", with_inputs("case_sample", f"select * from case_sample where ts > {YEAR_END} - 31536000"))
+@query("recent_samples", with_inputs("case_sample", f"select * from case_sample where ts > {YEAR_END} - 31536000 and ts < {NOW}"))
 def _(x):
-    return S.recent(x.case_sample(), "ts", YEAR_END, 31536000)
+    return x.case_sample((YEAR_END - 31536000, NOW, "()"))
+
+
+@query("window_samples", with_inputs("case_sample", f"select * from case_sample where ts > {YEAR_START} and ts < {YEAR_END}"))
+def _(x):
+    return x.case_sample((YEAR_START, YEAR_END, "()"))
+
+
+@query("recent_events", "select event_id, event_type, user_id from events where ts > timestamp '2024-01-29 00:00:00' - interval 5 minute")
+def _(x):
+    return S.recent(x.table("events"), "ts", 1706486400).select("event_id", "event_type", "user_id")
 
 
 @query("deficits", with_inputs("case_sample", f"""select {KEYS}, ts, greatest(sp95 - star, 0) sp95d, greatest(dp95 - dtar, 0) dp95d,
@@ -173,7 +183,7 @@ COMPARED = ("sp95_t95", "sp95_t90", "dp95_t95", "icy_t95", "n_count")
 
 
 def year_of(x, year_start):
-    return S.case_summary(S.time_window(x.case_sample(), "ts", year_start, year_start + 365 * 86400, "[)"))
+    return S.case_summary(x.case_sample((year_start, year_start + 365 * 86400, "[)")))
 
 
 @query("period_compare", with_inputs("case_sample", f"""select {KEYS}, {', '.join(f'a.{v}, b.{v} {v}_1y' for v in COMPARED)}
@@ -194,7 +204,7 @@ TARGETS = ("star", "dtar", "icy_tar", "ict_tar")
     {' '.join(f'join (select * from summary where maprule = {r}) {k} on s.geoname = {k}.geoname and s.netname = {k}.netname' for k, r in BASELINES.items())}
     where s.avg_sp95d > 0 or s.avg_dp95d > 0 or s.avg_icyd > 0 or s.avg_ictd > 0"""))
 def _(x):
-    s = S.case_summary(windowed(x)).select(*CASE, *DEFICITS, *TARGETS)
+    s = S.case_summary(sample(x)).select(*CASE, *DEFICITS, *TARGETS)
     return baseline_join(s, BASELINES, DEFICITS)
 
 
@@ -206,14 +216,14 @@ PIVOTED = {"sp95d_area": "sp95", "dp95d_area": "dp95", "icyd_area": "icy"}
     + [f"cast(sum(case when maprule not in (0, 1, 2) then {v} else 0 end) as bigint) v{n}" for v, n in PIVOTED.items()])
     + " from summary group by geoname, netname"))
 def _(x):
-    return baseline_pivot(S.case_summary(windowed(x)), BASELINES, PIVOTED, ["geoname", "netname"])
+    return baseline_pivot(S.case_summary(sample(x)), BASELINES, PIVOTED, ["geoname", "netname"])
 
 
 # -- reports over the summary ---------------------------------------------------------------------
 @query("deficiency_total", with_summary(
     f"select {KEYS}, {', '.join(DEFICITS)}, {rounded('avg_sp95d + avg_dp95d + avg_icyd + avg_ictd', 2)} deficiency from summary"))
 def _(x):
-    return deficiency_total(S.case_summary(windowed(x)))
+    return deficiency_total(S.case_summary(sample(x)))
 
 
 SWAPPED = ("NATION_1", "NATION_4", "NATION_7", "NATION_11", "NATION_19")
@@ -225,7 +235,7 @@ SEV = "1 - exp(-({0})*ln(2.0::double)/100)"
     {rounded(SEV.format(f'case when geoname in {SWAPPED} then avg_ictd else avg_icyd end'), 6)} sev_geo,
     case when geoname in {SWAPPED} then ict_tar else icy_tar end geo_target from summary"""))
 def _(x):
-    return severity(S.case_summary(windowed(x)), SWAPPED)
+    return severity(S.case_summary(sample(x)), SWAPPED)
 
 
 def capped(a, b):
@@ -242,7 +252,7 @@ def capped(a, b):
       {rounded('cast(sum(total_bps) as double)/1024/1024', 4)} total_mbps, min(p2t_bps_pct) p2t_bps_pct_min from sample group by {KEYS}) using ({KEYS})""", SUMMARY))
 def _(x):
     mega = lambda c: F.round(F.sum(c).cast("double") / 1024 / 1024, 4)
-    w = windowed(x)
+    w = sample(x)
     load = w.groupBy(*CASE).agg(mega("ping_bps").alias("ping_mbps"), mega("total_bps").alias("total_mbps"),
                                 F.min("p2t_bps_pct").alias("p2t_bps_pct_min"))
     return target_profile(S.case_summary(w).join(load, list(CASE)))
@@ -251,7 +261,7 @@ def _(x):
 @query("clean_summary", with_summary("""select * exclude (geoname, sp99_t95, n_count, avg_sp99d), 'N' || right(geoname, 1) geoname,
     coalesce(nullif(avg_sp99d, 0), 0) avg_sp99d from summary where length(geoname) = 8 and maprule > 0"""))
 def _(x):
-    s = S.case_summary(windowed(x))
+    s = S.case_summary(sample(x))
     code = F.when(F.length("geoname") == 8, F.concat(F.lit("N"), F.substring("geoname", -1, 1))).otherwise(F.col("geoname"))
     s = s.withColumns({"geoname": code, "avg_sp99d": F.when(F.col("avg_sp99d") != 0, F.col("avg_sp99d"))})
     return clean_summary(s, ["sp99_t95", "n_count"])
@@ -279,10 +289,10 @@ def violation_input(x):
              "score95_q95": "sp95_t95", "score95_med": "sp95_t50", "dis95_q95": "dp95_t95", "dis95_med": "dp95_t50",
              "ict_q05": "ict_t95", "ict_med": "ict_t50", "icy_q05": "icy_t95", "icy_med": "icy_t50",
              "ioratio_q95": "io_t95", "ioratio_med": "io_t50"}
-    s = S.case_summary(windowed(x), S.WITH_IO)
+    s = S.case_summary(sample(x), S.WITH_IO)
     rows = s.select("geoname", "maprule", "netname", *[F.col(v).alias(k) for k, v in names.items()],
                     (F.col("n_count") - 5).alias("tbps_med"), F.lit("2003-01-01").alias("enddate"))
-    return fresh_rows(rows, ALL_END)
+    return fresh_rows(rows, NOW)
 
 
 @query("violation_share", violation_sql())

@@ -11,7 +11,6 @@ from casegauge.operators.summary import io_rollup_summary
 from casegauge.plans.inputs_sql import percentile, rounded, with_inputs
 from casegauge.plans.joins import OR_JOIN
 from casegauge.plans.registry import query
-from casegauge.sources.snapshots import latest_partition
 
 COUNTERS = ("bytes", "bytes_in", "hits", "connections", "flytes", "cpu", "disk")
 
@@ -147,18 +146,18 @@ def coverage_sql(by):
 
 @query("coverage_by_geo", coverage_sql("country"))
 def _(x):
-    return T.coverage_by(x.coverage(), ["country"])
+    return T.coverage_by(x.coverage(newest=True), ["country"], None)
 
 
 @query("coverage_by_day", coverage_sql('"day"'))
 def _(x):
-    return T.coverage_by(x.coverage(), ["day"])
+    return T.coverage_by(x.coverage(newest=True), ["day"], None)
 
 
 @query("coverage_detail", with_inputs("coverage", f"""select "day", country, asnum, {', '.join(f'{rounded(c, 4)} {c}' for c in
     ('sum_demand', 'in_country_pct', 'in_asn_pct', 'weighted_distance', 'has_pp_pct', 'in_provider_pct'))}
     from coverage where "day" = (select max("day") from coverage)"""))
 def _(x):
-    c = latest_partition(x.coverage(), "day")
+    c = x.coverage(newest=True)
     return c.select("day", "country", "asnum", *[F.round(v, 4).alias(v) for v in (
         "sum_demand", "in_country_pct", "in_asn_pct", "weighted_distance", "has_pp_pct", "in_provider_pct")]).orderBy(F.col("sum_demand").desc())

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from casegauge.functions.times import at_least
+
 
 def latest_partition(df: DataFrame, column: str) -> DataFrame:
     """Rows of the newest snapshot. The maximum is one row, joined back at run time; on a partition
@@ -26,9 +28,9 @@ def asof_partition(parts: DataFrame, column: str, target, strict: bool = False)
 
 
 def retain(df: DataFrame, column: str, now: int, ttl: int, inclusive: bool = True) -> DataFrame:
-    """Rows not older than ttl. `inclusive` keeps a row exactly at the limit."""
-    limit = now - ttl
-    return df.where(F.col(column) >= limit if inclusive else F.col(column) > limit)
+    """Rows not older than ttl; the column holds seconds, dates or timestamps. `inclusive` keeps a row exactly at the limit.
+    For the partitions of a table see `partitions.retain_partitions`."""
+    return df.where(at_least(df, column, now - ttl, strict=not inclusive))
 
 
 def missing_partitions(present: DataFrame, keys: Sequence[str], column: str, step: int) -> DataFrame:

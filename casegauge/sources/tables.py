@@ -110,3 +110,10 @@ def load_text_append(spark: SparkSession, source: str, schema: StructType | str,
                      sep: str = ",") -> None:
     """Bulk load of delimited files into a table."""
     append_partition(read_table(spark, source, schema, sep), path, parts)
+
+
+def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int) -> None:
+    """A catalog table in which rows with the same keys lie in the same bucket, one file each and sorted: tables that are bucketed
+    alike join on these keys without a shuffle or a sort. `buckets` is a property of the feed, chosen once for its
+    largest size; a hot key makes a large bucket, so the keys should include the time."""
+    (df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).mode("overwrite").saveAsTable(table))

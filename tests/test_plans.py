@@ -45,6 +45,37 @@ def test_partitions_are_pruned(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(ts" in p and "(ts" in p.split("PartitionFilters")[1][:120]
 
 
+@pytest.mark.parametrize("name, column, bounds", [
+    ("time_window_filter", "o_orderdate", 4), ("window_samples", "l_shipdate", 2), ("summary_at_period", "l_shipdate", 2), ("recent_samples", "l_shipdate", 2), ("period_compare", "l_shipdate", 4),
+    ("retain", "ts", 1), ("recent_events", "ts", 1), ("coverage_by_geo", "o_orderdate", 1), ("coverage_detail", "o_orderdate", 1)])
+def test_time_bounds_reach_the_scan(spark, name, column, bounds):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        text = plan(entry.queries()[name](spark, FOLDER))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = [line.split("PushedFilters: [")[1].split("ReadSchema")[0] for line in text.splitlines() if "PushedFilters: [" in line]
+    assert sum(p.replace("OrEqual", "").count(f"Than({column},") for p in pushed) == bounds
+
+
+@pytest.mark.parametrize("name, scans", [("target_per_case", 2), ("in_out_ratio_weighted", 8), ("coverage_by_geo", 3), ("duration_share", 8)])
+def test_inputs_are_not_computed_twice(spark, name, scans):
+    text = plan(entry.queries()[name](spark, FOLDER))
+    assert text.count("FileScan") <= scans
+    assert sum("lineitem.parquet" in line and "FileScan" in line for line in text.splitlines()) <= 1
+
+
+def test_bounds_of_dates_timestamps_and_numbers(spark):
+    df = spark.sql("""select id * 43200 as n, timestamp_seconds(id * 43200) as t, cast(timestamp_seconds(id * 43200) as timestamp_ntz) as z,
+                      date_from_unix_date(cast(id as int)) as d from range(10)""")
+    for bounds in ("()", "[)", "(]", "[]"):
+        for start, end in ((86400, 3 * 86400), (86401, 3 * 86400 + 5), (0, 0)):
+            inside = lambda s: (s >= start if bounds[0] == "[" else s > start) and (s <= end if bounds[1] == "]" else s < end)
+            for c in ("n", "t", "z"):
+                assert S.time_window(df, c, start, end, bounds).count() == sum(inside(i * 43200) for i in range(10)), (c, bounds, start)
+            assert S.time_window(df, "d", start, end, bounds).count() == sum(inside(i * 86400) for i in range(10)), (bounds, start)
+
+
 def test_wildcard_join_hashes_on_three_keys(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
