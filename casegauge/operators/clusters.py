@@ -11,6 +11,7 @@ from casegauge.functions.metrics import class_map, split_by_class
 from casegauge.functions.text import EMPTY_LIST
 from casegauge.operators.joins import distance_join, explode_join
 from casegauge.operators.lists import first_items, items_with_totals, joined_lists
+from casegauge.operators.nearby import nearby_sums
 from casegauge.operators.spread import split_join
 
 NEAR_MILES, SAME_COUNTRY_MILES = 500.0, 1000.0
@@ -98,18 +99,12 @@ def region_sites(regions: DataFrame) -> DataFrame:
 
 def attach_public(clusters: DataFrame, regions: DataFrame, miles: float = NEAR_MILES) -> DataFrame:
     """Public regions near the centroid: capacity, vips and count; a cluster without any keeps its
-    row with zeros. Regions are summed to sites first, so co-located ones do not form pairs."""
+    row with zeros. Whole cells of clusters and regions are matched, so neither crowded regions nor crowded
+    clusters form pairs."""
     sites = region_sites(regions.where(F.col("private") == 0))
-    pos = clusters.select("region_list", F.col("cl_lat").alias("lat"), F.col("cl_lon").alias("lon"))
-    near = distance_join(pos, sites, miles)
-    sums = near.groupBy("region_list").agg(
-        F.sum("site_bit").alias("_bit"), F.sum("site_flit").alias("_flit"), F.sum("site_vips").alias("_vips"),
-        F.sum("site_regions").alias("_n"))
-    zero = lambda c, kind: F.coalesce(F.col(c), F.lit(0).cast(kind))
-    return clusters.join(sums, "region_list", "left").select(
-        *clusters.columns, F.round(zero("_bit", "double"), 3).alias("pub_bit_gbps"),
-        F.round(zero("_flit", "double"), 3).alias("pub_flit_gbps"), zero("_vips", "long").alias("pub_vips"),
-        zero("_n", "long").alias("pub_nreg"))
+    sums = {"pub_bit_gbps": "site_bit", "pub_flit_gbps": "site_flit", "pub_vips": "site_vips", "pub_nreg": "site_regions"}
+    out = nearby_sums(clusters, sites, miles, sums, ("cl_lat", "cl_lon"))
+    return out.withColumns({c: F.round(c, 3) for c in ("pub_bit_gbps", "pub_flit_gbps")})
 
 
 def public_pairs(clusters: DataFrame, regions: DataFrame, miles: float = NEAR_MILES) -> DataFrame:
