@@ -1,6 +1,6 @@
 """Quality and toxicity of documents by hierarchical empirical Bayes.
 
-A logistic model over words and word shapes, fitted on labelled rows, gives each document's evidence. Sites
+A logistic model over words, their beginnings and word shapes, fitted on labelled rows, gives each document's evidence. Sites
 are hosts and, within them, paths. Grouped aggregation over all documents gives the expected number of good
 (or toxic) documents of each site; host rates are shrunk toward the global rate and path rates toward their
 host's, with strengths estimated from the spread of the rates (moments), so that sparse sites carry little
@@ -13,7 +13,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Callable, Container, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,7 @@ MAX_LABELS = 20_000  # labelled rows that fit the model: those with the smallest
 TRAIN_TASKS = 8  # each iteration sends the weights once per task
 HEADS = ("quality", "toxic")
 LEVELS = (0.02, 0.1, 0.3)  # shares of the tokens
+PREFIXES, TIMES = (5, 7), (1, 2, 4)  # letters of a longer word's beginning, and how often it is met
 WORD_CACHE = 200_000
 PASSAGE = 200  # tokens of a passage of a long text; passages overlap by half
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -46,38 +47,51 @@ def shape(token: str) -> str:
     return _RUNS.sub(r"\1+", look)[:12].replace("A+a+", "a+").replace("Aa+", "a+")
 
 
+def beginnings(words: Sequence[str]) -> list[str]:
+    """The beginnings of longer words, by which forms of one word are known."""
+    return [f"{k} {w[:k]}" for w in words for k in PREFIXES if len(w) > k]
+
+
 class _Features(dict):
-    """The keys of a token: one for each of its words, and its look. With `known`, other keys are left out."""
+    """The keys of a token: one for each of its words, its look, and the beginnings of its words."""
 
-    def __init__(self, known: Container[int] | None = None):
+    def __init__(self):
         super().__init__()
-        self.known, self.levels = known, {}
-        self.repeats = self._kept(f"r{level}" for level in LEVELS)
-
-    def _kept(self, names: Iterable[str]) -> list[int | None]:
-        keys = map(_key, names)
-        return [k if self.known is None or k in self.known else None for k in keys]
+        self.levels: dict[str, list[int]] = {}
+        self.repeats = [_key(f"r{level}") for level in LEVELS]
 
-    def __missing__(self, token: str) -> tuple[tuple[int, ...], str]:
+    def __missing__(self, token: str) -> tuple[tuple[int, ...], str, list[str]]:
         if len(self) >= WORD_CACHE:
             self.clear()
-        words = self._kept("w " + w for w in _LETTERS.findall(token.lower()))
-        found = self[token] = (tuple(k for k in words if k is not None), shape(token))
+        words = _LETTERS.findall(token.lower())
+        found = self[token] = (tuple(_key("w " + w) for w in words), shape(token), beginnings(words))
         return found
 
-    def _look(self, look: str) -> list[int | None]:
+    def _look(self, look: str) -> list[int]:
         if len(self.levels) >= WORD_CACHE:
             self.levels.clear()
-        found = self.levels[look] = self._kept(["s " + look, *(f"s{level} {look}" for level in LEVELS)])
+        found = self.levels[look] = [_key(x) for x in ("s " + look, *(f"s{level} {look}" for level in LEVELS))]
         return found
 
+    def _met(self, tokens: list[str]) -> Counter:
+        """How often beginnings are met: in a long text, in the passage that has most of each, so that a long text does not
+        add up chance finds."""
+        half = PASSAGE // 2
+        if len(tokens) <= PASSAGE:
+            return Counter(b for t in tokens for b in self[t][2])
+        blocks = [Counter(b for t in tokens[i:i + half] for b in self[t][2]) for i in range(0, len(tokens), half)]
+        most = Counter()
+        for first, second in zip(blocks, blocks[1:]):
+            most |= first + second
+        return most
+
     def of(self, tokens: list[str]) -> set[int]:
-        """Keys that a text switches on: its words, the looks of its tokens and how common they are, and how often
-        a token follows itself."""
-        keys: set[int | None] = set()
+        """Keys that a text switches on: its words, the looks of its tokens and how common they are, how often
+        a token follows itself, and how often words begin alike."""
+        keys: set[int] = set()
         looks: dict[str, int] = {}
         for token, times in Counter(tokens).items():
-            words, look = self[token]
+            words, look, _ = self[token]
             if words:
                 keys.update(words)
             looks[look] = looks.get(look, 0) + times
@@ -89,40 +103,156 @@ class _Features(dict):
         again = sum(map(str.__eq__, tokens, tokens[1:]))
         if again:
             keys.update(key for key, level in zip(self.repeats, LEVELS) if again >= level * n)
-        keys.discard(None)
+        keys.update(_key(f"b{times} {b}") for b, k in self._met(tokens).items() for times in TIMES if k >= times)
         return keys
 
 
-def _passages(tokens: list[str]) -> Iterator[list[str]]:
-    """The passages of a long text; a passage of half the length lies whole in one of them."""
-    step = PASSAGE // 2
-    for at in range(0, max(1, len(tokens) - step), step):
-        yield tokens[at:at + PASSAGE]
+class _Classes(dict):
+    """Characters as the signs of a look, for str.translate."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        found = self[code] = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
+        return found
+
+
+class _Kinds(dict):
+    """The kind of a token: which weighted words and beginnings it has, and which weighted look. Most tokens are of few kinds.
+
+    When the memory is full it becomes the older half, from which tokens still in use come back. Kinds are numbered as they
+    appear; `tidy`, between texts, forgets them all when there are too many."""
+
+    def __init__(self, weights: dict[int, tuple[float, float]]):
+        super().__init__()
+        self.weights, self.classes, self.older = weights, _Classes(), {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.older, self.signs, self.places, self.numbers, self.begins = {}, {}, {}, {}, {}
+        self.words: list[tuple[int, ...]] = []  # of a kind: keys
+        self.looks: list[int] = []  # of a kind: place in look_weights, 0 for a look without weights
+        self.starts: list[tuple[str, ...]] = []  # of a kind: beginnings with weights
+        self.look_weights = [((0.0, 0.0),) * (1 + len(LEVELS))]
+
+    def tidy(self) -> None:
+        if max(len(self.words), len(self.signs), len(self.begins)) > WORD_CACHE:
+            self.forget()
+
+    def _look(self, signs: str) -> int:
+        look = _RUNS.sub(r"\1+", signs)[:12].replace("A+a+", "a+").replace("Aa+", "a+")
+        if look not in self.places:
+            names = ["s " + look, *(f"s{level} {look}" for level in LEVELS)]
+            rows = tuple(self.weights.get(_key(x), (0.0, 0.0)) for x in names)
+            self.places[look] = 0
+            if any(map(any, rows)):
+                self.places[look] = len(self.look_weights)
+                self.look_weights.append(rows)
+        return self.places[look]
+
+    def __missing__(self, token: str) -> int:
+        kind = self.older.get(token)
+        if kind is None:
+            signs = token.translate(self.classes)
+            look = self.signs.get(signs)
+            if look is None:
+                look = self.signs[signs] = self._look(signs)
+            words = _LETTERS.findall(token.lower())
+            keys = {_key("w " + w) for w in words}
+            starts = tuple(b for b in beginnings(words) if any(map(any, self.begin_weights(b))))
+            kind = self._number((tuple(sorted(keys & self.weights.keys())), look, starts))
+        if len(self) >= WORD_CACHE:
+            self.older = self.copy()
+            self.clear()
+        self[token] = kind
+        return kind
+
+    def begin_weights(self, beginning: str) -> tuple[tuple[float, float], ...]:
+        found = self.begins.get(beginning)
+        if found is None:
+            rows = tuple(self.weights.get(_key(f"b{times} {beginning}"), (0.0, 0.0)) for times in TIMES)
+            found = self.begins[beginning] = rows if any(map(any, rows)) else ()
+        return found
+
+    def _number(self, what: tuple[tuple[int, ...], int, tuple[str, ...]]) -> int:
+        found = self.numbers.get(what)
+        if found is None:
+            found = self.numbers[what] = len(self.words)
+            for listed, value in zip((self.words, self.looks, self.starts), what):
+                listed.append(value)
+        return found
 
 
 class _Scorer:
     """The log odds of texts. A long text is as good as its passages on average, and as toxic as its worst passage
-    (or the whole, if the signs are spread over it)."""
+    (or the whole, if the signs are spread over it). A passage of half the length lies whole in one of them, as passages
+    begin every half length.
 
-    def __init__(self, weights: dict[str, tuple[dict[int, float], float]]):
-        self.bias = [weights[h][1] for h in HEADS]
-        self.weights = {k: tuple(weights[h][0].get(k, 0.0) for h in HEADS) for k in set().union(*(weights[h][0] for h in HEADS))}
-        self.features = _Features(self.weights)
+    A text's tokens are looked up once. Passages are pairs of neighbouring half passages, so their counts are sums of
+    two columns of a small table: kinds of tokens by half passages."""
 
-    def _sums(self, tokens: list[str]) -> tuple[float, float]:
-        good, bad = self.bias
-        for k in sorted(self.features.of(tokens)):
-            w = self.weights[k]
-            good, bad = good + w[0], bad + w[1]
-        return good, bad
+    def __init__(self, weights: dict[str, tuple[dict[int, float], float]]):
+        self.bias = np.array([weights[h][1] for h in HEADS])
+        known = set().union(*(weights[h][0] for h in HEADS))
+        self.weights = {k: tuple(weights[h][0].get(k, 0.0) for h in HEADS) for k in known}
+        self.again = [self.weights.get(_key(f"r{level}"), (0.0, 0.0)) for level in LEVELS]
+        self.kinds = _Kinds(self.weights)
+
+    def _sums(self, counts: np.ndarray, kinds: list[int], sizes: np.ndarray, again: np.ndarray) -> np.ndarray:
+        """Log odds by column: counts of kinds, tokens, and tokens that follow themselves. The last of several columns is the
+        whole text, whose beginnings count as in the passage that has most of them."""
+        out = np.repeat(self.bias[None, :], len(sizes), axis=0)
+        met: dict[int, np.ndarray] = {}
+        looks: dict[int, np.ndarray] = {}
+        starts: dict[str, np.ndarray] = {}
+        for row, kind in zip(counts, kinds):
+            for word in self.kinds.words[kind]:
+                met[word] = met[word] | (row > 0) if word in met else row > 0
+            look = self.kinds.looks[kind]
+            if look:
+                looks[look] = looks[look] + row if look in looks else row
+            for start in self.kinds.starts[kind]:
+                starts[start] = starts[start] + row if start in starts else row
+        for word in sorted(met):
+            out += met[word][:, None] * np.array(self.weights[word])
+        for look in sorted(looks):
+            own, *levels = self.kinds.look_weights[look]
+            out += (looks[look] > 0)[:, None] * np.array(own)
+            for level, weight in zip(LEVELS, levels):
+                out += (looks[look] >= level * sizes)[:, None] * np.array(weight)
+        for start in sorted(starts):
+            row = starts[start]
+            if len(row) > 1:
+                row = np.append(row[:-1], row[:-1].max())
+            for times, weight in zip(TIMES, self.kinds.begin_weights(start)):
+                out += (row >= times)[:, None] * np.array(weight)
+        for level, weight in zip(LEVELS, self.again):
+            out += ((again > 0) & (again >= level * sizes))[:, None] * np.array(weight)
+        return out
 
     def evidence(self, text: str) -> tuple[float, float]:
-        tokens = text.split()
-        good, bad = self._sums(tokens)
-        if len(tokens) <= PASSAGE:
-            return good, bad
-        parts = [self._sums(p) for p in _passages(tokens)]
-        return sum(p[0] for p in parts) / len(parts), max(bad, *(p[1] for p in parts))
+        tokens, half = text.split(), PASSAGE // 2
+        n = len(tokens)
+        self.kinds.tidy()
+        of = np.fromiter(map(self.kinds.__getitem__, tokens), np.int64, n)
+        kinds, place = np.unique(of, return_inverse=True)
+        same = np.fromiter(map(str.__eq__, tokens, tokens[1:]), bool, max(0, n - 1))
+        listed = kinds.tolist()
+        if n <= PASSAGE:
+            whole = np.bincount(place, minlength=len(listed))[:, None]
+            return tuple(self._sums(whole, listed, np.array([n]), np.array([same.sum()]))[0].tolist())
+        blocks = -(-n // half)
+        table = np.bincount(place * blocks + np.arange(n) // half, minlength=len(listed) * blocks).reshape(len(listed), blocks)
+        starts = np.arange(0, n - half, half)
+        ends = np.minimum(starts + PASSAGE, n)
+        first = starts // half
+        parts = table[:, first] + table[:, first + 1]
+        before = np.concatenate([[0], np.cumsum(same)])
+        again = before[ends - 1] - before[starts]
+        # The whole text stands in the last column.
+        sums = self._sums(np.concatenate([parts, table.sum(axis=1, keepdims=True)], axis=1), listed,
+                          np.append(ends - starts, n), np.append(again, same.sum()))
+        return float(sums[:-1, 0].mean()), float(sums[:, 1].max())
 
 
 def _switches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +346,8 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     `host` and `path` default to the columns source and lang; null ones are sites of their own. A null text is empty. Labels
     that are null or not 0 or 1 do not count; labels of unknown documents are ignored; without usable labels all
-    evidence is constant and nothing is rejected. Repeated rows count one by one. An empty table gives an empty
+    evidence is constant and nothing is rejected. Repeated rows count one by one; of a document labelled twice both
+    labels are used. An empty table gives an empty
     result. `carry` names the columns passed on (None: all); a result column replaces an input column of its name."""
     spark = docs.sparkSession
     host = docs["source"] if host is None else host

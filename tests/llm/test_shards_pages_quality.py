@@ -1,3 +1,4 @@
+import math
 import random
 import re
 import zlib
@@ -143,6 +144,75 @@ def test_held_out_accuracy(spark):
     assert right >= 0.97 * len(out)
     clean = [r for r in out if r.quality == 1 and r.toxic == 0]
     assert sum(r.rejected for r in clean) <= 0.01 * len(clean)
+    toxic = [r for r in out if r.toxic == 1]
+    assert len(toxic) >= 20 and sum(r.rejected for r in toxic) >= 0.9 * len(toxic)
+
+
+def plain_evidence(text, weights):
+    """Features of whole texts and of passages as sets, added up one by one."""
+    features, tokens = quality._Features(), text.split()
+    score = lambda part, h: weights[h][1] + sum(weights[h][0].get(k, 0.0) for k in features.of(part))
+    if len(tokens) <= quality.PASSAGE:
+        return score(tokens, "quality"), score(tokens, "toxic")
+    step = quality.PASSAGE // 2
+    parts = [tokens[i:i + quality.PASSAGE] for i in range(0, len(tokens) - step, step)]
+    return sum(score(p, "quality") for p in parts) / len(parts), max([score(tokens, "toxic")] + [score(p, "toxic") for p in parts])
+
+
+def test_scores_equal_plain_sums(spark, documents):
+    rng = random.Random(7)
+    texts = [r.text or "" for r in documents.collect()] + ["", " ", "a " * 450, "WOW!! " * 199, "x1 y2 " * 100 + "z", "é É ß 12 12 12"]
+    tokens = sorted({t for x in texts for t in x.split()})
+    names = [f"r{v}" for v in quality.LEVELS]
+    for t in rng.sample(tokens, 1500):
+        look = quality.shape(t)
+        words = quality._LETTERS.findall(t.lower())
+        names += [f"b{k} {b}" for b in quality.beginnings(words) for k in quality.TIMES if rng.random() < 0.5]
+        names += ["w " + w for w in words] + ["s " + look] * (rng.random() < 0.3) + [f"s{v} {look}" for v in quality.LEVELS if rng.random() < 0.3]
+    weights = {h: ({quality._key(n): rng.uniform(-1, 1) for n in names if rng.random() < 0.8}, rng.uniform(-1, 1)) for h in quality.HEADS}
+    scorer = quality._Scorer(weights)
+    for text in texts + [" ".join(rng.choices(tokens, k=rng.randint(150, 1300))) for _ in range(60)]:
+        assert scorer.evidence(text) == pytest.approx(plain_evidence(text, weights), abs=1e-9)
+
+
+def test_priors_equal_a_plain_computation(spark, documents, labels):
+    """Rates and strengths of hosts and paths from the evidence, one document at a time."""
+    rows = quality.judged(documents, labels).collect()
+    p = {h: [1 / (1 + math.exp(-max(-30.0, min(30.0, r[f"evidence_{h}"])))) for r in rows] for h in quality.HEADS}
+    for h in quality.HEADS:
+        hosts, paths = {}, {}
+        for r, x in zip(rows, p[h]):
+            for group, key in ((hosts, r.host), (paths, (r.host, r.path))):
+                group.setdefault(key, []).append(x)
+        base = (sum(p[h]) + 0.5) / (len(rows) + 1)
+
+        def strength(groups, toward):
+            beyond = most = 0.0
+            for k, xs in groups.items():
+                n, rate = len(xs), min(1 - 1e-4, max(1e-4, toward(k)))
+                if n > 1:
+                    beyond += (sum(xs) - n * rate) ** 2 - n * rate * (1 - rate)
+                    most += n * (n - 1) * rate * (1 - rate)
+            if most <= 0 or beyond <= 0:
+                return 1e6
+            share = min(max(beyond / most, 1e-6), 0.99)
+            return (1 - share) / share
+
+        up = strength(hosts, lambda k: base)
+        host_rate = lambda k: (sum(hosts[k]) + up * base) / (len(hosts[k]) + up)
+        down = strength(paths, lambda k: host_rate(k[0]))
+        for r, x in zip(rows, p[h]):
+            at, own = hosts[r.host], paths[r.host, r.path]
+            upper = (sum(at) - x + up * base) / (len(at) - 1 + up)
+            site = min(1 - 1e-6, max(1e-6, (sum(own) - x + down * upper) / (len(own) - 1 + down)))
+            odds = r[f"evidence_{h}"] - math.log(base / (1 - base)) + math.log(site / (1 - site))
+            assert r[f"site_{h}"] == pytest.approx(site, rel=1e-6) and r[f"p_{h}"] == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, odds)))), rel=1e-6, abs=1e-9)
+
+
+def test_repeated_labels_and_rows(spark, documents, labels):
+    """A label that stands twice counts twice in the fit; every row of the documents is judged."""
+    out = quality.judged(documents.union(documents.limit(5)), labels.union(labels))
+    assert out.count() == documents.count() + 5 and out.where("p_quality is null or p_toxic is null").count() == 0
 
 
 def test_sites_are_shrunk(spark):
