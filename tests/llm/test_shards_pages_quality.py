@@ -114,6 +114,42 @@ def test_only_whole_names_hint_at_furniture():
     assert main_text("<body><article>" + "".join(parts) + "</article>" + talk + "</body>") == want
 
 
+@pytest.mark.parametrize("name", ["comments-area", "comment-list", "share-buttons", "related-posts", "social-links", "newsletter-signup", "sidebar-left", "comments"])
+def test_parts_of_an_article_that_are_not_its_text(name):
+    beside = f"<div class='{name}'><p>Tweet this, now.</p><ul><li>First! A long comment, which goes on, and on.</li></ul></div>"
+    for around in ("<article>%s</article>", "<div id='story'>%s</div>"):
+        assert main_text(PAGE % (around % (BODY + beside))) == WANT
+
+
+MENU = "".join(f"<{{0}}><a href='/{k}'>Topic {k}</a></{{0}}>" for k in range(6))
+PROSE = [f"Sentence {k}, of a page without a wrapper, goes on for a while; it has marks, and more of them." for k in range(6)]
+
+
+@pytest.mark.parametrize("menu", ["<ul>" + MENU.format("li") + "</ul>", MENU.format("div"), MENU.format("span"), "<p>" + MENU.format("b") + "</p>"])
+def test_menus_on_pages_without_a_wrapper(menu):
+    page = "<body>" + menu + "<h1>The title</h1>" + "".join(f"<p>{x}</p>" for x in PROSE) + "<p>Short.</p>" + menu + "</body>"
+    assert main_text(page) == "\n".join(["The title", *PROSE, "Short."])
+
+
+def test_the_scores_decide(monkeypatch):
+    """With constant scores other elements, classes and links are taken."""
+    pages = ["<body>" + "<ul>" + MENU.format("li") + "</ul>" + "".join(f"<p>{x}</p>" for x in PROSE) + "</body>",
+             "<body><dl>" + "<dd>Label</dd>" * 30 + "</dl><div id='b'>" + "".join(f"<p>{x}</p>" for x in PROSE) + "</div><dl><dd>one</dd><dd>two</dd></dl></body>",
+             "<body><div class='widget'>" + "".join(f"<p>{x}</p>" for x in PROSE) + "</div><table>" + "<tr><td>12</td><td>Cell</td></tr>" * 60 + "</table></body>"]
+    scored = [main_text(p) for p in pages]
+    assert all(t == "\n".join(PROSE) for t in scored)
+    monkeypatch.setattr("casegauge.llm.main_text._scores", lambda nodes: __import__("numpy").ones(len(nodes)))
+    assert all(main_text(p) != t for p, t in zip(pages, scored))
+
+
+@pytest.mark.parametrize("open_", ["<font>x", "<div>x", "<center>x ", "<p><center><b>x", "<li>x", "<a href='#'>x", "<div class='ad'>x", "<article>x", "</p>x<u>", "<td>x"])
+def test_time_grows_with_the_page(open_):
+    import time
+    start = time.process_time()
+    main_text(open_ * 100_000)
+    assert time.process_time() - start < 30
+
+
 def test_pages_of_the_table(spark):
     """The tables' pages hold one article element of headings and paragraphs."""
     import html
