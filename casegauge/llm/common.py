@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 from collections.abc import Iterator, Sequence
 from pathlib import Path
@@ -13,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from casegauge.session import scratch_dir
 
+PART = 500  # rows that a worker handles at once
 WORD_CACHE = 300_000  # entries of a worker's word cache; it is emptied when full
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -129,6 +132,17 @@ def covered(n: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.cumsum(steps[:n]) > 0
 
 
+def in_parts(batches: Iterator[pa.RecordBatch], rows: int = PART) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of few rows: what a worker makes of a part is handed on before the next one. At the end, memory
+    that is free is given back: workers live on and serve other operators."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # only where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def texts_of(batch: pa.RecordBatch, name: str) -> Iterator[bytes]:
     """The values of a binary column one by one, null as empty."""
     for value in batch.column(name):

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from casegauge.llm.common import Spans, WordHashes, covered, packed, text_bytes, texts_of, unpacked, with_columns
+from casegauge.llm.common import Spans, WordHashes, covered, in_parts, packed, stored, text_bytes, texts_of, unpacked, with_columns
 
 WINDOW = 10
 BLOCK_BYTES = 32 << 20  # window bytes of a broadcast block, before Python's overhead
@@ -43,10 +43,10 @@ def _cut(size: int) -> Callable:
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", size: int = WINDOW) -> DataFrame:
-    """Distinct windows (`length` in words, `window`) with the items that hold them."""
+    """Distinct windows with the items that hold them: one row for each `length` (in words), `window` and `item`."""
     items = packed(benchmark, [], item=F.coalesce(benchmark[id_col].cast("string"), F.lit("")), text=text_bytes(benchmark[text_col]))
     cut = items.select("item", "text").mapInArrow(_cut(size), "item string, length int, window binary")
-    return cut.groupBy("length", "window").agg(F.collect_set("item").alias("items"))
+    return cut.select("length", "window", "item").distinct()
 
 
 class _Index:
@@ -82,7 +82,7 @@ class _Index:
 def _scan(shared) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _Index(shared.value)
-        for batch in batches:
+        for batch in in_parts(batches):
             n, hits, items = [], [], []
             for text in texts_of(batch, "text"):
                 w = words(text)
@@ -94,17 +94,20 @@ def _scan(shared) -> Callable:
 
 
 def _blocks(windows: DataFrame, block_bytes: int) -> Iterator[list]:
-    """The windows in lists of bounded size, read partition by partition."""
-    block, used = [], 0
+    """The windows in lists of bounded size, read partition by partition. A window of many items may be in several."""
+    block: dict[tuple[int, bytes], list[str]] = {}
+    used = 0
+    listed = lambda: [(length, window, items) for (length, window), items in block.items()]
     for r in windows.toLocalIterator():
-        size = len(r.window) + sum(map(len, r.items)) + 64
+        key = (r.length, bytes(r.window))
+        size = len(r.item) + 16 + (0 if key in block else len(r.window) + 64)
         if block and used + size > block_bytes:
-            yield block
-            block, used = [], 0
-        block.append((r.length, bytes(r.window), r.items))
+            yield listed()
+            block, used = {}, 0
+        block.setdefault(key, []).append(r.item)
         used += size
     if block:
-        yield block
+        yield listed()
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
@@ -116,22 +119,30 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     A null text has no words. An item of fewer words than a window is one window, an item without words
     is none; a null item identifier is an empty string. With an empty benchmark nothing is hit. Repeated rows
     are judged one by one, and item identifiers that repeat count once. `carry` names the columns passed on
-    (None: all); a result column replaces an input column of its name."""
+    (None: all); a result column replaces an input column of its name.
+
+    One block of windows is broadcast at a time: while more follow, the rows with what was found so far are stored and the
+    block is given up."""
     spark = docs.sparkSession
     found = [F.lit(0).cast("long").alias("n_words"), F.array(F.lit(True)).alias("hits"), F.array(F.lit("")).alias("items")]
 
-    def scan(df: DataFrame, block: list) -> DataFrame:
-        return df.mapInArrow(_scan(spark.sparkContext.broadcast(block)), df.select("*", *found).schema)
-
     blocks = _blocks(benchmark_windows(benchmark, item_col, item_text, size), block_bytes)
-    result = scan(packed(docs, carry, text=text_bytes(docs[text_col])), next(blocks, []))
-    for block in blocks:
-        old = result.withColumnsRenamed({"n_words": "old_n", "hits": "old_hits", "items": "old_items"})
-        result = scan(old, block).select(
-            "row", "text", "n_words",
-            F.when(F.size("old_hits") == 0, F.col("hits")).when(F.size("hits") == 0, F.col("old_hits"))
-            .otherwise(F.zip_with("old_hits", "hits", lambda a, b: a | b)).alias("hits"),
-            F.array_sort(F.array_union("old_items", "items")).alias("items"))
+    result, block = packed(docs, carry, text=text_bytes(docs[text_col])), next(blocks, [])
+    while block is not None:
+        shared = spark.sparkContext.broadcast(block)
+        if "hits" in result.columns:
+            result = result.withColumnsRenamed({"n_words": "old_n", "hits": "old_hits", "items": "old_items"})
+        result = result.mapInArrow(_scan(shared), result.select("*", *found).schema)
+        if "old_hits" in result.columns:
+            result = result.select(
+                "row", "text", "n_words",
+                F.when(F.size("old_hits") == 0, F.col("hits")).when(F.size("hits") == 0, F.col("old_hits"))
+                .otherwise(F.zip_with("old_hits", "hits", lambda a, b: a | b)).alias("hits"),
+                F.array_sort(F.array_union("old_items", "items")).alias("items"))
+        block = next(blocks, None)
+        if block is not None:
+            result = stored(result, "scanned")
+            shared.destroy()
     n_hit = F.size(F.filter("hits", lambda x: x)).cast("long")
     return unpacked(result, carry, docs.columns, n_words=F.col("n_words"), hits=F.col("hits"), n_hit=n_hit, items=F.col("items"),
                     n_items=F.size("items").cast("long"), contaminated=n_hit > 0)
@@ -140,7 +151,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without their hit words: from each hit run, the characters from its first to its last word go."""
     word = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
-    for batch in batches:
+    for batch in in_parts(batches):
         out = []
         for text, hits in zip(texts_of(batch, "text"), batch.column("hits").to_pylist()):
             if hits:

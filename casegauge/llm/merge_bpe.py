@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from casegauge.llm.common import packed, text_bytes, texts_of, unpacked, with_columns
+from casegauge.llm.common import in_parts, packed, text_bytes, texts_of, unpacked, with_columns
 
 CACHE = 150_000  # entries in each half of a worker's memory
 LONGEST = 64  # bytes of the longest word that is remembered
@@ -223,7 +223,7 @@ def lists(rows: list[np.ndarray]) -> pa.Array:
 def _round_trip(path: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = BytePairs.of(path)
-        for batch in batches:
+        for batch in in_parts(batches):
             ids = [model.encode(raw) for raw in texts_of(batch, "text")]
             texts = [model.decode(i.tolist()) for i in ids]
             yield with_columns(batch, ["text"], ids=lists(ids), decoded=pa.array(texts, pa.string()))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from casegauge.llm.buckets import hub_rounds, merged, shared_buckets
-from casegauge.llm.common import Spans, WordHashes, as_signed, mixed, packed, stored, text_bytes, texts_of, unpacked, with_columns
+from casegauge.llm.common import Spans, WordHashes, as_signed, in_parts, mixed, packed, stored, text_bytes, texts_of, unpacked, with_columns
 from casegauge.llm.set_blocks import block_links
 from casegauge.operators.spread import split_join
 
@@ -76,7 +76,7 @@ class Minima:
 def _signatures(size: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, minima = WordHashes(), Minima()
-        for batch in batches:
+        for batch in in_parts(batches):
             n, key, buckets, bits = [], [], [], []
             for text in texts_of(batch, "text"):
                 s = shingles(text, cache, size)
@@ -96,7 +96,7 @@ def _sets(size: int, field) -> Callable:
     """The full sets of the texts whose content is in the field."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, words = WordHashes(), np.frombuffer(field.value, np.uint64)
-        for batch in batches:
+        for batch in in_parts(batches):
             content = np.asarray(batch.column("content").to_numpy(zero_copy_only=False)).view(np.uint64)
             at = content & np.uint64(FIELD - 1)
             held = (words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)

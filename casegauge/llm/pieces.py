@@ -23,7 +23,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 from sentencepiece import sentencepiece_model_pb2 as proto
 
-from casegauge.llm.common import packed, text_bytes, texts_of, unpacked, with_columns
+from casegauge.llm.common import in_parts, packed, text_bytes, texts_of, unpacked, with_columns
 
 MARK = "▁"
 CACHE = 350_000  # words in each half of a worker's memory
@@ -299,7 +299,7 @@ class Pieces:
 def _round_trip(path: str, end: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Pieces.of(path)
-        for batch in batches:
+        for batch in in_parts(batches):
             ids, texts = [], []
             for raw in texts_of(batch, "text"):
                 got = model.encode(raw.decode("utf-8", "replace"), end)

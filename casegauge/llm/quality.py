@@ -22,7 +22,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F
 
-from casegauge.llm.common import packed, stored, text_bytes, texts_of, unpacked, with_columns, workers_find_package
+from casegauge.llm.common import in_parts, packed, stored, text_bytes, texts_of, unpacked, with_columns, workers_find_package
 
 PENALTY = 0.03  # of the absolute weights; divided by the root of the number of labels, as chance finds fall with it
 MAX_LABELS = 20_000  # labelled rows that fit the model: those with the smallest hashes of their identifier
@@ -257,7 +257,7 @@ class _Scorer:
 
 def _switches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     features = _Features()
-    for batch in batches:
+    for batch in in_parts(batches):
         slots = [sorted(features.of(t.decode("utf-8", "replace").split())) for t in texts_of(batch, "text")]
         yield with_columns(batch, ["text"], slots=pa.array(slots, pa.list_(pa.int64())))
 
@@ -265,7 +265,7 @@ def _switches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _evidence(shared) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(shared.value)
-        for batch in batches:
+        for batch in in_parts(batches):
             found = [scorer.evidence(t.decode("utf-8", "replace")) for t in texts_of(batch, "text")]
             yield with_columns(batch, ["text"], **{h: pa.array([f[i] for f in found], pa.float64()) for i, h in enumerate(HEADS)})
     return run

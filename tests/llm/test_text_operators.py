@@ -43,6 +43,20 @@ def test_contamination_matches_brute_force(spark, block):
     assert got == expected(TEXTS, ITEMS)
 
 
+def test_one_window_in_many_items(spark):
+    """Items of a window are rows, whatever their number; blocks are scanned one after the other."""
+    passage = " ".join(f"s{i}" for i in range(10))
+    items = [(i, passage) for i in range(300)] + [(1000, passage + " tail"), (2000, "other words, that nobody has written so far in any of these texts")]
+    texts = [(1, "in front " + passage + " and behind"), (1, "in front " + passage + " and behind"), (2, "s0 s1 s2"), (3, passage + " tail")]
+    docs, bench = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string").repartition(5)
+    assert decontaminate.benchmark_windows(bench).groupBy("window").count().agg(F.max("count")).first()[0] == 301
+    for block in (decontaminate.BLOCK_BYTES, 2_000, 100):
+        rows = decontaminate.contamination(docs, bench, block_bytes=block).collect()
+        got = sorted((r.doc_id, r.n_hit, r.n_items) for r in rows)
+        assert got == [(1, 10, 301), (1, 10, 301), (2, 0, 0), (3, 11, 301)]
+        assert next(r["items"] for r in rows if r.doc_id == 1) == sorted(map(str, [*range(300), 1000]))
+
+
 def test_contamination_of_the_tables(spark, documents, benchmark_items):
     docs = [(r.doc_id, r.text) for r in documents.collect()]
     items = [(r.item_id, r.text) for r in benchmark_items.collect()]
