@@ -181,25 +181,80 @@ def test_repeats_odd_rows(spark):
 
 # --- line dedup
 
-def plain_lines(rows, distance=line_dedup.DISTANCE, similarity=line_dedup.SIMILARITY):
-    places, sims, norms = [], [], []
-    cache = line_dedup.WordHashes()
+def plain_words(line):
+    """Letters in lower case, digits as 0, all else as blanks."""
+    return "".join("0" if c.isdecimal() else c if c.isalnum() else " " for c in line.lower()).split()
+
+
+def plain_lines(rows, similarity=0.9, linked=None):
+    """All pairs of lines by edit similarity."""
+    places, norms = [], []
     for i, t in sorted(rows):
-        for k, words in enumerate(line_dedup.normalised_lines(t or "")):
-            if words:
-                places.append((i, k)), norms.append(" ".join(words))
-                sims.append(int(line_dedup._simhashes([[w.encode() for w in words]], cache)[0]))
+        for k, line in enumerate((t or "").split("\n")):
+            if plain_words(line):
+                places.append((i, k)), norms.append(" ".join(plain_words(line)))
     groups = plain.Union()
     for b in range(len(places)):
         groups.find(b)
         for a in range(b):
-            if norms[a] == norms[b] or (bin(sims[a] ^ sims[b]).count("1") <= distance and plain.edits(norms[a], norms[b])
-                                        <= int((1 - similarity) * max(len(norms[a]), len(norms[b])) + 1e-9)):
+            most = int((1 - similarity) * max(len(norms[a]), len(norms[b])) + 1e-9)
+            if norms[a] == norms[b] or (abs(len(norms[a]) - len(norms[b])) <= most and plain.edits(norms[a], norms[b]) <= most):
                 groups.join(a, b)
     gone = {places[x] for x in range(len(places)) if groups.find(x) != x}
     return {i: "\n".join(line for k, line in enumerate((t or "").split("\n")) if (i, k) not in gone) for i, t in rows}
 
 
+def test_edit_distance_of_lines():
+    rng = random.Random(6)
+    for _ in range(400):
+        a = "".join(rng.choice("abé ") for _ in range(rng.randint(0, 40)))
+        b = "".join(c for c in a if rng.random() < 0.9) if rng.random() < 0.5 else "".join(rng.choice("abé ") for _ in range(rng.randint(0, 40)))
+        want = plain.edits(a, b)
+        for most in (0, 1, 3, 10, 60):
+            assert line_dedup.edit_distance(a, b, most) == min(want, most + 1)
+
+
+def test_long_similar_lines_take_seconds():
+    import time
+    rng = random.Random(2)
+    a = [rng.choice("abcdefgh ") for _ in range(97_000)]
+    b = list(a)
+    for at in rng.sample(range(97_000), 300):
+        b[at] = "z"
+    start = time.process_time()
+    assert 0 < line_dedup.edit_distance("".join(a), "".join(b), 9_700) <= 300
+    assert time.process_time() - start < 30
+
+
+@pytest.mark.parametrize("words", [8, 12, 25, 50, 100])
+def test_recall_of_changed_lines(spark, documents, words):
+    """Lines of the tables' words with a word replaced, missing or added, or some letters changed, against plain edit
+    similarity: at least nine of ten are found."""
+    rng = random.Random(words)
+    own = sorted({w for r in documents.limit(60).collect() for w in plain_words(r.text)})
+    rows, similar = [], {}
+    for i in range(160):
+        change = ("replace", "delete", "insert", "letters")[i % 4]
+        line = rng.sample(own, words)
+        other, at = list(line), rng.randrange(words)
+        if change == "replace":
+            other[at] = rng.choice([w for w in own if len(w) <= 7])
+        elif change == "delete":
+            del other[at]
+        elif change == "insert":
+            other.insert(at, rng.choice(own))
+        else:
+            for k in rng.sample(range(words), max(1, words // 20)):
+                other[k] = other[k][:-1] + "q"
+        a, b = " ".join(line), " ".join(other)
+        if plain.edits(a, b) <= int(0.1 * max(len(a), len(b)) + 1e-9):
+            similar.setdefault(change, set()).add(2 * i + 1)
+        rows += [(2 * i, a), (2 * i + 1, b)]
+    found = {r.doc_id for r in line_dedup.lines_removed(spark.createDataFrame(rows, "doc_id long, text string")).where("n_removed = 1").collect()}
+    assert found <= set().union(*similar.values()) and len(similar) == 4
+    assert all(len(found & want) >= 0.9 * len(want) for want in similar.values())
+
+
 def test_lines_match_brute_force(spark):
     rng = random.Random(9)
     base = [" ".join(rng.choice("alpha beta gamma delta omega sigma kappa theta".split()) + str(rng.randrange(30)) for _ in range(rng.randrange(1, 40))) for _ in range(12)]
