@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
 from array import array
 from collections.abc import Callable, Iterator, Sequence
 
@@ -31,6 +32,15 @@ PAIR = 20  # bits of an id inside the key of a pair
 SIMPLE = re.compile("[!-~¡-ſ]+").fullmatch
 
 
+def _spelled_out(pattern: str) -> str:
+    """A pattern whose classes of letters and numbers, which stand in brackets, are listed for the simple characters."""
+    simple = [chr(c) for c in range(0x21, 0x180) if SIMPLE(chr(c))]
+    for name in "LN":
+        listed = "".join(re.escape(c) for c in simple if unicodedata.category(c)[0] == name)
+        pattern = pattern.replace(rf"\p{{{name}}}", listed)
+    return pattern
+
+
 class MergeTree:
     """The merges of a vocabulary: ranks and results by pair of ids."""
 
@@ -68,30 +78,32 @@ class MergeTree:
             new = ids[i] = made[low >> bits]
             ids[gone] = -1
             end = after[i] = after[gone]
-            changed = [(i, none)]
+            x = y = z = size + i  # the leaves that change: of the pair before, of this one, and of the one that disappears
             if end < n:
                 before[end] = i
                 r = rank.get(new << PAIR | ids[end])
-                if r is not None:
-                    changed[0] = (i, r << bits | i)
-                changed.append((gone, none))
+                tree[y] = none if r is None else r << bits | i
+                z = size + gone
+                tree[z] = none
+            else:
+                tree[y] = none
             first = before[i]
             if first >= 0:
                 r = rank.get(ids[first] << PAIR | new)
-                changed.append((first, none if r is None else r << bits | first))
-            for leaf, value in changed:
-                at = size + leaf
-                if tree[at] == value:
-                    continue
-                tree[at] = value
-                while at > 1:
-                    other = tree[at ^ 1]
-                    at >>= 1
-                    if other < value:
-                        value = other
-                    if tree[at] == value:
-                        break
-                    tree[at] = value
+                x = size + first
+                tree[x] = none if r is None else r << bits | first
+            while z > 1:  # mended together, level by level
+                x >>= 1
+                y >>= 1
+                z >>= 1
+                a, b = tree[2 * y], tree[2 * y + 1]
+                tree[y] = a if a < b else b
+                if x != y:
+                    a, b = tree[2 * x], tree[2 * x + 1]
+                    tree[x] = a if a < b else b
+                if z != y:
+                    a, b = tree[2 * z], tree[2 * z + 1]
+                    tree[z] = a if a < b else b
             low = tree[1]
         return [i for i in ids if i >= 0]
 
@@ -143,7 +155,7 @@ class BytePairs:
         self.inner, self.last = [vocab[c] for c in letters], [vocab[c + suffix] for c in letters]
         self.value = {c: b for b, c in enumerate(letters)}
         self.tree = MergeTree(vocab, [m.split(" ") if isinstance(m, str) else m for m in model["merges"]])
-        self.parts = regex.compile(split).findall
+        self.parts = re.compile(_spelled_out(split)).findall
         self.normalise, self.pretokens = self.library.normalizer.normalize_str, self.library.pre_tokenizer.pre_tokenize_str
         added = self.library.get_added_tokens_decoder()
         if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values()):
@@ -164,7 +176,8 @@ class BytePairs:
         pattern = steps[0]["pattern"].get("Regex")
         found = steps[0]["behavior"] == "Removed" and steps[0]["invert"] and pattern
         blank = found and any(re.search(r"\s", m) for m in regex.findall(pattern, "a b\n1  . \t'!\r\n\f\v x"))
-        return pattern if found and not blank else None
+        outside = found and r"\p" in re.sub(r"\[[^]]*\]", "", pattern)
+        return pattern if found and not blank and not outside else None
 
     @staticmethod
     def _known(spec: dict | None) -> bool:
