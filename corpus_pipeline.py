@@ -16,7 +16,8 @@ ORACLE_SQL = None  # a fitted classifier and near-duplicate components are not f
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of good quality that are not toxic. Null texts count as empty, null source and lang as sites of their own."""
+    """Documents of good quality that are not toxic. Null texts count as empty, null source and lang as sites of their own; repeated
+    rows are judged one by one; columns beside those of documents pass through, whatever their names."""
     return quality.accepted(docs, read_parquet(spark, sf_dir, "labels"))
 
 
@@ -27,17 +28,20 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five-word shingles, similarity 0.75) the one with the smallest doc_id; documents
-    without words all stay."""
+    without words, null texts among them, all stay, a null doc_id ranks behind all others, and of repeated rows with words one
+    stays. Other columns pass through, whatever their names."""
     return near_dedup.near_dedup(docs)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with the occurrences of benchmark windows taken out of their texts (n_chars stays as it was)."""
+    """All documents, repeated rows among them, with the occurrences of benchmark windows taken out of their texts (n_chars stays as
+    it was, a null text stays null). Other columns pass through, whatever their names."""
     return decontaminate.without_spans(docs, read_parquet(spark, sf_dir, "benchmark"))
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, number of tokens, token ids with an end id, and whether decoding gives the text back."""
+    """doc_id, number of tokens, token ids with an end id, and whether decoding gives the text back, for every row, repeated ones
+    too; a null text counts as empty. No rows give no rows."""
     out = pieces.encoded(docs, public_tokenizers.path("piece_bpe_32k.model"), carry=["doc_id", "text"])
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"))
