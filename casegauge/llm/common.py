@@ -30,7 +30,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     before = spark.conf.get(_TIDY, "false")
     spark.conf.set(_TIDY, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(_TIDY, before)
     return spark.read.schema(df.schema).parquet(path)

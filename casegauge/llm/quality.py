@@ -30,7 +30,7 @@ TRAIN_TASKS = 8  # each iteration sends the weights once per task
 HEADS = ("quality", "toxic")
 LEVELS = (0.02, 0.1, 0.3)  # shares of the tokens
 PREFIXES, TIMES = (5,), (2, 4)  # letters of a longer word's beginning, and how often it is met at least
-WORD_CACHE = 200_000
+WORD_CACHE = 50_000  # tokens, in each half of a memory
 PASSAGE = 200  # tokens of a passage of a long text; passages overlap by half
 _LETTERS = re.compile(r"[^\W\d_]+")
 _RUNS = re.compile(r"(.)\1+", re.S)
