@@ -300,3 +300,21 @@ def test_summaries_keep_null_groups_and_null_keys(spark):
     io = df.selectExpr("maprule", "geoname", "netname", "total_bps ra_load", "cast(total_bps as double) io", "cast(ping_bps as double) cpu")
     rows = {r.maprule: (r.ra_load_t95, r.case_count) for r in S.io_rollup_summary(io, counters=["ra_load"], ratios=["io"], mixed=["cpu"]).collect()}
     assert rows == {1: (None, 1), 2: (100, 1), None: (145, 2)}
+
+
+def test_clients_listed_twice_and_null_rules(spark):
+    """A repeated client counts its assignments twice; a null rule and a null type are groups of their own."""
+    row = lambda rule, region, d, kind="NS": ("u", 1, rule, kind, region, 1, 2 * d, 3 * d, d, d, d, 0.0, 0.0, d, 1, "EU", "X", 0.0, 0.0, d)
+    s = spark.createDataFrame([row(5, 10, 600.0), row(5, 11, 300.0), row(None, 10, 600.0, None)],
+                              "mpd_uuid string, mpgid int, mrid int, mpg_type string, region int, link int, min_s double, max_s double, min_r double, max_r double, ping double, "
+                              "local double, cont_fb double, mpd_dftime double, ecor int, continent string, country string, latitude double, longitude double, prp double")
+    cl = "mpgid int, nsip string, ns_demand double, ns_asnum int, ns_country string, ns_continent string, ns_lat double, ns_lon double, mpg_load double"
+    client = (1, "a", 2.0, 9, "X", "AS", 0.0, 1.0, None)
+    got = lambda rows, **o: {(r.nsip, r.mrid): r for r in assignment_stats(s, spark.createDataFrame(rows, cl), **o).collect()}
+    twice = got([client, client, (1, None, *client[2:])])
+    assert set(twice) == {("a", 5), ("a", None), (None, 5), (None, None)}
+    assert (twice["a", 5].regions, twice["a", 5].num_region_mapped, twice["a", 5].sum_dftime, twice["a", 5].listed) == ("10:10:11:11", 4, 1800.0, 4)
+    assert (twice[None, 5].regions, twice[None, 5].in_country_ratio, twice[None, 5].in_cont_ratio, twice[None, 5].avg_min_s) == ("10:11", 100.0, 0.0, 2.0)
+    assert twice["a", 5].mapping_entropy == pytest.approx(2 * twice[None, 5].mapping_entropy, abs=2e-6) and twice["a", 5].avg_distance == pytest.approx(69.17, abs=0.01)
+    normal = lambda ps: -sum(p * math.log(p) for p in ps)
+    assert got([client, client], normalise_entropy=True)["a", 5].mapping_entropy == pytest.approx(normal([1 / 3, 1 / 3, 1 / 6, 1 / 6]), abs=1e-6)

@@ -109,3 +109,21 @@ def test_aggregation_does_not_inherit_a_coarser_partitioning(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "hashpartitioning(l_suppkey" in p and any("l_returnflag" in x for x in p.splitlines() if "Exchange hashpartitioning" in x)
+
+
+def test_assignments_move_once(spark, tmp_path):
+    """Of the joins, groupings and lists of the statistics, one shuffle has the rows of the summary with their sums."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.maxToStringFields", "1000")
+    try:
+        text = plan(entry.queries()["assignment_stats"](spark, FOLDER))
+        narrow = plan(entry.queries()["mapping_entropy"](spark, FOLDER))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.maxToStringFields")
+    assert text.count("REPARTITION_BY_COL") == 1 and text.count("collect_list") >= 1
+    grouping = [line for line in text.splitlines() if "ObjectHashAggregate(" in line]
+    assert len(grouping) == 2 and all("keys=[_at" in line for line in grouping)
+    between = text[text.index(grouping[0]):text.index(grouping[1])]
+    assert "Exchange" not in between
+    assert "SortMergeJoin [mpd_uuid" not in text + narrow and "min_s" not in narrow
