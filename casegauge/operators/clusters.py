@@ -13,6 +13,7 @@ from casegauge.operators.joins import distance_join, explode_join
 from casegauge.operators.lists import first_items, items_with_totals, joined_lists
 from casegauge.operators.nearby import nearby_sums
 from casegauge.operators.spread import split_join
+from casegauge.sources.tables import stored
 
 NEAR_MILES, SAME_COUNTRY_MILES = 500.0, 1000.0
 MIN_LOAD = 0.0001
@@ -107,12 +108,17 @@ def attach_public(clusters: DataFrame, regions: DataFrame, miles: float = NEAR_M
     return out.withColumns({c: F.round(c, 3) for c in ("pub_bit_gbps", "pub_flit_gbps")})
 
 
-def public_pairs(clusters: DataFrame, regions: DataFrame, miles: float = NEAR_MILES) -> DataFrame:
+def public_pairs(clusters: DataFrame, regions: DataFrame, miles: float = NEAR_MILES, key: str = "region_list") -> DataFrame:
     """(cluster, region) pairs of the public regions near each centroid, found by their sites."""
     public = regions.where(F.col("private") == 0)
-    pos = clusters.select("region_list", F.col("cl_lat").alias("lat"), F.col("cl_lon").alias("lon"))
-    near = distance_join(pos, region_sites(public), miles).select("region_list", "rg_lat", "rg_lon")
-    return near.join(public.select("rg_lat", "rg_lon", "region"), ["rg_lat", "rg_lon"]).select("region_list", "region")
+    near = near_sites(clusters, region_sites(public), miles, key)
+    return near.join(public.select("rg_lat", "rg_lon", "region"), ["rg_lat", "rg_lon"]).select(key, "region")
+
+
+def near_sites(clusters: DataFrame, sites: DataFrame, miles: float, key: str) -> DataFrame:
+    """(cluster, position) pairs of the distinct sites near each centroid."""
+    pos = clusters.select(key, F.col("cl_lat").alias("lat"), F.col("cl_lon").alias("lon"))
+    return distance_join(pos, sites, miles).select(key, "rg_lat", "rg_lon")
 
 
 def public_lists(clusters: DataFrame, regions: DataFrame, miles: float = NEAR_MILES) -> DataFrame:
@@ -157,8 +163,12 @@ def short_capacity(clusters: DataFrame, load: Column, min_load: float, public: S
         F.count(F.lit(1)).alias("clusters"), F.round(F.coalesce(F.sum(load), F.lit(0.0)), 6).alias("load"))
 
 
+CAPS = {"bit_gbps": "b", "flit_gfps": "f", "numvips": "v"}
+SITE = ("rg_lat", "rg_lon")
+
+
 def region_criticality(clusters: DataFrame, members: DataFrame, allow: DataFrame, regions: DataFrame, key="region_list",
-                       groups: dict[str, Sequence[int]] | None = None, others: str = "other") -> DataFrame:
+                       groups: dict[str, Sequence[int]] | None = None, others: str = "other", public_miles: float | None = None) -> DataFrame:
     """How much clusters lean on a region.
 
     Within (cluster, rule) a region's share of bit, flit and vip capacity; averaged over the rules
@@ -167,35 +177,83 @@ def region_criticality(clusters: DataFrame, members: DataFrame, allow: DataFrame
     public ones near it.
 
     With `groups` (label -> rules; all other rules are `others`) the figures are made for each group of rules on its own, with
-    its label in `rule_group`: every cluster counts in every group, for region 0 where the group's rules do not reach it."""
+    its label in `rule_group`: every cluster counts in every group, for region 0 where the group's rules do not reach it.
+
+    With `public_miles` the public regions that near a centroid (`cl_lat`, `cl_lon`) are members too, and form no pairs with
+    clusters: those at one position are near the same clusters, so capacities of a position go to its clusters, and sums over
+    its clusters come back, by rule. `key` should then be short, as the pairs of clusters and positions carry it."""
     # A region listed twice counts once, with its largest capacity.
-    info = regions.groupBy("region").agg(*[F.max(c).alias(c) for c in ("bit_gbps", "flit_gfps", "numvips")])
+    info = regions.groupBy("region").agg(*[F.max(c).alias(c) for c in CAPS])
     label, labels = F.lit(others), [others]
     if groups is not None:
         labels = [*groups, others]
         for name, rules in groups.items():
             label = F.when(F.col("maprule").isin(list(rules)), F.lit(name)).otherwise(label)
-    rows = members.select(key, "region").distinct().join(info, "region").join(allow.select("maprule", "region").distinct(), "region")
-    rows = rows.withColumn("rule_group", label)
-    caps = {"bit_gbps": "b", "flit_gfps": "f", "numvips": "v"}
-    totals = rows.groupBy(key, "rule_group", "maprule").agg(*[F.sum(c).alias(f"_{n}") for c, n in caps.items()])
+    allowed = allow.select("maprule", "region").distinct().withColumn("rule_group", label)
+    own, sited, near = members.select(key, "region"), None, None
+    if public_miles is not None:
+        allowed = stored(allowed, "allowed")
+        sited = stored(_at_one_position(regions, info), "sited")
+        near = stored(near_sites(clusters, sited.select(*SITE).distinct(), public_miles, key), "near")
+        others_near = public_pairs(clusters, regions.where(F.col("private") == 0).join(sited, "region", "left_anti"), public_miles, key)
+        own = own.unionByName(others_near).join(sited.select("region", *SITE), "region", "left").join(near, [key, *SITE], "left_anti")
+    rows = own.select(key, "region").distinct().join(info, "region").join(allowed, "region")
+    at = [key, "rule_group", "maprule"]
+    parts = rows.select(*at, *CAPS)
+    if sited is not None:
+        rows = stored(rows, "own")
+        of_sites = sited.join(allowed, "region").groupBy(*SITE, "rule_group", "maprule").agg(*[F.sum(c).alias(c) for c in CAPS])
+        parts = rows.select(*at, *CAPS).unionByName(near.join(of_sites, list(SITE)).select(*at, *CAPS))
+    totals = parts.groupBy(*at).agg(*[F.sum(c).alias(f"_{n}") for c, n in CAPS.items()])
+    totals = totals if sited is None else stored(totals, "totals")
     rules = totals.groupBy(key, "rule_group").agg(F.count(F.lit(1)).alias("_rules"))
-    part = lambda c, n: F.when(F.col(f"_{n}") > 0, F.try_divide(F.col(c).cast("double"), F.col(f"_{n}").cast("double"))).otherwise(F.lit(0.0))
-    per_region = split_join(rows, totals, [key, "rule_group", "maprule"]).groupBy(key, "rule_group", "region").agg(
-        *[F.sum(part(c, n)).alias(n) for c, n in caps.items()])
+    part = lambda c, n: F.when(F.col(f"_{n}") > 0, F.try_divide(c.cast("double"), F.col(f"_{n}").cast("double"))).otherwise(F.lit(0.0))
+    per_region = split_join(rows, totals, at).groupBy(key, "rule_group", "region").agg(
+        *[F.sum(part(F.col(c), n)).alias(n) for c, n in CAPS.items()])
     mean = split_join(per_region, rules, [key, "rule_group"]).select(
-        key, "rule_group", "region", *[(F.col(n) / F.col("_rules")).alias(n) for n in caps.values()])
-    base = clusters.select(key, "geoname", "load", "nmpg", F.explode(F.array(*[F.lit(x) for x in labels])).alias("rule_group"))
-    full = base.join(mean, [key, "rule_group"], "left").select(
+        key, "rule_group", "region", *[(F.col(n) / F.col("_rules")).alias(n) for n in CAPS.values()])
+    base = clusters.select(key, "geoname", "load", "nmpg")
+    labelled = base.withColumn("rule_group", F.explode(F.array(*[F.lit(x) for x in labels])))
+    unreached = labelled.join(rules, [key, "rule_group"], "left_anti").select(
+        "rule_group", "geoname", "load", "nmpg", F.lit(0).cast("long").alias("region"), *[F.lit(1.0).alias(n) for n in CAPS.values()])
+    full = base.join(mean, key).select(
         "rule_group", "geoname", "load", "nmpg", F.coalesce("region", F.lit(0).cast("long")).alias("region"),
-        *[F.coalesce(F.col(n), F.lit(1.0)).alias(n) for n in caps.values()])
+        *[F.coalesce(F.col(n), F.lit(1.0)).alias(n) for n in CAPS.values()]).unionByName(unreached)
     # Distinct (region, geo) pairs first: a region's list is then bounded by the number of geos.
-    geos = full.select("rule_group", "region", F.explode(F.split("geoname", ":")).alias("_geo")).distinct().groupBy("rule_group", "region").agg(
-        F.array_join(F.array_sort(F.collect_list("_geo")), ":").alias("geo_list"))
+    geos = full.select("rule_group", "region", F.explode(F.split("geoname", ":")).alias("_geo")).distinct()
     sums = full.groupBy("rule_group", "region").agg(
-        F.round(F.sum("load"), 4).alias("mpg_load"), F.sum("nmpg").alias("mpg_num"),
-        *[F.round(F.sum(n), 6).alias(f"{n}_ratio") for n in caps.values()],
-        *[F.round(F.sum(F.col(n) * F.col("load")), 4).alias(f"dw_{n}_ratio") for n in caps.values()],
-        F.count(F.lit(1)).alias("clusters"))
-    out = geos.join(sums, ["rule_group", "region"])
+        F.sum("load").alias("mpg_load"), F.sum("nmpg").alias("mpg_num"), *[F.sum(n).alias(f"{n}_ratio") for n in CAPS.values()],
+        *[F.sum(F.col(n) * F.col("load")).alias(f"dw_{n}_ratio") for n in CAPS.values()], F.count(F.lit(1)).alias("clusters"))
+    if sited is not None:
+        # One over capacity and rules of a cluster, summed over the clusters near a position; a region's capacity is a factor.
+        each = split_join(totals, rules, [key, "rule_group"]).join(base.select(key, "load"), key).select(
+            key, "maprule", "load", *[(part(F.lit(1.0), n) / F.col("_rules")).alias(n) for n in CAPS.values()])
+        by_site = near.join(each, key).groupBy(*SITE, "maprule").agg(
+            *[F.sum(n).alias(f"_{n}") for n in CAPS.values()], *[F.sum(F.col(n) * F.col("load")).alias(f"_dw_{n}") for n in CAPS.values()])
+        around = near.join(base, key)
+        place = around.groupBy(*SITE).agg(F.sum("load").alias("mpg_load"), F.sum("nmpg").alias("mpg_num"), F.count(F.lit(1)).alias("clusters"))
+        at_rule = sited.join(allowed, "region")
+        ratios = at_rule.join(by_site, [*SITE, "maprule"]).groupBy("rule_group", "region", *SITE).agg(
+            *[F.sum(F.col(c) * F.col(f"_{n}")).alias(f"{n}_ratio") for c, n in CAPS.items()],
+            *[F.sum(F.col(c) * F.col(f"_dw_{n}")).alias(f"dw_{n}_ratio") for c, n in CAPS.items()])
+        added = ["mpg_load", "mpg_num", *[f"{k}{n}_ratio" for k in ("", "dw_") for n in CAPS.values()], "clusters"]
+        sums = sums.unionByName(ratios.join(place, list(SITE)).select("rule_group", F.col("region").cast("long").alias("region"), *added)).groupBy(
+            "rule_group", "region").agg(*[F.sum(c).alias(c) for c in added])
+        site_geos = around.select(*SITE, F.explode(F.split("geoname", ":")).alias("_geo")).distinct()
+        of_region = at_rule.select("rule_group", "region", *SITE).distinct().join(site_geos, list(SITE))
+        geos = geos.unionByName(of_region.select("rule_group", F.col("region").cast("long").alias("region"), "_geo")).distinct()
+    lists = geos.groupBy("rule_group", "region").agg(F.array_join(F.array_sort(F.collect_list("_geo")), ":").alias("geo_list"))
+    out = lists.join(sums, ["rule_group", "region"]).select(
+        "rule_group", "region", "geo_list", F.round("mpg_load", 4).alias("mpg_load"), "mpg_num",
+        *[F.round(f"{n}_ratio", 6).alias(f"{n}_ratio") for n in CAPS.values()],
+        *[F.round(f"dw_{n}_ratio", 4).alias(f"dw_{n}_ratio") for n in CAPS.values()], "clusters")
     return out if groups is not None else out.drop("rule_group")
+
+
+def _at_one_position(regions: DataFrame, info: DataFrame) -> DataFrame:
+    """Public regions with their capacities, if these are known and the region lies at one known position."""
+    spot = F.struct(*SITE)
+    one = regions.where(F.col("private") == 0).groupBy("region").agg(F.min(spot).alias("_first"), F.max(spot).alias("_last")).where(
+        (F.col("_first") == F.col("_last")) & F.col("_first.rg_lat").isNotNull() & F.col("_first.rg_lon").isNotNull())
+    known = info.where(" and ".join(f"{c} is not null" for c in CAPS))
+    return one.select("region", *[F.col(f"_first.{c}").alias(c) for c in SITE]).join(known, "region")

@@ -15,6 +15,7 @@ from casegauge.plans.inputs import REGION_DAYS, SERVICE_CLASSES
 from casegauge.plans.inputs_sql import miles, percentile, rounded, with_inputs
 from casegauge.plans.registry import query
 from casegauge.plans.summaries import metric_sql
+from casegauge.sources.tables import stored
 
 CLASS_SQL = "case network when 'web' then 'W' when 'secure' then 'S' else 'O' end"
 
@@ -191,10 +192,9 @@ CRITICAL = {**PUBLIC, "reach": """select region_list, cast(unnest(string_split(r
     using (rule_group, region) group by rule_group, region, geo_list""", CRITICAL))
 def _(x):
     """Regions that a cluster may use and public regions near it, for web rules and the others."""
-    c, regions = clusters(x), serving(x)
-    allowed = explode_list(c, ["region_list"], "region_list", "region").withColumn("region", F.col("region").cast("long"))
-    members = allowed.unionByName(C.public_pairs(c, regions))
-    return C.region_criticality(c, members, x.allow_list(), regions, groups={"W": WEB_RULES}, others="S")
+    c = stored(clusters(x).withColumn("cluster", F.monotonically_increasing_id()), "clusters")
+    members = explode_list(c, ["cluster"], "region_list", "region").withColumn("region", F.col("region").cast("long"))
+    return C.region_criticality(c, members, x.allow_list(), serving(x), key="cluster", groups={"W": WEB_RULES}, others="S", public_miles=C.NEAR_MILES)
 
 
 # -- probes and fits ------------------------------------------------------------------------------

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from casegauge.functions.geo import EARTH_RADIUS_MILES
-from casegauge.operators import nearby as N
+from casegauge.operators import clusters as C, nearby as N
 
 
 def miles_apart(p, q):
@@ -72,3 +72,27 @@ def test_edges(spark):
     assert N.nearby_sums(l.limit(0), r, 100.0, {"n": "n"}).count() == 0
     far = spark.createDataFrame([(10.0, 10.0 + math.degrees(1) * 100.0 / EARTH_RADIUS_MILES / math.cos(math.radians(10.0)) * 1.01, 1, 1.0)], r.schema)
     assert {x.n for x in N.nearby_sums(l, far, 100.0, {"n": "n"}).collect()} == {0}
+
+
+def test_criticality_by_positions_equals_pairs(spark, monkeypatch):
+    """Public regions brought by their positions give what the pairs of clusters and regions give: regions at one position, repeated
+    ones, some at two positions, some on a cluster's own list, some without a capacity; and no pair is handed to the sums."""
+    rnd = random.Random(5)
+    c = spark.createDataFrame([(i, rnd.choice(["A", "A:B", "C"]), float(rnd.randint(1, 9)), rnd.randint(1, 3), rnd.uniform(-20, 20), rnd.uniform(-20, 20)) for i in range(60)],
+                              "id long, geoname string, load double, nmpg long, cl_lat double, cl_lon double")
+    spots = [(rnd.uniform(-20, 20), rnd.uniform(-20, 20)) for _ in range(12)]
+    rows = [(r, *rnd.choice(spots), float(rnd.randint(0, 5)), float(rnd.randint(0, 5)), rnd.choice([0, 1, 7]), int(rnd.random() < 0.3)) for r in range(1, 120)]
+    rows += [(*rows[0][:6], 0), rows[5], (rows[7][0], *spots[3], 2.0, 2.0, 2, 0), (400, *spots[1], 3.0, 3.0, None, 0), (401, None, None, 1.0, 1.0, 1, 0)]
+    regions = spark.createDataFrame(rows, "region long, rg_lat double, rg_lon double, bit_gbps double, flit_gfps double, numvips int, private int")
+    allow = spark.createDataFrame([(rnd.randint(0, 4), rnd.randint(1, 130)) for _ in range(300)] + [(1, 400), (2, 400), (4, 401)], "maprule int, region long")
+    members = spark.createDataFrame([(rnd.randrange(60), rnd.randint(1, 125)) for _ in range(150)], "id long, region long")
+    o = {"key": "id", "groups": {"W": [0, 1]}, "others": "S"}
+    want = C.region_criticality(c, members.unionByName(C.public_pairs(c, regions, 600.0, "id")), allow, regions, **o)
+    taken, pairs = [], C.public_pairs
+    monkeypatch.setattr(C, "public_pairs", lambda *a: taken.append(pairs(*a)) or taken[-1])
+    got = C.region_criticality(c, members, allow, regions, public_miles=600.0, **o)
+    rounded = lambda df: {(r.rule_group, r.region): [round(v, 3) if isinstance(v, float) else v for v in r] for r in df.collect()}
+    a, b = rounded(want), rounded(got)
+    assert a.keys() == b.keys() and len(a) > 100 and got.columns == want.columns
+    assert all(x == y or all(p == q or abs(p - q) < 0.0021 for p, q in zip(x, y) if isinstance(p, float)) and x[:3] == y[:3] and x[-1] == y[-1] for x, y in zip((a[k] for k in sorted(a)), (b[k] for k in sorted(a))))
+    assert {r.region for r in taken[0].select("region").distinct().collect()} <= {1, 6, 8, 400, 401}
