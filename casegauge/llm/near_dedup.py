@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from casegauge.llm.buckets import hub_rounds, merged, shared_buckets
+from casegauge.llm.buckets import FIELD, content_field, hub_rounds, in_field, merged, shared_buckets
 from casegauge.llm.common import Spans, WordHashes, as_signed, in_parts, mixed, packed, stored, text_bytes, texts_of, unpacked, with_columns
 from casegauge.llm.set_blocks import block_links
 from casegauge.operators.spread import split_join
@@ -33,7 +33,6 @@ ROWS, BANDS = 5, 50
 BITS = 4  # longs that hold one bit of each minimum
 PERCENT = 75
 ROUNDS_OF_HUBS = 3
-FIELD = 1 << 24  # bits, a power of two: 2 MB
 
 
 def shingles(text: bytes, cache: WordHashes, size: int = SHINGLE) -> np.ndarray:
@@ -95,28 +94,14 @@ def _signatures(size: int) -> Callable:
 def _sets(size: int, field) -> Callable:
     """The full sets of the texts whose content is in the field."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, words = WordHashes(), np.frombuffer(field.value, np.uint64)
+        cache = WordHashes()
         for batch in in_parts(batches):
-            content = np.asarray(batch.column("content").to_numpy(zero_copy_only=False)).view(np.uint64)
-            at = content & np.uint64(FIELD - 1)
-            held = (words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)
-            batch = batch.filter(pa.array(held.astype(bool)))
+            batch = batch.filter(pa.array(in_field(field.value, batch.column("content").to_numpy(zero_copy_only=False))))
             sets = [as_signed(shingles(t, cache, size)) for t in texts_of(batch, "text")]
             yield with_columns(batch, ["text"], d=pa.array(sets, pa.list_(pa.int64())))
     return run
 
 
-def content_field(wanted: DataFrame) -> bytes:
-    """A bit for every value of `content` (modulo FIELD): FIELD / 8 bytes, however many there are."""
-    at = F.col("content").bitwiseAND(F.lit(FIELD - 1))
-    rows = wanted.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(at & 63L as int))")).alias("bits"))
-    out = np.zeros(FIELD // 64, np.int64)
-    table = rows.toArrow()  # at most FIELD / 64 rows
-    out[table.column("word").to_numpy()] = table.column("bits").to_numpy()
-    return out.tobytes()
-
-
 def _similar(percent: int) -> Callable[[Column, Column], Column]:
     """Two full sets are similar enough."""
     def check(l: Column, r: Column) -> Column:
