@@ -10,6 +10,7 @@ posterior.
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 from collections import Counter
@@ -27,6 +28,7 @@ from casegauge.llm.common import in_parts, packed, stored, text_bytes, texts_of,
 PENALTY = 0.03  # of the absolute weights; divided by the root of the number of labels, as chance finds fall with it
 MAX_LABELS = 20_000  # labelled rows that fit the model: those with the smallest hashes of their identifier
 TRAIN_TASKS = 8  # each iteration sends the weights once per task
+AT_ONCE = 1 << 15  # features that a fit takes as they are; of more, those that others leave no weight are kept out of it
 HEADS = ("quality", "toxic")
 LEVELS = (0.02, 0.1, 0.3)  # shares of the tokens
 PREFIXES, TIMES = (5,), (2, 4)  # letters of a longer word's beginning, and how often it is met at least
@@ -282,13 +284,63 @@ def _vectors(shared) -> Callable:
     return F.udf(vector, VectorUDT())
 
 
+def _pulls(shared) -> Callable:
+    """By how much the fitted heads miss each row's labels; 0 where a label does not count."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_parts(batches):
+            slots = batch.column("slots")
+            flat, owner = slots.flatten().to_numpy(), np.repeat(np.arange(batch.num_rows), np.diff(slots.offsets.to_numpy()))
+            out = {}
+            for h, (keys, weights, bias) in shared.value.items():
+                at = np.minimum(np.searchsorted(keys, flat), max(0, len(keys) - 1))
+                met = keys[at] == flat if len(keys) else np.zeros(len(flat), bool)
+                odds = bias + np.bincount(owner[met], weights[at[met]] if len(keys) else None, minlength=batch.num_rows)
+                label = batch.column("y_" + h).to_numpy(zero_copy_only=False)
+                out[h] = pa.array(np.where((label == 0) | (label == 1), 1 / (1 + np.exp(-np.clip(odds, -700, 700))) - label, 0.0))
+            yield pa.RecordBatch.from_arrays([slots, *out.values()], ["slots", *out])
+    return run
+
+
+def _head(train: DataFrame, h: str, keys: np.ndarray, strength: float) -> tuple[dict[int, float], float]:
+    """Weights (other than zero, by key) and bias of a head over some features."""
+    shared = train.sparkSession.sparkContext.broadcast(keys)
+    own = train.where(F.col("y_" + h).isin(0.0, 1.0)).select(F.col("y_" + h).alias("label"), _vectors(shared)("slots").alias("features"))
+    model = LogisticRegression(maxIter=40, tol=1e-4, regParam=strength, elasticNetParam=1.0, standardization=False).fit(own)
+    fitted = model.coefficients.toArray()
+    return {int(keys[k]): float(fitted[k]) for k in np.flatnonzero(fitted[:len(keys)])}, float(model.intercept)
+
+
+def _left_out(train: DataFrame, weights: dict[str, tuple[dict[int, float], float]], taken: dict[str, np.ndarray],
+              bounds: dict[str, float]) -> dict[str, np.ndarray]:
+    """The features by head that a fit without them gives no right to be zero: they are pulled by more than the penalty. Where
+    there are any, those come with them that are pulled by nearly as much."""
+    shown = {}
+    for h in taken:
+        keys = np.array(sorted(weights[h][0]), np.int64)
+        shown[h] = (keys, np.array([weights[h][0][k] for k in keys.tolist()]), weights[h][1])
+    missed = train.mapInArrow(_pulls(train.sparkSession.sparkContext.broadcast(shown)),
+                              "slots array<long>, " + ", ".join(f"{h} double" for h in taken))
+    pulls = missed.select(F.explode("slots").alias("key"), *taken).groupBy("key").agg(*[F.abs(F.sum(h)).alias(h) for h in taken])
+    strong = functools.reduce(Column.__or__, [F.col(h) > 0.9 * bounds[h] for h in taken])
+    rows = pulls.where(strong).toArrow()  # some hundreds: a fit that is done holds all others below
+    key, more = rows.column("key").to_numpy(), {}
+    for h in taken:
+        pull, new = rows.column(h).to_numpy(), ~np.isin(key, taken[h])
+        if (new & (pull > bounds[h])).any():
+            more[h] = key[new & (pull > 0.9 * bounds[h])]
+    return more
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_labels: int = MAX_LABELS,
         penalty: float = PENALTY) -> dict[str, tuple[dict[int, float], float]]:
     """Weights (other than zero, by key) and bias of each head. At most `max_labels` labelled rows are used; a head without
     both outcomes among its labels is a constant.
 
     A feature of k among n rows moves the mean loss by less than k / n, so with k / n up to the penalty its weight is zero
-    in the fit: only the others are numbered and handed to it."""
+    in the fit: only the others are numbered and handed to it. Where these are more than `AT_ONCE`, the fit begins with those
+    that the labels alone pull by more than the penalty. Then every feature is held against it: a weight of zero is right where the rows together pull it by no
+    more than the penalty. Features with a stronger pull join and the fit is made again, until there are none, so that it is the fit
+    over all, without vectors over all on the driver."""
     spark = docs.sparkSession
     workers_find_package(spark)
     chosen = (labels.where(labels[id_col].isNotNull()).select(labels[id_col].alias("label_id"), *[labels[h].cast("double").alias("y_" + h) for h in HEADS])
@@ -299,21 +351,29 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     switched = stored(met.mapInArrow(_switches, schema), "training")
     train = switched.coalesce(TRAIN_TASKS)  # bounded by max_labels
     met_by = stored(switched.select("y_quality", "y_toxic", F.explode("slots").alias("key")).groupBy("key").agg(
-        *[F.count(F.when(F.col("y_" + h).isin(0.0, 1.0), 1)).alias(h) for h in HEADS]), "features")
-    weights = {}
+        *[F.count(F.when(F.col("y_" + h).isin(0.0, 1.0), 1)).alias(h) for h in HEADS],
+        *[F.count(F.when(F.col("y_" + h) == 1.0, 1)).alias("yes_" + h) for h in HEADS]), "features")
+    weights, strengths, bounds, taken, todo = {}, {}, {}, {}, {}
     for h in HEADS:
         labelled = train.where(F.col("y_" + h).isin(0.0, 1.0))
         counts = {r.label: r.n for r in labelled.groupBy(F.col("y_" + h).alias("label")).agg(F.count("*").alias("n")).collect()}
         yes, no = counts.get(1.0, 0), counts.get(0.0, 0)
         if yes and no:
-            strength = penalty / math.sqrt(yes + no)
-            keys = np.sort(met_by.where(F.col(h) > strength * (yes + no)).select("key").toPandas()["key"].to_numpy(np.int64))
-            own = labelled.select(F.col("y_" + h).alias("label"), _vectors(spark.sparkContext.broadcast(keys))("slots").alias("features"))
-            model = LogisticRegression(maxIter=40, tol=1e-4, regParam=strength, elasticNetParam=1.0, standardization=False).fit(own)
-            fitted = model.coefficients.toArray()
-            weights[h] = ({int(keys[k]): float(fitted[k]) for k in np.flatnonzero(fitted[:len(keys)])}, float(model.intercept))
+            strengths[h] = penalty / math.sqrt(yes + no)
+            bounds[h] = strengths[h] * (yes + no)
+            known = met_by.where(F.col(h) > bounds[h])
+            if known.count() > AT_ONCE:
+                known = known.where(F.abs(F.col("yes_" + h) - F.col(h) * (yes / (yes + no))) > bounds[h])
+                taken[h] = np.zeros(0, np.int64)
+            todo[h] = known.select("key").toArrow().column("key").to_numpy()
         else:
             weights[h] = ({}, math.log((yes + 1) / (no + 1)))
+    while todo:
+        for h, keys in todo.items():
+            keys = np.sort(np.concatenate([taken[h], keys]) if h in taken else keys)
+            weights[h] = _head(train, h, keys, strengths[h])
+            taken |= {h: keys} if h in taken else {}
+        todo = _left_out(switched, weights, taken, bounds) if taken else {}
     return weights
 
 

@@ -251,6 +251,42 @@ def test_repeated_labels_and_rows(spark, documents, labels):
     assert out.count() == documents.count() + 5 and out.where("p_quality is null or p_toxic is null").count() == 0
 
 
+def test_a_fit_takes_few_of_many_features(spark, monkeypatch):
+    """Words that say nothing stay out of the fit, which is the one over all words."""
+    rng = random.Random(5)
+    docs, labels = [], []
+    for i in range(600):
+        toxic, poor = i % 4 == 0, i % 8 < 2
+        words = [f"w{rng.choice('abcdefgh')}{rng.choice('abcdefgh')}{rng.choice('abcdefgh')}" for _ in range(12)]
+        words += ["sign"] * (toxic and i % 3 > 0) + ["mark"] * (poor and i % 5 > 0) + ["fine"] * (rng.random() < (0.2 if toxic else 0.5))
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(not poor), int(toxic)))
+    docs, labels = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    widths, vectors = [], quality._vectors
+    monkeypatch.setattr(quality, "_vectors", lambda shared: (widths.append(len(shared.value)), vectors(shared))[1])
+    whole = quality.fit(docs, labels, penalty=0.3)
+    all_, widths[:] = max(widths), []
+    monkeypatch.setattr(quality, "AT_ONCE", 50, raising=False)
+    got = quality.fit(docs, labels, penalty=0.3)
+    assert whole["toxic"][0] and whole["quality"][0]
+    assert max(widths) < all_ / 2
+    for h in quality.HEADS:
+        assert got[h][1] == pytest.approx(whole[h][1], abs=0.1)
+        for key in got[h][0].keys() | whole[h][0].keys():
+            assert got[h][0].get(key, 0.0) == pytest.approx(whole[h][0].get(key, 0.0), abs=0.1)
+
+
+def test_features_that_a_fit_left_out_come_in(spark):
+    """A feature is missed if the rows pull it by more than the penalty, beside the weights that there are."""
+    rows = [(0.0, 1.0, [1, 3])] * 10 + [(0.0, 0.0, [2, 3])] * 10 + [(0.0, None, [4])] * 90
+    train = spark.createDataFrame(rows, "y_quality double, y_toxic double, slots array<long>")
+    none, some = {"toxic": ({}, 0.0)}, {"toxic": ({1: 9.0, 2: -9.0}, 0.0)}
+    left = lambda weights, taken, bound: {h: sorted(k.tolist()) for h, k in quality._left_out(
+        train, weights, {"toxic": quality.np.array(taken, quality.np.int64)}, {"toxic": bound}).items()}
+    assert left(none, [], 4.0) == {"toxic": [1, 2]} and left(none, [1], 4.0) == {"toxic": [2]}
+    assert left(none, [], 5.5) == {} and left(some, [1, 2], 0.1) == {}
+
+
 def test_sites_are_shrunk(spark):
     """A sparse site's prior stays near the global rate; a large one's follows its documents."""
     good, bad = "clear plain words here", "BUY!! NOW!! CHEAP!!"
