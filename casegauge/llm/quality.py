@@ -28,7 +28,7 @@ from casegauge.llm.common import in_parts, packed, stored, text_bytes, texts_of,
 PENALTY = 0.03  # of the absolute weights; divided by the root of the number of labels, as chance finds fall with it
 MAX_LABELS = 20_000  # labelled rows that fit the model: those with the smallest hashes of their identifier
 TRAIN_TASKS = 8  # each iteration sends the weights once per task
-AT_ONCE = 1 << 15  # features that a fit takes as they are; of more, those that others leave no weight are kept out of it
+AT_ONCE = 60_000  # features that a fit takes as they are: vectors of half a megabyte; of more, those without a weight are kept out
 HEADS = ("quality", "toxic")
 LEVELS = (0.02, 0.1, 0.3)  # shares of the tokens
 PREFIXES, TIMES = (5,), (2, 4)  # letters of a longer word's beginning, and how often it is met at least
