@@ -1,12 +1,14 @@
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from casegauge.llm import near_dedup, set_blocks
+from casegauge.llm import line_dedup, near_dedup, set_blocks
 
 
 def test_common_items_equal_set_intersections():
@@ -76,3 +78,38 @@ def test_content_field_tells_wanted_contents(spark):
     assert len(field) * 64 == near_dedup.FIELD
     held = lambda v: field[(v & (near_dedup.FIELD - 1)) >> 6] >> np.uint64(v & 63) & np.uint64(1)
     assert all(held(v) for v in values) and not held(5) and sum(bin(int(w)).count("1") for w in field) <= len(values)
+
+
+def block_table(members, first=1, second=1):
+    kind = pa.list_(pa.struct([("node", pa.int64()), ("root", pa.int64()), ("d", pa.list_(pa.int64()) if members and isinstance(members[0]["d"], list) else pa.string())]))
+    return pa.table({"p": [first], "q": [second], "block": [first], "members": pa.array([members], kind)})
+
+
+def test_blocks_of_short_sets_hold_few_counts_at_once():
+    n = 3_000
+    table = block_table([{"node": i, "root": i, "d": [i // 2, 10 ** 6 + i // 2]} for i in range(n)])
+    run = set_blocks._compared(90, None, None)
+    tracemalloc.start()
+    got = run(table).to_pydict()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert set(zip(got["a"], got["b"])) == {(i + 1, i) for i in range(0, n, 2)}
+    assert peak < 60e6  # all counts at once: 72 MB, and as much again for each step of the comparison
+
+
+def test_lines_verified_part_by_part_keep_their_components(monkeypatch):
+    rng = random.Random(7)
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(60)) for _ in range(6)]
+    lines = [b[:k] + rng.choice("xyz") + b[k + 1:] for b in base for k in rng.sample(range(60), 8)]
+    table = block_table([{"node": i, "root": i, "d": x} for i, x in enumerate(lines)])
+
+    def groups(cells):
+        monkeypatch.setattr(set_blocks, "CELLS", cells)
+        above = list(range(len(lines)))
+        got = set_blocks._compared(45, line_dedup.triples, line_dedup._linked(0.9))(table).to_pydict()
+        for _ in lines:
+            for a, b in zip(got["a"], got["b"]):
+                above[a] = above[b] = min(above[a], above[b])
+        return above, len(got["a"])
+
+    assert groups(100) == groups(1 << 19) == ([i - i % 8 for i in range(48)], 42)
