@@ -38,9 +38,12 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 _RUNS = re.compile(r"(.)\1+", re.S)
 
 
+_digest = xxhash.xxh64_intdigest
+
+
 def _key(name: str) -> int:
     """A feature's key: 64 bits, so that no two features of a corpus share one."""
-    return xxhash.xxh64_intdigest(name.encode()) - (1 << 63)
+    return _digest(name.encode()) - (1 << 63)
 
 
 def shape(token: str) -> str:
@@ -127,11 +130,12 @@ class _Kinds(dict):
     def __init__(self, weights: dict[int, tuple[float, float]]):
         super().__init__()
         self.weights, self.classes, self.older = weights, _Classes(), {}
+        self.hashes = {k + (1 << 63) for k in weights}  # as xxhash gives them
         self.forget()
 
     def forget(self) -> None:
         self.clear()
-        self.older, self.signs, self.places, self.numbers, self.begins = {}, {}, {}, {}, {}
+        self.older, self.signs, self.places, self.numbers, self.begins, self.plain = {}, {}, {}, {}, {}, {}
         self.words: list[tuple[int, ...]] = []  # of a kind: keys
         self.looks: list[int] = []  # of a kind: place in look_weights, 0 for a look without weights
         self.starts: list[tuple[str, ...]] = []  # of a kind: beginnings with weights
@@ -155,20 +159,35 @@ class _Kinds(dict):
     def __missing__(self, token: str) -> int:
         kind = self.older.get(token)
         if kind is None:
-            signs = token.translate(self.classes)
-            look = self.signs.get(signs)
-            if look is None:
-                look = self.signs[signs] = self._look(signs)
-            words = _LETTERS.findall(token.lower())
-            keys = {_key("w " + w) for w in words}
-            starts = tuple(b for b in beginnings(words) if any(map(any, self.begin_weights(b))))
-            kind = self._number((tuple(sorted(keys & self.weights.keys())), look, starts))
+            kind = self._kind(token)
         if len(self) >= WORD_CACHE:
             self.older = self.copy()
             self.clear()
         self[token] = kind
         return kind
 
+    def _kind(self, token: str) -> int:
+        signs = token.translate(self.classes)
+        look = self.signs.get(signs)
+        if look is None:
+            look = self.signs[signs] = self._look(signs)
+        low, begins, keys, starts = token.lower(), self.begins, None, None
+        for word in (low,) if low.isalpha() else _LETTERS.findall(low):
+            key = _digest("w " + word)
+            if key in self.hashes:
+                keys = {key - (1 << 63), *(keys or ())}
+            for k in PREFIXES:
+                if len(word) > k:
+                    beginning = f"{k} {word[:k]}"
+                    if begins[beginning] if beginning in begins else self.begin_weights(beginning):
+                        starts = (*(starts or ()), beginning)
+        if keys is None and starts is None:  # most tokens
+            kind = self.plain.get(look)
+            if kind is None:
+                kind = self.plain[look] = self._number(((), look, ()))
+            return kind
+        return self._number((tuple(sorted(keys or ())), look, starts or ()))
+
     def begin_weights(self, beginning: str) -> tuple[tuple[float, float], ...]:
         found = self.begins.get(beginning)
         if found is None:

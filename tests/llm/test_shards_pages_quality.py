@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import string
 import zlib
 from collections import Counter
 
@@ -323,3 +324,19 @@ def test_long_texts_are_judged_by_passage(spark):
     labels = spark.createDataFrame([(i, 1, toxic) for i, (_, toxic) in enumerate(texts)], "doc_id long, quality int, toxic int")
     got = {r.doc_id: r.evidence_toxic for r in quality.judged(docs, labels).where("doc_id >= 1000").collect()}
     assert got[1000] < 0 and got[1001] > 0 and got[1002] < 0
+
+
+def test_new_words_take_one_hash_and_get_their_kinds(monkeypatch):
+    """A word that is met first is hashed once, and its beginning is looked up among those met."""
+    rng = random.Random(5)
+    words = [f"{rng.choice(['begin', 'start', 'ÉTUDE'])}{rng.choice(string.ascii_lowercase)}{i}x{rng.choice(['', ',', '-wörter', '_q9'])}" for i in range(2_000)]
+    weights = {quality._key(n): (0.5, -0.25) for n in ["w q", "w wörter", "b2 5 start", "s a+0x", *("w " + w.lower()[:6] for w in words[:20])]}
+    kinds, calls = quality._Kinds(weights), []
+    key = quality._key
+    monkeypatch.setattr(quality, "_key", lambda name: calls.append(name) or key(name))
+    got = [kinds[w] for w in words]
+    assert len(calls) < 1_000, len(calls)
+    for word, kind in zip(words, got):
+        own = quality._LETTERS.findall(word.lower())
+        assert kinds.words[kind] == tuple(sorted({key("w " + w) for w in own} & weights.keys()))
+        assert kinds.starts[kind] == tuple(b for b in quality.beginnings(own) if b == "5 start")
