@@ -113,3 +113,39 @@ def test_lines_verified_part_by_part_keep_their_components(monkeypatch):
         return above, len(got["a"])
 
     assert groups(100) == groups(1 << 19) == ([i - i % 8 for i in range(48)], 42)
+
+
+def test_meetings_are_tiled_and_compared_in_turns(spark, monkeypatch):
+    """Where meetings are many, blocks that meet the same others move together, and not all at once; links are the same."""
+    rng = random.Random(6)
+    sets = {i: sorted(rng.sample(range(400), 60)) if i % 5 else sorted({*range(55), *rng.sample(range(55, 400), 5)}) for i in range(240)}
+    rest = spark.createDataFrame([(0, i, i) for i in sets], "bucket long, node long, root long").repartition(4)
+    df = spark.createDataFrame(list(sets.items()), "node long, d array<long>").repartition(4)
+    held = {}
+
+    def watched(rows, label, own=set_blocks.stored):
+        out = own(rows, label)
+        held.setdefault(label, []).append(out)
+        return out
+
+    monkeypatch.setattr(set_blocks, "stored", watched)
+    links = lambda: {(r.a, r.b) for r in set_blocks.block_links(rest, df, 60, 600).collect()}
+    plain = links()
+    met = held["meetings"][0].count()
+    monkeypatch.setattr(set_blocks, "TASKS", 1)
+    monkeypatch.setattr(set_blocks, "TILE", 4)
+    monkeypatch.setattr(set_blocks, "MOVED", 1)
+    assert links() == plain and len(plain) > 500
+    tiles = held["tiles"][0]
+    assert tiles.count() * 3 < 2 * met  # blocks that are moved
+    assert tiles.select(F.explode("others")).count() == met
+    assert len(held["links"]) > 1 and tiles.groupBy("p", "q").count().agg(F.max("count")).first()[0] <= 24
+
+
+def test_a_tile_pairs_each_two_blocks_once(spark):
+    met = {(p, q) for p in range(40) for q in range(p, 40) if p % 3 == q % 3 or (p + q) % 7 == 0}
+    rows = set_blocks._tiled(spark.createDataFrame(sorted(met), "p long, q long"), 4).collect()
+    got = [(min(r.block, o), max(r.block, o)) for r in rows for o in r.others]
+    assert len(got) == len(set(got)) and set(got) == met
+    there = {(r.p, r.q, r.block) for r in rows}
+    assert all((r.p, r.q, o) in there for r in rows for o in r.others)
